@@ -32,20 +32,17 @@ def empty_to_null(text: Column) -> Column:
 def tolerant_double(text: Column, decimal_comma: bool = False) -> Column:
     """Text to double; anything that is not a decimal number becomes NULL.
 
-    Spark's own cast also takes Java spellings (``1.5d``, ``0x1p3``) and refuses digit groups
-    (``1_000``). Only cells that could be one of those pay for the regular expression.
+    Spark's own cast also takes Java spellings (``1.5d``, ``0x1p3``), so their letters are spoilt
+    first. What this refuses wrongly, digit groups (``1_000``), ``inf`` and odd blanks, gets a second
+    look; only those cells pay for the regular expression. The expression is kept short: a long one
+    in many columns makes a generated method too large to be compiled.
     """
-    cell = strip_text(text.cast("string"))
-    if decimal_comma:
-        cell = F.replace(cell, F.lit(","), F.lit("."))
-    unusual = (
-        F.right(cell, F.lit(1)).isin("d", "D", "f", "F")
-        | F.contains(cell, F.lit("_"))
-        | F.contains(cell, F.lit("x"))
-        | F.contains(cell, F.lit("X"))
-    )
-    checked = F.when(cell.rlike(_NUMBER), F.replace(cell, F.lit("_"), F.lit("")))
-    return F.when(unusual, checked).otherwise(cell).try_cast("double")
+    cell = text.cast("string")
+    spoilt = F.translate(cell, ",dDfFxX" if decimal_comma else "dDfFxX", ".######"[not decimal_comma :])
+    usual = spoilt.try_cast("double")
+    bare = strip_text(F.translate(cell, ",", ".") if decimal_comma else cell)
+    unusual = F.when(bare.rlike(_NUMBER), F.replace(bare, F.lit("_"), F.lit(""))).try_cast("double")
+    return F.when(cell != "", F.coalesce(usual, unusual))
 
 
 def compact_date(text: Column) -> Column:

@@ -11,35 +11,46 @@ from climora.functions.parsing import empty_to_null, tolerant_double
 _METADATA = ("station_name", "state", "latitude", "longitude")
 _KEY = ("station_code", "date")
 
+# Numeric source fields and their names downstream.
+_NUMBERS = {
+    "VL_LATITUDE": "latitude",
+    "VL_LONGITUDE": "longitude",
+    "TEM_INS": "temp_instant",
+    "TEM_MAX": "temp_max",
+    "TEM_MIN": "temp_min",
+    "UMD_INS": "humidity_instant",
+    "CHUVA": "precipitation",
+}
+
 
 def normalize_readings(records: DataFrame, dropped: Observation | None = None) -> DataFrame:
     """Hourly source records to typed readings.
 
     Records without a date have no day to count for and are left out; pass an ``Observation`` to
     learn how many. A date that is present but malformed is an error.
+
+    The numbers are parsed as one array: seven copies of the parser in one generated method, next
+    to the exploding of the file, would be too large for the JVM to compile.
     """
     day = F.col("DT_MEDICAO")
     if not isinstance(records.schema["DT_MEDICAO"].dataType, T.DateType):
         day = empty_to_null(day).cast("date")
-    extra = [c for c in ("read_order",) if c in records.columns]
-    typed = records.select(
+    carried = [c for c in ("read_order",) if c in records.columns]
+    parsed = records.select(
         F.col("CD_ESTACAO").alias("station_code"),
         day.alias("date"),
         empty_to_null(F.col("DC_NOME")).alias("station_name"),
         empty_to_null(F.col("UF")).alias("state"),
-        *[
-            tolerant_double(F.col(source), decimal_comma=True).alias(name)
-            for source, name in (
-                ("VL_LATITUDE", "latitude"),
-                ("VL_LONGITUDE", "longitude"),
-                ("TEM_INS", "temp_instant"),
-                ("TEM_MAX", "temp_max"),
-                ("TEM_MIN", "temp_min"),
-                ("UMD_INS", "humidity_instant"),
-                ("CHUVA", "precipitation"),
-            )
-        ],
-        *extra,
+        F.transform(
+            F.array(*[F.col(c).cast("string") for c in _NUMBERS]),
+            lambda cell: tolerant_double(cell, decimal_comma=True),
+        ).alias("numbers"),
+        *carried,
+    )
+    typed = parsed.select(
+        *("station_code", "date", "station_name", "state"),
+        *[F.get("numbers", F.lit(i)).alias(n) for i, n in enumerate(_NUMBERS.values())],
+        *carried,
     )
     if dropped is not None:
         typed = typed.observe(dropped, F.count_if(F.col("date").isNull()).alias("no_date"))

@@ -37,8 +37,8 @@ MEASURE_HEADERS = {
     "CHUVA": "PRECIPITAÇÃO TOTAL, HORÁRIO (mm)",
 }
 
-# Every line boundary that can occur in Latin-1 text.
-_LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85]"
+# Every line boundary that can occur in Latin-1 text, besides the line feed itself.
+_OTHER_LINE_ENDS = ("\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85")
 
 # The station code is the fourth underscore-separated part of a member name.
 _STATION_PART = re.compile(r"^[^_]*_[^_]*_[^_]*_([^_]+)_")
@@ -151,16 +151,29 @@ def scan_station_files(
     )
 
 
+def _lines(content: Column) -> Column:
+    """Lines of a file. Plain replacements and a one-character split need no regular expression."""
+    text = F.decode(content, ENCODING)
+    for end in _OTHER_LINE_ENDS:
+        text = F.replace(text, F.lit(end), F.lit("\n"))
+    return F.split(text, "\n")
+
+
 def _metadata_value(head: Column, key: str) -> Column:
     """Value of the last ``key;value`` line among the metadata lines."""
     lines = F.filter(head, lambda line: F.startswith(line, F.lit(key + ";")))
     return blank_to_null(F.substring(F.get(lines, F.size(lines) - 1), len(key) + 2, 1_000_000))
 
 
-def _position(header: Column, title: str) -> Column:
-    """0-based place of a column title, NULL when absent; the last of equal titles counts."""
-    from_end = F.array_position(F.reverse(header), title)
-    return F.when(from_end > 0, F.size(header) - from_end).cast("int")
+def _places(header: Column) -> Column:
+    """0-based place of the date and of each measure, NULL when absent; of equal titles the last."""
+
+    def place(title: Column) -> Column:
+        from_end = F.array_position(F.reverse(header), title)
+        return F.when(from_end > 0, (F.size(header) - from_end).cast("int"))
+
+    titles = F.array(*[F.lit(t) for t in (DATE_HEADER, *MEASURE_HEADERS.values())])
+    return F.transform(titles, place)
 
 
 def station_layout(members: DataFrame) -> DataFrame:
@@ -168,7 +181,7 @@ def station_layout(members: DataFrame) -> DataFrame:
     lines = members.select(
         "archive_year",
         "station_code",
-        F.split(F.decode("content", ENCODING), _LINE_BREAK).alias("lines"),
+        _lines(F.col("content")).alias("lines"),
     ).select(
         "archive_year",
         "station_code",
@@ -182,8 +195,7 @@ def station_layout(members: DataFrame) -> DataFrame:
         "archive_year",
         "station_code",
         *[_metadata_value(F.col("head"), key).alias(f) for f, key in METADATA_KEYS.items()],
-        _position(F.col("header"), DATE_HEADER).alias("date_at"),
-        *[_position(F.col("header"), h).alias(f"{f}_at") for f, h in MEASURE_HEADERS.items()],
+        _places(F.col("header")).alias("places"),
         F.slice("lines", METADATA_LINES + 2, F.greatest(F.size("lines"), F.lit(1))).alias("body"),
     )
 
@@ -193,22 +205,37 @@ def hourly_records(members: DataFrame, start: date, end: date) -> DataFrame:
 
     Besides the source fields each row carries ``read_order``: years in order, then lines in file
     order. Lines with no usable date are left out.
+
+    Two details keep each text from being taken apart more than once. The lines are exploded with
+    ``outer``, as Spark otherwise tests every body for emptiness on its own. The cells pass through
+    a one-element ``inline``, as the date filter would otherwise be pushed below the split and
+    repeat it.
     """
     layout = station_layout(members)
     constants = [c for c in layout.columns if c != "body"]
-    rows = layout.select(*constants, F.posexplode("body").alias("line_no", "line"))
-    cells = rows.select(
+    rows = layout.select(*constants, F.posexplode_outer("body").alias("line_no", "line"))
+    cells = rows.select(*constants, "line_no", csv_cells(F.col("line")).alias("line_cells"))
+    dated = cells.select(
         *constants,
-        (F.shiftleft(F.col("archive_year").cast("long"), 32) + F.col("line_no")).alias("read_order"),
-        csv_cells(F.col("line")).alias("cells"),
+        "line_no",
+        F.inline(
+            F.array(
+                F.struct(
+                    slash_date(F.get("line_cells", F.get("places", F.lit(0)))).alias("DT_MEDICAO"),
+                    F.col("line_cells").alias("cells"),
+                )
+            )
+        ),
     )
-    dated = cells.withColumn("DT_MEDICAO", slash_date(F.get("cells", F.col("date_at"))))
     return dated.filter(F.col("DT_MEDICAO").between(start, end)).select(
         F.col("station_code").alias("CD_ESTACAO"),
         *METADATA_KEYS,
         "DT_MEDICAO",
-        *[F.get("cells", F.col(f"{f}_at")).alias(f) for f in MEASURE_HEADERS],
-        "read_order",
+        *[
+            F.get("cells", F.get("places", F.lit(i))).alias(name)
+            for i, name in enumerate(MEASURE_HEADERS, start=1)
+        ],
+        (F.shiftleft(F.col("archive_year").cast("long"), 32) + F.col("line_no")).alias("read_order"),
     )
 
 
