@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from datetime import date
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +27,6 @@ from climora.sources.archives import (
 )
 from climora.streaming.daily_climate import maintain_daily_climate
 
-from datetime import date
-
 FIRST_DAY, LAST_DAY = date(2024, 1, 3), date(2024, 1, 27)
 CODE_LIST = ", ".join(f"'{c}'" for c in MUNICIPALITIES)
 
@@ -110,7 +109,7 @@ def station_files(spark: SparkSession, sf: str) -> DataFrame:
         f" concat_ws(';', date_format(ts, 'yyyy/M/d'), '0000', {temperature}, '1'),"
         " '', 'no date;0000;1;2;3;4') AS content",
     )
-    members = files.withColumn("content", F.encode("content", ENCODING))
+    members = files.withColumn("content", F.encode("content", ENCODING)).repartition("station_code")
     return hourly_records(members, FIRST_DAY, LAST_DAY).drop("read_order")
 
 

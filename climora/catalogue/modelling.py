@@ -21,8 +21,8 @@ from climora.sources import sinks, tables
 RANGE = (date(1996, 3, 1), date(1998, 8, 31))
 
 
-def all_models(spark: SparkSession, sf: str, start=None, end=None) -> dict[str, DataFrame]:
-    return jobs.models(
+def all_models(spark: SparkSession, sf: str, start=None, end=None) -> jobs.Models:
+    return jobs.Models(
         climate=inputs.daily_climate(spark, sf),
         admissions=clean_admissions(inputs.raw_admissions(spark, sf), MUNICIPALITIES, DIAGNOSIS),
         municipalities=inputs.municipalities(spark, sf),
@@ -33,13 +33,13 @@ def all_models(spark: SparkSession, sf: str, start=None, end=None) -> dict[str,
     )
 
 
-def stored_models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def stored_models(spark: SparkSession, sf: str) -> jobs.Models:
     """The models over stored inputs, as the jobs run them: many checks, one ingestion."""
     root = f"{shared_folder(spark)}/inputs-{uuid.uuid4().hex}"
     raw = inputs.raw_admissions(spark, sf)
     sinks.write_table(clean_admissions(raw, MUNICIPALITIES, DIAGNOSIS), f"{root}/admissions")
     sinks.write_table(inputs.daily_climate(spark, sf), f"{root}/climate")
-    return jobs.models(
+    return jobs.Models(
         climate=tables.read_daily_climate(spark, f"{root}/climate"),
         admissions=tables.read_admissions(spark, f"{root}/admissions"),
         municipalities=inputs.municipalities(spark, sf),

@@ -30,18 +30,13 @@ def lagged_correlation(mart: DataFrame, max_lag: int = 14) -> DataFrame:
     filled = day_series(span, "first_day", "end_day").join(
         daily, ["station_code", "date_day"], "left"
     )
-    lags = range(max_lag + 1)
     by_day = W.partitionBy("station_code").orderBy("date_day")
     admissions = F.coalesce("admissions", F.lit(0)).cast("double")
-    shifted = filled.select(
-        "station_code",
-        "avg_temp",
-        *[F.lead(admissions, k).over(by_day).alias(f"after_{k}") for k in lags],
+    later = F.array(*[F.lead(admissions, k).over(by_day) for k in range(max_lag + 1)])
+    pairs = filled.select("station_code", "avg_temp", later.alias("later")).select(
+        "station_code", "avg_temp", F.posexplode("later").alias("lag_days", "admissions")
     )
-    per_station = shifted.groupBy("station_code").agg(
-        *[F.corr("avg_temp", f"after_{k}").alias(f"corr_{k}") for k in lags]
+    # Rows are already partitioned by station here, so this grouping needs no further shuffle.
+    return pairs.groupBy("station_code", "lag_days").agg(
+        F.corr("avg_temp", "admissions").alias("correlation")
     )
-    series = F.array(
-        *[F.struct(F.lit(k).alias("lag_days"), F.col(f"corr_{k}").alias("correlation")) for k in lags]
-    )
-    return per_station.select("station_code", F.inline(series))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -45,36 +46,59 @@ class Sources:
     station_mapping: str
 
 
-def models(
-    climate: DataFrame,
-    admissions: DataFrame,
-    municipalities: DataFrame,
-    mapping: DataFrame,
-    calendar: DataFrame,
-    start: date | None = None,
-    end: date | None = None,
-) -> dict[str, DataFrame]:
-    """Every model by name, lazily."""
-    staged_climate = staging.stage_daily_climate(climate)
-    staged_admissions = staging.stage_admissions(admissions)
-    enriched = staging.enrich_admissions(staged_admissions)
-    admissions_fact = marts.fct_respiratory_admissions(enriched)
-    climate_fact = marts.fct_daily_climate(staged_climate)
-    return {
-        "municipalities": municipalities,
-        "municipality_station_mapping": mapping,
-        "stg_inmet__daily_climate": staged_climate,
-        "stg_datasus__admissions": staged_admissions,
-        "int_datasus__admissions_enriched": enriched,
-        "dim_date": calendar,
-        "dim_location": marts.dim_location(staged_admissions, municipalities),
-        "dim_weather_station": marts.dim_weather_station(staged_climate),
-        "fct_respiratory_admissions": admissions_fact,
-        "fct_daily_climate": climate_fact,
-        "mart_climate_health_correlation": marts.correlation_mart(
-            admissions_fact, climate_fact, mapping, start, end
-        ),
-    }
+class Models(Mapping[str, DataFrame]):
+    """The models by name. Each is declared when first asked for, from the models it reads."""
+
+    def __init__(
+        self,
+        climate: DataFrame,
+        admissions: DataFrame,
+        municipalities: DataFrame,
+        mapping: DataFrame,
+        calendar: DataFrame,
+        start: date | None = None,
+        end: date | None = None,
+    ) -> None:
+        self._makers: dict[str, Callable[[], DataFrame]] = {
+            "municipalities": lambda: municipalities,
+            "municipality_station_mapping": lambda: mapping,
+            "stg_inmet__daily_climate": lambda: staging.stage_daily_climate(climate),
+            "stg_datasus__admissions": lambda: staging.stage_admissions(admissions),
+            "int_datasus__admissions_enriched": lambda: staging.enrich_admissions(
+                self["stg_datasus__admissions"]
+            ),
+            "dim_date": lambda: calendar,
+            "dim_location": lambda: marts.dim_location(
+                self["stg_datasus__admissions"], municipalities
+            ),
+            "dim_weather_station": lambda: marts.dim_weather_station(
+                self["stg_inmet__daily_climate"]
+            ),
+            "fct_respiratory_admissions": lambda: marts.fct_respiratory_admissions(
+                self["int_datasus__admissions_enriched"]
+            ),
+            "fct_daily_climate": lambda: marts.fct_daily_climate(self["stg_inmet__daily_climate"]),
+            "mart_climate_health_correlation": lambda: marts.correlation_mart(
+                self["fct_respiratory_admissions"], self["fct_daily_climate"], mapping, start, end
+            ),
+        }
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def replace(self, name: str, rows: DataFrame) -> None:
+        """Let later models read ``rows`` (a stored copy, say) under this name."""
+        self._makers[name] = lambda: rows
+        self._made[name] = rows
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
 
 
 STORED = (
@@ -87,33 +111,27 @@ STORED = (
 )
 
 
-def build_models(
-    spark: SparkSession, sources: Sources, output: str, as_of: date
-) -> dict[str, DataFrame]:
+def build_models(spark: SparkSession, sources: Sources, output: str, as_of: date) -> Models:
     """Build all models, store the marts under ``output``, publish every one as a view.
 
-    The mart is built from the stored facts, so no fact is computed twice.
+    The stored marts come facts first, so the mart reads the stored facts and computes none twice.
     """
-    mapping = tables.read_station_mapping(spark, sources.station_mapping)
-    built = models(
+    built = Models(
         tables.read_daily_climate(spark, sources.climate),
         tables.read_admissions(spark, sources.admissions),
         tables.read_municipalities(spark, sources.municipalities),
-        mapping,
+        tables.read_station_mapping(spark, sources.station_mapping),
         marts.dim_date(spark, as_of),
     )
     for name in STORED:
-        if name == "mart_climate_health_correlation":
-            built[name] = marts.correlation_mart(
-                built["fct_respiratory_admissions"], built["fct_daily_climate"], mapping
-            )
-        sinks.write_table(built[name], f"{output}/{name}")
-        built[name] = spark.read.schema(built[name].schema).parquet(f"{output}/{name}")
+        rows = built[name]
+        sinks.write_table(rows, f"{output}/{name}")
+        built.replace(name, spark.read.schema(rows.schema).parquet(f"{output}/{name}"))
     sinks.publish_views(built)
     return built
 
 
-def check_models(built: dict[str, DataFrame], output: str, run_date: date) -> DataFrame:
+def check_models(built: Models, output: str, run_date: date) -> DataFrame:
     """Run the declared checks and keep their results under ``output``."""
     results = run_checks(declared_checks(), built)
     store_results(results, output, run_date)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -61,7 +63,7 @@ def write_table(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def publish_views(models: dict[str, DataFrame]) -> None:
+def publish_views(models: Mapping[str, DataFrame]) -> None:
     """Make models readable by name in SQL."""
     for name, rows in models.items():
         rows.createOrReplaceTempView(name)
