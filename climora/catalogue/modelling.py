@@ -327,7 +327,7 @@ def freshness(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _FRESHNESS_SQL = """SELECT max(admission_date) AS latest,
-    date_diff('day', max(admission_date), DATE '2001-09-01') AS age_days,
+    CAST(date_diff('day', max(admission_date), DATE '2001-09-01') AS INTEGER) AS age_days,
     date_diff('day', max(admission_date), DATE '2001-09-01') > 62 AS is_stale
     FROM stg_datasus__admissions"""
 

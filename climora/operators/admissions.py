@@ -26,7 +26,7 @@ def filter_by_municipality(
 
 
 def is_in_municipalities(codes, column: str = "MUNIC_RES") -> Column:
-    return F.coalesce(F.col(column).cast("string").isin(*codes), F.lit(False))
+    return F.col(column).cast("string").isin(*codes)
 
 
 def literal_prefix(pattern: str) -> str:
@@ -39,16 +39,17 @@ def literal_prefix(pattern: str) -> str:
 
 
 def matches_diagnosis(pattern: str, column: str = "DIAG_PRINC") -> Column:
-    """The diagnosis starts with a match of ``pattern``; NULL does not match.
+    """The diagnosis starts with a match of ``pattern``; unknown, so not kept, where it is NULL.
 
-    The literal prefix is stated again because Parquet can skip data on it, not on a pattern.
+    The literal prefix is stated again because Parquet can skip data on it, not on a pattern. A
+    ``coalesce`` around the predicate would keep both from reaching the scan.
     """
     code = F.col(column).cast("string")
     hit = code.rlike(f"^(?:{pattern})")
     prefix = literal_prefix(pattern)
     if prefix:
         hit = code.startswith(prefix) & hit
-    return F.coalesce(hit, F.lit(False))
+    return hit
 
 
 def filter_by_diagnosis(

@@ -37,6 +37,8 @@ MEASURE_HEADERS = {
     "CHUVA": "PRECIPITAÇÃO TOTAL, HORÁRIO (mm)",
 }
 
+BROADCAST_FILES = 20_000
+
 # Every line boundary that can occur in Latin-1 text, besides the line feed itself.
 _OTHER_LINE_ENDS = ("\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85")
 
@@ -129,7 +131,8 @@ def scan_station_files(
 ) -> DataFrame:
     """Station files already unpacked under ``root/<year>/``; first name per station wins.
 
-    The winner is chosen on paths alone, so file contents are not shuffled.
+    The winners are found from paths alone. Up to ``BROADCAST_FILES`` of them (a few MB) are sent to
+    every task, so no file content is shuffled; beyond that the contents are joined by shuffle.
     """
     years = _years(start, end)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
@@ -146,6 +149,8 @@ def scan_station_files(
         coded = named.withColumn("station_code", F.explode(F.array_compact(F.array(*hits))))
     coded = coded.filter(F.col("station_code").isNotNull())
     first = coded.groupBy("archive_year", "station_code").agg(F.min("path").alias("path"))
+    if first.count() <= BROADCAST_FILES:
+        first = F.broadcast(first)
     return coded.join(first, ["archive_year", "station_code", "path"], "left_semi").select(
         "archive_year", "station_code", "member", "content"
     )

@@ -1,0 +1,119 @@
+from datetime import date
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from climora.functions import calendar, geography, parsing
+
+
+def evaluate(spark, expression, values, kind="string"):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {kind}")
+    return [r[1] for r in rows.select("i", expression(F.col("x")).alias("y")).orderBy("i").collect()]
+
+
+def python_float(text):
+    """What a plain number parse gives, NULL for what it refuses."""
+    try:
+        return float(text.strip().replace(",", "."))
+    except ValueError:
+        return None
+
+
+SPELLINGS = [
+    "18,4", "18.4", " 7 ", "", "  ", "not-a-number", "-25,4486111", "+3", ".5", "5.", "1e3", "1,5E-2",
+    "1_000", "1__0", "_1", "1_000,5", "1.5d", "1.5F", "0x10", "0x1p3", "1e", ".", "-", "inf", "-Infinity",
+    "1.2.3", "12 3", "\xa09,5\xa0", "\t4\t", "9" * 30, "1e400", "x", "d", "f",
+]
+
+
+def test_tolerant_numbers_follow_the_plain_parse(spark):
+    got = evaluate(spark, lambda c: parsing.tolerant_double(c, decimal_comma=True), SPELLINGS)
+    assert dict(zip(SPELLINGS, got)) == {s: python_float(s) for s in SPELLINGS}
+
+
+def test_tolerant_numbers_keep_null_and_nan(spark):
+    got = evaluate(spark, parsing.tolerant_double, [None, "nan", "1,5", "1500.50"])
+    assert got[0] is None and got[1] != got[1] and got[2:] == [None, 1500.5]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.,-+eE_dfxin ", max_size=8), min_size=20, max_size=60))
+def test_any_text_parses_like_the_plain_parse(spark, texts):
+    got = evaluate(spark, lambda c: parsing.tolerant_double(c, decimal_comma=True), texts)
+    assert got == [python_float(t) for t in texts]
+
+
+def test_dates(spark):
+    compact = ["20240115", "20240230", "", None, "2024-01-15", "x"]
+    assert evaluate(spark, parsing.compact_date, compact) == [date(2024, 1, 15)] + [None] * 5
+    slashed = ["2024/05/01", "2024/5/1", " 2024/5/1 ", "2024-05-01", "2024/02/30", "", None, "2024/05"]
+    assert evaluate(spark, parsing.slash_date, slashed) == [date(2024, 5, 1)] * 3 + [None] * 5
+
+
+def test_cells(spark):
+    lines = ["a;b;;c;", 'a;"b;c";"d ""e""";f', "", 'x"y;z']
+    got = evaluate(spark, parsing.csv_cells, lines)
+    assert got == [["a", "b", "", "c", ""], ["a", "b;c", 'd "e"', "f"], [""], ['x"y', "z"]]
+
+
+def test_whole_numbers_go_to_the_even_neighbour(spark):
+    got = evaluate(spark, parsing.whole_number, [2.5, 3.5, 1.6, -2.5, None], "double")
+    assert got == [2, 4, 2, -2, None]
+
+
+def test_blanks(spark):
+    assert evaluate(spark, parsing.blank_to_null, ["", "  ", " a ", None]) == [None, None, "a", None]
+    assert evaluate(spark, parsing.empty_to_null, ["", " ", "a"]) == [None, " ", "a"]
+
+
+def test_seasons_and_weekdays(spark):
+    days = [date(2024, 12, 1), date(2024, 2, 29), date(2024, 3, 1), date(2024, 8, 31), date(2024, 9, 1)]
+    assert evaluate(spark, calendar.southern_season, days, "date") == [
+        "Summer", "Summer", "Autumn", "Winter", "Spring",
+    ]
+    sunday = [date(2024, 1, 7), date(2024, 1, 8), date(2024, 1, 13)]
+    assert evaluate(spark, calendar.day_of_week, sunday, "date") == [0, 1, 6]
+    assert evaluate(spark, calendar.month_name, sunday[:1], "date") == ["January"]
+
+
+def test_periods(spark):
+    days = [date(2024, 1, 7), date(2024, 1, 8)]
+    assert evaluate(spark, lambda c: calendar.period_start(c, "weekly"), days, "date") == [
+        date(2024, 1, 1), date(2024, 1, 8),
+    ]
+    for other in ("monthly", "'; drop table", "", None, "week"):
+        assert calendar.granularity_unit(other) == "month"
+    assert evaluate(spark, lambda c: calendar.period_label(c, "weekly"), days, "date") == [
+        "Jan 7, 2024", "Jan 8, 2024",
+    ]
+    assert evaluate(spark, lambda c: calendar.period_label(c, None), days[:1], "date") == ["Jan 2024"]
+
+
+def test_day_series_excludes_its_end_and_may_be_empty(spark):
+    spans = spark.sql(
+        "SELECT 'a' AS k, DATE'2024-02-28' AS s, DATE'2024-03-01' AS e UNION ALL"
+        " SELECT 'b', DATE'2024-01-01', DATE'2024-01-01' UNION ALL"
+        " SELECT 'c', DATE'2024-01-02', DATE'2024-01-01'"
+    )
+    got = calendar.day_series(spans, "s", "e").collect()
+    assert sorted(tuple(r) for r in got) == [("a", date(2024, 2, 28)), ("a", date(2024, 2, 29))]
+
+
+def test_every_state_has_its_region(spark):
+    states = [s for group in geography.REGION_STATES.values() for s in group]
+    assert len(states) == len(set(states)) == 27
+    got = evaluate(spark, geography.macro_region, states + ["XX", "pr", None, ""])
+    want = [r for r, group in geography.REGION_STATES.items() for _ in group]
+    assert got == want + ["Unknown"] * 4
+
+
+@pytest.mark.parametrize(
+    "a, b, km", [((0, 0), (0, 1), 111.195), ((-25.43, -49.27), (-25.45, -49.23), 4.6), ((10, 20), (10, 20), 0)]
+)
+def test_distances(spark, a, b, km):
+    row = spark.range(1).select(
+        geography.haversine_km(*[F.lit(float(v)) for v in (*a, *b)]).alias("d")
+    )
+    assert row.first()[0] == pytest.approx(km, abs=0.1)
