@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from climora.functions.calendar import month_start
@@ -76,34 +76,42 @@ def merge_admissions(spark: SparkSession, updates: DataFrame, path: str) -> int:
 
     ``updates`` holds clean admissions, one row per record number. A corrected admission date can
     move a record to another month, so a month counts as touched when it holds an old or a new
-    version. Touched months are rewritten from old and new rows; a month that loses its last record
-    is removed afterwards. Repeating the merge gives the same table.
+    version. Only touched months are read in full and rewritten; one that loses its last record is
+    removed afterwards. Repeating the merge gives the same table.
     """
     stored = read_admissions(spark, path)
     fresh = updates.withColumn("admission_month", month_start(F.col("admission_date"))).select(
         *stored.columns
     )
-    keys = fresh.select("aih_number")
+    keys = fresh.select("aih_number").alias("k")
     same_key = F.col("s.aih_number").eqNullSafe(F.col("k.aih_number"))
-    left_months = (
-        stored.alias("s").join(keys.alias("k"), same_key, "left_semi").select("admission_month")
+    left = stored.alias("s").join(keys, same_key, "left_semi").select("admission_month")
+    # Calendar months: a few hundred values at most, and as literals they prune folders.
+    touched = {r[0] for r in left.union(fresh.select("admission_month")).distinct().collect()}
+    month = F.col("admission_month")
+    in_touched = month.isin(*[m for m in touched if m is not None])
+    if None in touched:
+        in_touched = in_touched | month.isNull()
+    kept = stored.filter(in_touched).alias("s").join(keys, same_key, "left_anti")
+    written = Observation("written")
+    (
+        kept.unionByName(fresh)
+        .hint("rebalance", "admission_month")
+        .observe(
+            written,
+            F.count(F.lit(1)).alias("rows"),
+            F.collect_set("admission_month").alias("months"),
+            F.count_if(month.isNull()).alias("undated"),
+        )
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("admission_month")
+        .parquet(path)
     )
-    touched = left_months.union(fresh.select("admission_month")).distinct()
-    same_month = F.col("s.admission_month").eqNullSafe(F.col("t.admission_month"))
-    old = stored.alias("s").join(touched.alias("t"), same_month, "left_semi")
-    kept = old.alias("s").join(keys.alias("k"), same_key, "left_anti")
-    # Months are calendar months: a few hundred values at most.
-    before = {row[0] for row in left_months.distinct().collect()}
-    after = {
-        row[0]
-        for row in kept.select("admission_month")
-        .union(fresh.select("admission_month"))
-        .distinct()
-        .collect()
-    }
-    written = replace_partitions(kept.unionByName(fresh), path, ("admission_month",))
-    _delete_month_folders(spark, path, sorted(before - after, key=str))
-    return written
+    result = written.get
+    filled = set(result["months"]) | ({None} if result["undated"] else set())
+    _delete_month_folders(spark, path, sorted(touched - filled, key=str))
+    return result["rows"]
 
 
 def latest_versions(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from climora.operators.admissions import clean_admissions
@@ -16,12 +18,25 @@ from climora.plans import marts, staging
 from climora.sources import sinks, tables
 from climora.sources.archives import hourly_records, scan_archives
 
+logger = logging.getLogger(__name__)
+
 
 def ingest_climate(spark: SparkSession, archives: str, output: str, run: ClimateRun) -> int:
-    """Yearly archives to stored daily climate; returns the number of station-days written."""
-    members = scan_archives(spark, archives, run.start, run.end, run.stations)
+    """Yearly archives to stored daily climate; returns the number of station-days written.
+
+    Archives that were not landed mean no new data: the stored days stay as they are.
+    """
+    try:
+        members = scan_archives(spark, archives, run.start, run.end, run.stations)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        logger.warning("no archives under %s; stored days are left as they are", archives)
+        return 0
     readings = normalize_readings(hourly_records(members, run.start, run.end))
-    return sinks.write_daily_climate(aggregate_daily(readings), output)
+    written = sinks.write_daily_climate(aggregate_daily(readings), output)
+    logger.info("wrote %d station-days for %s to %s", written, run.start, run.end)
+    return written
 
 
 def ingest_admissions(spark: SparkSession, landing: str, output: str, run: AdmissionsRun) -> int:
@@ -33,7 +48,9 @@ def ingest_admissions(spark: SparkSession, landing: str, output: str, run: Admis
     """
     records = tables.read_landed_admissions(spark, landing, run.competences)
     admissions = clean_admissions(records, run.municipalities, run.diagnosis_pattern)
-    return sinks.write_admissions(admissions, output)
+    written = sinks.write_admissions(admissions, output)
+    logger.info("wrote %d admissions of %s to %s", written, run.first, run.last)
+    return written
 
 
 @dataclass(frozen=True)

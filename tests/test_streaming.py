@@ -1,0 +1,27 @@
+from datetime import date, timedelta
+
+from climora.operators.climate import aggregate_daily
+from climora.sources import tables
+from climora.streaming.daily_climate import maintain_daily_climate
+from test_climate import READING, reading
+
+
+def test_stream_reaches_the_batch_result(spark, tmp_path):
+    landing, table, log = (str(tmp_path / n) for n in ("landing", "table", "log"))
+    start = date(2024, 5, 1)
+    arrivals = [
+        [reading(1, 10.0, rain=1.0), reading(2, 20.0, station="A999", name="OTHER")],
+        # The first day again, two days late, with an earlier line that names the station.
+        [reading(0, 30.0, rain=2.0, name="FIRST"), reading(3, 5.0, day=start + timedelta(days=2))],
+    ]
+    seen = []
+    for rows in arrivals:
+        spark.createDataFrame(rows, READING).coalesce(1).write.mode("append").parquet(landing)
+        seen += rows
+        source = spark.readStream.schema(READING).parquet(landing)
+        maintain_daily_climate(source, table, log).awaitTermination()
+        batch = aggregate_daily(spark.createDataFrame(seen, READING))
+        stored = tables.read_daily_climate(spark, table)
+        assert sorted(map(tuple, stored.select(*batch.columns).collect())) == sorted(
+            map(tuple, batch.collect())
+        )

@@ -185,6 +185,7 @@ def test_all_jobs_end_to_end(spark, tmp_path):
     at = lambda name: str(tmp_path / name)
     run = ClimateRun(date(2024, 1, 1), date(2024, 1, 31))
     assert jobs.ingest_climate(spark, at("zips"), at("climate"), run) == 31
+    assert jobs.ingest_climate(spark, at("nowhere"), at("climate"), run) == 0
     assert jobs.ingest_admissions(spark, at("landing"), at("admissions"), AdmissionsRun((2024, 1), (2024, 1))) == 3
     sources = jobs.Sources(at("climate"), at("admissions"), at("municipalities.csv"), at("mapping.csv"))
     built = jobs.build_models(spark, sources, at("marts"), as_of=date(2024, 6, 1))
