@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from climora.operators.changes import merge_daily_climate
 from climora.operators.climate import daily_measures
 from climora.params import LOOKBACK_DAYS
+from climora.schemas import DAILY_CLIMATE
 
 
 def stream_daily(readings: DataFrame, lateness_days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -17,13 +18,16 @@ def stream_daily(readings: DataFrame, lateness_days: int = LOOKBACK_DAYS) -> Dat
     State is kept for ``lateness_days``. A reading that arrives later than that does not enter the
     stream's result any more; the batch job over the archive is the way to bring it in.
     """
-    timed = readings.withColumn("reading_day", F.col("date").cast("timestamp"))
+    # Days as UTC midnights, computed without the session's zone.
+    midnight = F.timestamp_seconds(F.unix_date("date").cast("long") * 86400)
+    day = F.date_from_unix_date((F.unix_seconds("reading_day") / 86400).cast("int"))
     return (
-        timed.withWatermark("reading_day", f"{lateness_days} days")
-        .groupBy("station_code", F.window("reading_day", "1 day").alias("day_window"))
+        readings.withColumn("reading_day", midnight)
+        .withWatermark("reading_day", f"{lateness_days} days")
+        .groupBy("station_code", "reading_day")
         .agg(*daily_measures())
-        .withColumn("date", F.to_date("day_window.start"))
-        .drop("day_window")
+        .withColumn("date", day)
+        .drop("reading_day")
     )
 
 
@@ -37,20 +41,7 @@ def maintain_daily_climate(
 
     def store(changed: DataFrame, batch_id: int) -> None:
         spark: SparkSession = changed.sparkSession
-        rows = changed.select(
-            "station_code",
-            "date",
-            "station_name",
-            "state",
-            "latitude",
-            "longitude",
-            "avg_temp",
-            "min_temp",
-            "max_temp",
-            "avg_relative_humidity",
-            "total_precipitation",
-        )
-        rows.persist()
+        rows = changed.select(*DAILY_CLIMATE.names).persist()
         try:
             merge_daily_climate(spark, rows, path)
         finally:
