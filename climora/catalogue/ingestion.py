@@ -248,9 +248,22 @@ def date_range_inclusive(spark: SparkSession, sf: str) -> DataFrame:
 
 def trailing_window(spark: SparkSession, sf: str) -> DataFrame:
     """The ten days that end the day before a given day, aggregated for replacement."""
-    run = ClimateRun.default(as_of=date(2024, 1, 25), stations=("U1", "U2", "U3", "U2"))
-    wanted = climate.for_stations(inputs.readings(spark, sf), run.stations)
-    return climate.aggregate_daily(climate.within_dates(wanted, "date", run.start, run.end))
+    run = ClimateRun.default(as_of=date(2024, 1, 25))
+    recent = climate.within_dates(inputs.readings(spark, sf), "date", run.start, run.end)
+    return climate.aggregate_daily(recent)
+
+
+def station_list_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings per day of a configured list of stations, one of which is named twice."""
+    run = ClimateRun(FIRST_DAY, LAST_DAY, stations=("view", "click", "signup", "view", "none"))
+    stations = table(spark, sf, "events").selectExpr(
+        "event_type AS station_code", "cast(ts AS date) AS date"
+    )
+    return (
+        climate.for_stations(stations, run.stations)
+        .groupBy("station_code", "date")
+        .agg(F.count(F.lit(1)).alias("readings"))
+    )
 
 
 def station_table_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -485,9 +498,15 @@ _CHANGED_SQL = """SELECT DISTINCT state, competence FROM raw_admissions
 
 
 def daily_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The stream of readings, run until its input is used up, and the table it maintains."""
+    """The stream of readings, run until its input is used up, and the table it maintains.
+
+    A stream keeps the number of state partitions it started with, so it gets a session of its own
+    with one per core.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     source = (
-        spark.readStream.schema(table(spark, sf, "events").schema)
+        own.readStream.schema(inputs.SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf)
     )
@@ -556,12 +575,16 @@ QUERIES = {
         sql(
             _DAILY_SQL.replace(
                 "FROM readings",
-                f"FROM readings WHERE date BETWEEN DATE '{_WINDOW[0]}' AND DATE '{_WINDOW[1]}'"
-                " AND station_code IN ('U1', 'U2', 'U3')",
+                f"FROM readings WHERE date BETWEEN DATE '{_WINDOW[0]}' AND DATE '{_WINDOW[1]}'",
             ),
             "readings",
         ),
     ),
+    "station_list_filter": (
+        station_list_filter,
+        "SELECT event_type AS station_code, CAST(ts AS DATE) AS date, count(*) AS readings"
+        " FROM events WHERE event_type IN ('view', 'click', 'signup') GROUP BY 1, 2",
+    ),
     "station_table_filter": (
         station_table_filter,
         sql(f"SELECT * FROM readings WHERE station_code IN ({_CUSTOMERS_AS_STATIONS})", "readings"),

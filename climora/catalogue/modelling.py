@@ -306,14 +306,12 @@ _VOLUME_SQL = """SELECT group_key, day, row_count, days_before, round(expected,
 
 
 def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """Landed columns against the expected schema, beside the rows that carry them."""
+    """Landed columns that differ from the expected schema, with the rows they concern."""
     landed = inputs.daily_climate(spark, sf).withColumn(
         "avg_temp", F.col("avg_temp").cast("float")
     )
     landed = landed.withColumnRenamed("total_precipitation", "rain")
-    drift = monitoring.schema_drift(spark, landed.schema, schemas.DAILY_CLIMATE)
-    rows = landed.agg(F.count(F.lit(1)).alias("row_count"))
-    return drift.join(rows, F.lit(True), "left")
+    return monitoring.schema_drift(landed, schemas.DAILY_CLIMATE)
 
 
 _SCHEMA_DRIFT_SQL = """SELECT v.*, (SELECT count(*) FROM daily_climate) AS row_count FROM (VALUES

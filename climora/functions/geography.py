@@ -1,4 +1,4 @@
-"""Expressions over Brazilian states and over coordinates."""
+"""Expressions over Brazilian states."""
 
 from __future__ import annotations
 
@@ -15,19 +15,8 @@ REGION_STATES = {
 }
 UNKNOWN_REGION = "Unknown"
 
-EARTH_RADIUS_KM = 6371.0
-
 
 def macro_region(state: Column) -> Column:
     """Macro-region of a two-letter state code; anything else, NULL included, is ``Unknown``."""
     pairs = [F.lit(x) for region, states in REGION_STATES.items() for s in states for x in (s, region)]
     return F.coalesce(F.create_map(*pairs)[state], F.lit(UNKNOWN_REGION))
-
-
-def haversine_km(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:
-    half_lat = F.radians(lat_b - lat_a) / 2
-    half_lon = F.radians(lon_b - lon_a) / 2
-    chord = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * F.pow(
-        F.sin(half_lon), 2
-    )
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from climora.functions.calendar import month_start
-from climora.operators.admissions import keep_last
+from climora.schemas import ADMISSIONS
 from climora.sources.sinks import (
     CLIMATE_BY_DATE,
     CLIMATE_BY_MONTH,
@@ -62,13 +63,13 @@ def merge_daily_climate(
     return replace_partitions(prefer_fresh(touched, fresh), path, by)
 
 
-def _delete_month_folders(spark: SparkSession, path: str, months: list[date]) -> None:
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _empty_months(spark: SparkSession, path: str, months: set[date | None]) -> None:
+    """Leave no rows in the given month folders; a dynamic overwrite only sees folders it fills."""
+    fields = [f for f in ADMISSIONS if f.name != "admission_month"]
+    nothing = spark.createDataFrame([], T.StructType(fields))
     for month in months:
         name = "__HIVE_DEFAULT_PARTITION__" if month is None else month.isoformat()
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"admission_month={name}")
-        files.delete(folder, True)
+        nothing.write.mode("overwrite").parquet(f"{path}/admission_month={name}")
 
 
 def merge_admissions(spark: SparkSession, updates: DataFrame, path: str) -> int:
@@ -77,7 +78,7 @@ def merge_admissions(spark: SparkSession, updates: DataFrame, path: str) -> int:
     ``updates`` holds clean admissions, one row per record number. A corrected admission date can
     move a record to another month, so a month counts as touched when it holds an old or a new
     version. Only touched months are read in full and rewritten; one that loses its last record is
-    removed afterwards. Repeating the merge gives the same table.
+    emptied afterwards. Repeating the merge gives the same table.
     """
     stored = read_admissions(spark, path)
     fresh = updates.withColumn("admission_month", month_start(F.col("admission_date"))).select(
@@ -110,16 +111,5 @@ def merge_admissions(spark: SparkSession, updates: DataFrame, path: str) -> int:
     )
     result = written.get
     filled = set(result["months"]) | ({None} if result["undated"] else set())
-    _delete_month_folders(spark, path, sorted(touched - filled, key=str))
+    _empty_months(spark, path, touched - filled)
     return result["rows"]
-
-
-def latest_versions(
-    stored: DataFrame, updates: DataFrame, key: tuple[str, ...], version: Column
-) -> DataFrame:
-    """Stored rows and updates as one table, the highest ``version`` per key winning.
-
-    ``version`` must order any two rows of a key; both sides need the columns it uses.
-    """
-    both = stored.unionByName(updates).withColumn("merge_version", version)
-    return keep_last(both, key, ("merge_version",)).drop("merge_version")

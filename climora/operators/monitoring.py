@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,16 +40,19 @@ def volume_anomalies(
     )
 
 
-def schema_drift(spark: SparkSession, actual: T.StructType, expected: T.StructType) -> DataFrame:
-    """Columns that are missing, unexpected, or of another type; metadata only, no data read."""
-    have = {f.name: f.dataType.simpleString() for f in actual}
+def schema_drift(rows: DataFrame, expected: T.StructType) -> DataFrame:
+    """Columns that are missing, unexpected, or of another type, beside the rows they concern."""
+    have = {f.name: f.dataType.simpleString() for f in rows.schema}
     want = {f.name: f.dataType.simpleString() for f in expected}
     found = [
-        (name, want.get(name), have.get(name))
+        F.struct(F.lit(name), F.lit(want.get(name)), F.lit(have.get(name)))
         for name in sorted(have.keys() | want.keys())
         if have.get(name) != want.get(name)
     ]
-    return spark.createDataFrame(found, "column string, expected_type string, actual_type string")
+    entry = "array<struct<column:string,expected_type:string,actual_type:string>>"
+    return rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.inline(F.array(*found).cast(entry)), "row_count"
+    )
 
 
 def freshness(rows: DataFrame, day: str, as_of: date, limit_days: int) -> DataFrame:

@@ -79,7 +79,7 @@ def relationships(model: str, column: str, parent: str, parent_column: str) -> C
             .groupBy(F.col(column).alias("key"))
             .agg(F.count(F.lit(1)).alias("n_records"))
         )
-        parents = models[parent].select(F.col(parent_column).alias("key"))
+        parents = models[parent].select(F.col(parent_column).alias("key")).distinct()
         return children.join(parents, "key", "left_anti")
 
     return Check(model, column, "relationships", failing=failing)

@@ -1,6 +1,5 @@
 from datetime import date
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -107,13 +106,3 @@ def test_every_state_has_its_region(spark):
     got = evaluate(spark, geography.macro_region, states + ["XX", "pr", None, ""])
     want = [r for r, group in geography.REGION_STATES.items() for _ in group]
     assert got == want + ["Unknown"] * 4
-
-
-@pytest.mark.parametrize(
-    "a, b, km", [((0, 0), (0, 1), 111.195), ((-25.43, -49.27), (-25.45, -49.23), 4.6), ((10, 20), (10, 20), 0)]
-)
-def test_distances(spark, a, b, km):
-    row = spark.range(1).select(
-        geography.haversine_km(*[F.lit(float(v)) for v in (*a, *b)]).alias("d")
-    )
-    assert row.first()[0] == pytest.approx(km, abs=0.1)

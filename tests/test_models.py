@@ -192,7 +192,9 @@ def test_monitoring(spark):
     fresh = monitoring.freshness(rows, "day", d(12), 2).first()
     assert tuple(fresh) == (d(10), 2, False)
     assert tuple(monitoring.freshness(rows.limit(0), "day", d(12), 2).first()) == (None, None, True)
-    same = monitoring.schema_drift(spark, schemas.DAILY_CLIMATE, schemas.DAILY_CLIMATE)
-    assert same.count() == 0
-    drift = monitoring.schema_drift(spark, rows.schema, spark.range(1).select(F.lit(1).alias("day")).schema)
-    assert sorted(tuple(r) for r in drift.collect()) == [("day", "int", "date"), ("g", None, "string")]
+    assert monitoring.schema_drift(rows, rows.schema).count() == 0
+    expected = spark.range(1).select(F.lit(1).alias("day"), F.lit(1.5).alias("x").cast("double")).schema
+    drift = monitoring.schema_drift(rows, expected)
+    assert sorted((tuple(r) for r in drift.collect()), key=str) == [
+        ("day", "int", "date", 95), ("g", None, "string", 95), ("x", "double", None, 95),
+    ]

@@ -115,13 +115,6 @@ def test_merge_of_corrections(spark, tmp_path):
         assert stored(spark, path) == want
 
 
-def test_latest_versions(spark):
-    old = spark.createDataFrame([("a", 1, "x"), ("b", 5, "y")], "k string, v int, t string")
-    new = spark.createDataFrame([("a", 2, "z"), ("b", 4, "w")], "k string, v int, t string")
-    got = changes.latest_versions(old, new, ("k",), F.col("v")).collect()
-    assert sorted(tuple(r) for r in got) == [("a", 2, "z"), ("b", 5, "y")]
-
-
 def land(spark, path, competence, *rows):
     full = [(k, "410690", d, diagnosis, "10", "1") for k, d, diagnosis in rows]
     frame = spark.createDataFrame(
