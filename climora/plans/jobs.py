@@ -21,20 +21,28 @@ from climora.sources.archives import hourly_records, scan_archives
 logger = logging.getLogger(__name__)
 
 
-def ingest_climate(spark: SparkSession, archives: str, output: str, run: ClimateRun) -> int:
+def ingest_climate(
+    spark: SparkSession,
+    archives: str,
+    output: str,
+    run: ClimateRun,
+    scan: Callable[..., DataFrame] = scan_archives,
+    by: tuple[str, ...] = sinks.CLIMATE_BY_DATE,
+) -> int:
     """Yearly archives to stored daily climate; returns the number of station-days written.
 
-    Archives that were not landed mean no new data: the stored days stay as they are.
+    ``scan`` may also be ``scan_station_files``, for a landing that is unpacked. Archives that were
+    not landed mean no new data: the stored days stay as they are.
     """
     try:
-        members = scan_archives(spark, archives, run.start, run.end, run.stations)
+        members = scan(spark, archives, run.start, run.end, run.stations)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         logger.warning("no archives under %s; stored days are left as they are", archives)
         return 0
     readings = normalize_readings(hourly_records(members, run.start, run.end))
-    written = sinks.write_daily_climate(aggregate_daily(readings), output)
+    written = sinks.write_daily_climate(aggregate_daily(readings), output, by)
     logger.info("wrote %d station-days for %s to %s", written, run.start, run.end)
     return written
 

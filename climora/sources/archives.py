@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 from datetime import date
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,16 +132,20 @@ def scan_station_files(
 ) -> DataFrame:
     """Station files already unpacked under ``root/<year>/``; first name per station wins.
 
+    Only the folders of the wanted years are listed; a year without a folder contributes nothing.
     The winners are found from paths alone. Up to ``BROADCAST_FILES`` of them (a few MB) are sent to
     every task, so no file content is shuffled; beyond that the contents are joined by shuffle.
     """
-    years = _years(start, end)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    wanted = ",".join(str(year) for year in _years(start, end))
+    try:
+        files = spark.read.format("binaryFile").load(f"{root}/{{{wanted}}}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _MEMBER_SCHEMA)
+    year = F.regexp_extract("path", r"/(\d{4})/[^/]*$", 1).cast("int")
     name = F.element_at(F.split("path", "/"), -1)
-    year = F.regexp_extract("path", r"/(\d{4})/[^/]*$", 1).try_cast("int")
-    named = files.select("path", year.alias("archive_year"), name.alias("member"), "content").filter(
-        F.col("archive_year").between(years[0], years[-1])
-    )
+    named = files.select("path", year.alias("archive_year"), name.alias("member"), "content")
     if stations is None:
         code = F.nullif(F.regexp_extract("member", _STATION_PART.pattern, 1), F.lit(""))
         coded = named.withColumn("station_code", code)

@@ -16,19 +16,14 @@ def oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, oracle, name):
     assert name in ORACLE
-    rows, off = difference(QUERIES[name](spark, SF), oracle, ORACLE[name])
+    frame = QUERIES[name](spark, SF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "strategy=broadcast" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    rows, off = difference(frame, oracle, ORACLE[name])
     assert not off
     assert rows > 0
 
 
 def test_flagship(spark):
     assert __spark_entry__.entry(spark).columns == ["period", "avg_temp", "admission_count"]
-
-
-@pytest.mark.parametrize("name", ["correlation_mart", "clean_admissions", "lagged_corr", "nearest_station"])
-def test_no_cross_join_and_no_forced_broadcast(spark, name):
-    if name not in QUERIES:
-        pytest.skip("not registered")
-    plan = QUERIES[name](spark, SF)._jdf.queryExecution()
-    assert "CartesianProduct" not in plan.executedPlan().toString()
-    assert "strategy=broadcast" not in plan.optimizedPlan().toString()

@@ -9,7 +9,7 @@ from climora.operators import changes
 from climora.params import AdmissionsRun, ClimateRun
 from climora.plans import jobs
 from climora.sources import sinks, tables
-from climora.sources.archives import pack_archive
+from climora.sources.archives import pack_archive, scan_station_files
 from test_archives import ROW, member, station_file
 
 
@@ -179,6 +179,12 @@ def test_all_jobs_end_to_end(spark, tmp_path):
     run = ClimateRun(date(2024, 1, 1), date(2024, 1, 31))
     assert jobs.ingest_climate(spark, at("zips"), at("climate"), run) == 31
     assert jobs.ingest_climate(spark, at("nowhere"), at("climate"), run) == 0
+    (tmp_path / "files" / "2024").mkdir(parents=True)
+    (tmp_path / "files" / "2024" / member()).write_bytes(text)
+    by_month = dict(scan=scan_station_files, by=sinks.CLIMATE_BY_MONTH)
+    assert jobs.ingest_climate(spark, at("files"), at("monthly"), run, **by_month) == 31
+    by_day, by_month = (tables.read_daily_climate(spark, at(n)) for n in ("climate", "monthly"))
+    assert by_day.exceptAll(by_month).count() == 0
     assert jobs.ingest_admissions(spark, at("landing"), at("admissions"), AdmissionsRun((2024, 1), (2024, 1))) == 3
     sources = jobs.Sources(at("climate"), at("admissions"), at("municipalities.csv"), at("mapping.csv"))
     built = jobs.build_models(spark, sources, at("marts"), as_of=date(2024, 6, 1))
