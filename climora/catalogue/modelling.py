@@ -18,6 +18,7 @@ from climora.plans import jobs, marts, staging
 from climora.session import shared_folder
 from climora.sources import sinks, tables
 
+MART = "mart_climate_health_correlation"
 RANGE = (date(1996, 3, 1), date(1998, 8, 31))
 
 
@@ -115,6 +116,30 @@ def correlation_mart_range(spark: SparkSession, sf: str) -> DataFrame:
     return all_models(spark, sf, *RANGE)["mart_climate_health_correlation"]
 
 
+def mart_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart stored by month, of which a span of months is rebuilt from corrected climate."""
+    path = f"{shared_folder(spark)}/mart-{uuid.uuid4().hex}"
+    built = all_models(spark, sf)
+    sinks.write_mart(built[MART], path)
+    corrected = built["fct_daily_climate"].withColumn("avg_temp", F.col("avg_temp") + 1)
+    jobs.refresh_mart(
+        built["fct_respiratory_admissions"],
+        corrected,
+        built["municipality_station_mapping"],
+        path,
+        (1996, 3),
+        (1998, 8),
+    )
+    return tables.read_mart(spark, path)
+
+
+_MART_REFRESH_SQL = f"""SELECT * REPLACE (
+    CASE WHEN date_day BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' THEN avg_temp + 1
+        ELSE avg_temp END AS avg_temp),
+    CAST(date_trunc('month', date_day) AS DATE) AS mart_month
+    FROM mart_climate_health_correlation"""
+
+
 def _series(function, granularity: str | None):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return function(all_models(spark, sf)["mart_climate_health_correlation"], granularity)
@@ -356,8 +381,6 @@ def _nest(body: str, *reads: str) -> str:
     return sql(f"SELECT * FROM ({body})", *reads)
 
 
-MART = "mart_climate_health_correlation"
-
 QUERIES = {
     "stage_climate": (_model("stg_inmet__daily_climate"), _model_sql("stg_inmet__daily_climate")),
     "stage_admissions": (
@@ -399,6 +422,7 @@ QUERIES = {
             MART,
         ),
     ),
+    "mart_refresh": (mart_refresh, sql(_MART_REFRESH_SQL, MART)),
     "rollup_weekly": (_rounded(_series(rollups.points, "weekly")), _series_sql("week")),
     "rollup_monthly": (_rounded(_series(rollups.points, "monthly")), _series_sql("month")),
     "rollup_default": (_rounded(_series(rollups.points, "yearly?")), _series_sql("month")),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from calendar import monthrange
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from climora.operators.admissions import clean_admissions
 from climora.operators.climate import aggregate_daily, normalize_readings
 from climora.operators.quality import declared_checks, run_checks, store_results
-from climora.params import AdmissionsRun, ClimateRun
+from climora.params import AdmissionsRun, ClimateRun, month_range
 from climora.plans import marts, staging
 from climora.sources import sinks, tables
 from climora.sources.archives import hourly_records, scan_archives
@@ -156,6 +157,26 @@ def build_models(spark: SparkSession, sources: Sources, output: str, as_of: date
     return built
 
 
+def refresh_mart(
+    admissions_fact: DataFrame,
+    climate_fact: DataFrame,
+    mapping: DataFrame,
+    path: str,
+    first: tuple[int, int],
+    last: tuple[int, int],
+) -> int:
+    """Rebuild the months ``first`` to ``last`` of a mart stored by month, leaving the others.
+
+    Both facts are cut to those months before they are aggregated and joined.
+    """
+    months = month_range(first, last)
+    start = date(*months[0], 1)
+    end = date(*months[-1], monthrange(*months[-1])[1])
+    return sinks.write_mart(
+        marts.correlation_mart(admissions_fact, climate_fact, mapping, start, end), path
+    )
+
+
 def check_models(built: Models, output: str, run_date: date) -> DataFrame:
     """Run the declared checks and keep their results under ``output``."""
     results = run_checks(declared_checks(), built)

@@ -82,3 +82,19 @@ STATION_MAPPING = T.StructType(
         T.StructField("station_code", T.StringType()),
     ]
 )
+
+MART = T.StructType(
+    [
+        T.StructField("date_day", T.DateType()),
+        T.StructField("station_code", T.StringType()),
+        T.StructField("fk_municipality", T.StringType()),
+        T.StructField("avg_temp", T.DoubleType()),
+        T.StructField("min_temp", T.DoubleType()),
+        T.StructField("max_temp", T.DoubleType()),
+        T.StructField("avg_relative_humidity", T.DoubleType()),
+        T.StructField("total_precipitation", T.DoubleType()),
+        T.StructField("daily_admission_count", T.LongType()),
+        T.StructField("daily_total_aih_value", T.DoubleType()),
+        T.StructField("avg_length_of_stay", T.DoubleType()),
+    ]
+)

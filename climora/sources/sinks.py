@@ -58,6 +58,12 @@ def write_admissions(
     return replace_partitions(with_admission_month(admissions), path, by)
 
 
+def write_mart(mart: DataFrame, path: str) -> int:
+    """The mart by month of its day; replaces the months it holds."""
+    monthly = mart.withColumn("mart_month", month_start(F.col("date_day")))
+    return replace_partitions(monthly, path, ("mart_month",))
+
+
 def write_table(rows: DataFrame, path: str) -> None:
     """A stored model: one full rewrite."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from climora import schemas
 
@@ -45,6 +46,11 @@ def read_admissions(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schemas.ADMISSIONS).parquet(root)
 
 
+def read_mart(spark: SparkSession, root: str) -> DataFrame:
+    """The mart as stored by month folders; ``mart_month`` stays, as filters on it skip folders."""
+    return spark.read.schema(T.StructType([*schemas.MART, T.StructField("mart_month", T.DateType())])).parquet(root)
+
+
 def read_municipalities(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(schemas.MUNICIPALITIES).csv(path)
 

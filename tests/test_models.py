@@ -4,9 +4,10 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from climora.operators import lag, monitoring, rollups
-from climora.plans import marts, staging
 from climora import schemas
+from climora.operators import lag, monitoring, rollups
+from climora.plans import jobs, marts, staging
+from climora.sources import sinks, tables
 
 CLIMATE = (
     "fk_date date, fk_station string, avg_temp double, min_temp double, max_temp double,"
@@ -69,6 +70,24 @@ def test_mart_range_reaches_both_inputs(spark, mart):
     assert sorted(part.collect(), key=str) == sorted(whole.collect(), key=str)
 
 
+def test_refresh_touches_its_months_only(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    mapping = spark.createDataFrame([("m1", "A")], "municipality_ibge_code string, station_code string")
+    facts = admissions(spark, (d(5), "m1", 1.0, 1), (d(5, 2), "m1", 1.0, 1), (None, "m1", 1.0, 1))
+    before = climate(spark, (d(5), "A", 1.0), (d(29, 2), "A", 2.0), (d(1, 3), "A", 3.0))
+    after = climate(spark, (d(5), "A", 9.0), (d(29, 2), "A", 9.0), (d(1, 3), "A", 9.0))
+    whole = marts.correlation_mart(facts, before, mapping)
+    assert whole.schema.simpleString() == schemas.MART.simpleString()
+    sinks.write_mart(whole, path)
+    for _ in range(2):
+        assert jobs.refresh_mart(facts, after, mapping, path, (2024, 2), (2024, 2)) == 2
+    got = tables.read_mart(spark, path).collect()
+    assert sorted(((r.date_day, r.avg_temp, r.daily_admission_count) for r in got), key=str) == sorted(
+        [(d(5), 1.0, 1), (d(5, 2), None, 1), (d(29, 2), 9.0, 0), (d(1, 3), 3.0, 0), (None, None, 1)],
+        key=str,
+    )
+
+
 def test_rollups(spark, mart):
     got = [tuple(r) for r in rollups.points(mart(d(1), d(31)), "weekly").collect()]
     assert got == [("2024-01-01", pytest.approx((20 + 20 + 22 + 5) / 4), 5)]
