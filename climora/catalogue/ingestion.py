@@ -406,20 +406,12 @@ _ADMISSIONS_SINK_SQL = """SELECT *,
 
 
 def landed_admissions(spark: SparkSession, sf: str) -> DataFrame:
-    """Land records by state and competence, read two states' competences, keep the last version."""
+    """Land records by state and competence, read both states back, keep the last version.
+
+    Within a competence the files of a later state name come last.
+    """
     path = _folder(spark, "landing")
-    landing = (
-        inputs.raw_admissions(spark, sf)
-        .withColumn("rank_in_file", F.col("source_row"))
-        .drop("source_file", "source_row")
-    )
-    (
-        landing.hint("rebalance", "state", "competence")
-        .sortWithinPartitions("state", "competence", "rank_in_file")
-        .drop("rank_in_file")
-        .write.partitionBy("state", "competence")
-        .parquet(path)
-    )
+    sinks.land_admissions(inputs.raw_admissions(spark, sf), path, order="source_row")
     read = tables.read_landed_admissions(spark, path, states=("PR", "SC"))
     return (
         admissions.clean_admissions(read, MUNICIPALITIES, DIAGNOSIS)
@@ -645,9 +637,12 @@ QUERIES = {
     "landed_admissions": (
         landed_admissions,
         sql(
-            "SELECT municipality_residence_code, count(*) AS records,"
-            " count(DISTINCT aih_number) AS keys FROM clean GROUP BY 1",
-            "clean",
+            "SELECT MUNIC_RES AS municipality_residence_code, count(*) AS records,"
+            " count(DISTINCT N_AIH) AS keys FROM (SELECT * FROM raw_admissions"
+            f" WHERE MUNIC_RES IN ({CODE_LIST}) AND regexp_matches(DIAG_PRINC, '^J[0-9]{{2}}')"
+            " QUALIFY row_number() OVER (PARTITION BY N_AIH"
+            " ORDER BY competence DESC, state DESC, source_row DESC) = 1) GROUP BY 1",
+            "raw_admissions",
         ),
     ),
     "backfill_merge": (backfill_merge, sql(_BACKFILL_SQL, "daily_climate")),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from climora.functions.calendar import month_start
+from climora.schemas import RAW_ADMISSIONS
 
 # Folder layouts of daily climate. One folder per day suits a few stations; a national table has
 # far fewer, larger files by month, and a state's readers skip the other states' folders.
@@ -64,6 +65,24 @@ def write_mart(mart: DataFrame, path: str) -> int:
     return replace_partitions(monthly, path, ("mart_month",))
 
 
+def land_admissions(records: DataFrame, path: str, order: str) -> None:
+    """Land raw records by state and competence; a republished competence replaces its folder.
+
+    ``order`` is the place of a record in its source. Range partitions number their files in that
+    order, so it survives as (file, row) however many files a competence takes.
+    """
+    place = ("state", "competence", order)
+    (
+        records.repartitionByRange(*place)
+        .sortWithinPartitions(*place)
+        .select(*RAW_ADMISSIONS.names)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("state", "competence")
+        .parquet(path)
+    )
+
+
 def write_table(rows: DataFrame, path: str) -> None:
     """A stored model: one full rewrite."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

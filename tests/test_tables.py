@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from climora import schemas
 from climora.operators import changes
+from climora.operators.admissions import keep_last
 from climora.params import AdmissionsRun, ClimateRun
 from climora.plans import jobs
 from climora.sources import sinks, tables
@@ -151,6 +152,26 @@ def test_competences_prune_folders(spark, tmp_path):
     assert [(r.N_AIH, r.state, r.competence, r.source_row) for r in rows.collect()] == [("2", "PR", "2024-02", 0)]
 
 
+def test_record_order_survives_several_files(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    rows = spark.range(4000).select(
+        (F.col("id") % 97).cast("string").alias("N_AIH"), F.lit("410690").alias("MUNIC_RES"),
+        F.lit("20240105").alias("DT_INTER"), F.lit("J189").alias("DIAG_PRINC"),
+        F.col("id").cast("string").alias("VAL_TOT"), F.lit("1").alias("DIAS_PERM"),
+        F.lit("PR").alias("state"), F.when(F.col("id") < 100, "2024-01").otherwise("2024-02").alias("competence"),
+        F.col("id").alias("place"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sinks.land_admissions(rows.repartition(7), path, "place")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list((tmp_path / "landing/state=PR/competence=2024-02").glob("*.parquet"))) > 1
+    kept = keep_last(tables.read_landed_admissions(spark, path), ("N_AIH",)).collect()
+    want = {str(k): str(max(i for i in range(4000) if i % 97 == k)) for k in range(97)}
+    assert {r.N_AIH: r.VAL_TOT for r in kept} == want
+
+
 def test_changed_competences(spark, tmp_path):
     land(spark, str(tmp_path), "2024-01", ("1", "20240105", "J189"), ("2", "20240105", "J189"))
     land(spark, str(tmp_path), "2024-02", ("3", "20240105", "J189"))
