@@ -14,7 +14,7 @@ from climora.catalogue.inputs import DIAGNOSIS, MUNICIPALITIES, sql, table
 from climora.functions.geography import macro_region
 from climora.operators import lag, monitoring, quality, rollups
 from climora.operators.admissions import clean_admissions
-from climora.plans import jobs, marts, staging
+from climora.plans import jobs, marts
 from climora.session import shared_folder
 from climora.sources import sinks, tables
 
