@@ -7,7 +7,18 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from climora.llm import sentencepiece_scan, simhash_dedup, source_mixing, suffix_dedup, toxicity_fm
+from climora.llm import (
+    embedding_dedup,
+    lm_scoring,
+    quality_forest,
+    sentencepiece_scan,
+    simhash_dedup,
+    source_mixing,
+    suffix_dedup,
+    toxicity_fm,
+    url_filter,
+    zip_warc,
+)
 
 PIECES = os.environ.get("CLIMORA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 MIX_TARGET = source_mixing.Target(entropy_share=0.99, budget_share=0.75)
@@ -23,16 +34,51 @@ def op1_suffix_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_lm_scoring(spark, sf_dir):
+    """Pseudo-likelihood of every document."""
+    return lm_scoring.score_documents(_table(spark, sf_dir, "documents"))
+
+
+def op3_embedding_dedup(spark, sf_dir):
+    """Links and group of every vector."""
+    return embedding_dedup.embedding_groups(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op4_url_filter(spark, sf_dir):
+    """Rule and verdict of every page; outcomes are pages marked by their own text."""
+    pages = _table(spark, sf_dir, "pages")
+    host, _ = url_filter.host_and_path("url")
+    outcomes = pages.select(host.alias("host"), url_filter.marked_as_bad("html").alias("bad"))
+    return url_filter.judge_urls(pages, outcomes)
+
+
 def op5_simhash_dedup(spark, sf_dir):
     """Fingerprint and group of every document."""
     return simhash_dedup.simhash_groups(_table(spark, sf_dir, "documents"), words=4, max_bits=4)
 
 
+def op6_zip_warc(spark, sf_dir):
+    """Every page as a record, read back from its package."""
+    read = zip_warc.packed_and_read(_table(spark, sf_dir, "pages"), least_bytes=0)
+    return read.select(
+        zip_warc.page_column("record_id").alias("page_id"), F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"), zip_warc.page_column("refers_to").alias("refers_to"),
+    )
+
+
 def op7_source_mixing(spark, sf_dir):
     """How often every document is in a mixture of 99 % of the largest entropy and 75 % of all words."""
     return source_mixing.mix(_table(spark, sf_dir, "documents"), target=MIX_TARGET)
 
 
+def op8_quality_forest(spark, sf_dir):
+    """Rule counts and verdict of every document."""
+    judged = quality_forest.judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
+    )
+
+
 def op9_toxicity(spark, sf_dir):
     """Toxicity score of every document."""
     return toxicity_fm.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.7)
@@ -57,8 +103,13 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {
     "op1_suffix_dedup": (op1_suffix_dedup, None),
+    "op2_lm_scoring": (op2_lm_scoring, None),
+    "op3_embedding_dedup": (op3_embedding_dedup, None),
+    "op4_url_filter": (op4_url_filter, url_filter.judge_sql()),
     "op5_simhash_dedup": (op5_simhash_dedup, None),
+    "op6_zip_warc": (op6_zip_warc, None),
     "op7_source_mixing": (op7_source_mixing, source_mixing.mix_sql(MIX_TARGET.entropy_share, MIX_TARGET.budget_share)),
+    "op8_quality_forest": (op8_quality_forest, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_sentencepiece": (op10_sentencepiece, None),
     "pipeline": (pipeline, None),
