@@ -1,8 +1,8 @@
 """Exact removal of byte strings that occur earlier, by distributed suffix sorting.
 
 A string of ``length`` bytes is found through one suffix that starts inside it: that whose first
-24 bytes hash lowest among all in the string (the leftmost on ties). The choice rests on the
-string alone, so equal strings choose equal suffixes, and a fortieth of all suffixes is enough to sort.
+40 bytes hash lowest among all in the string (the leftmost on ties). The choice rests on the
+string alone, so equal strings choose equal suffixes, and a thirtieth of all suffixes is enough to sort.
 Sampled splitters range-partition the suffixes by their leading bytes; each bucket sorts its own by
 multikey quicksort over words of eight bytes, and what touches a bucket's edges is compared across the
 boundaries by an aggregate of its first occurrences.
@@ -10,7 +10,7 @@ boundaries by an aggregate of its first occurrences.
 The sort is run twice. First on records: a chosen suffix with all strings that choose it. Records of
 equal content after the first are repeats as a whole. First records whose suffix has other contents
 as well are then sorted string by string. Contents are compared by fingerprints: 32 bits of the leading
-bytes with 96 bits of two hashes.
+bytes with 80 bits of two hashes.
 """
 
 from __future__ import annotations
@@ -27,13 +27,14 @@ from pyspark.sql.types import StringType
 from climora.llm.storage import stored
 
 LENGTH = 100
-LEAD = 24
+LEAD = 40
 #: Rows that a bucket holds on average, and rows of the sample that splitters are taken from.
 BUCKET_ROWS = 400_000
 SAMPLE_ROWS = 50_000
 _PIECE = 1 << 16
 _FACTOR = 0x9E3779B97F4A7C15
 _NO_ID = -(2**63)
+_CONTENT = np.uint64((1 << 48) - 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -113,7 +114,7 @@ def chosen_suffixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, leng
         count = np.bincount(group[valid], minlength=len(begin))
         low, suffix, of = begin, lowest[begin], doc[begin]
         key = _leading(piece, suffix) | gram[suffix] >> np.uint64(32)
-        content = hashes.of(low, low + count - 1 + length) + _mixed((suffix - low).astype(np.uint64))
+        content = (hashes.of(low, low + count - 1 + length) + _mixed((suffix - low).astype(np.uint64))) & _CONTENT
         packed = (low + at - starts[of]) << 14 | (count - 1) << 7 | (suffix - low)
         out.append([key, content, of, packed])
     if not out:
@@ -133,7 +134,7 @@ def single_strings(data: np.ndarray, packed: np.ndarray, length: int = LENGTH):
         start = some - first
         whole = _Hashes(piece).of(start, start + length)
         half = _Hashes(piece ^ 0x5A).of(start, start + length)
-        out.append([_leading(piece, start) | whole >> np.uint64(32), _mixed(half ^ whole << np.uint64(32)), some << 14])
+        out.append([_leading(piece, start) | whole >> np.uint64(32), _mixed(half ^ whole << np.uint64(32)) & _CONTENT, some << 14])
     return [np.concatenate(x) for x in zip(*out)]
 
 
@@ -222,6 +223,17 @@ def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
     return order
 
 
+def _planes(words: np.ndarray) -> bytes:
+    """Words of eight bytes, all first bytes before all second ones and so on: shuffles compress them better."""
+    return np.ascontiguousarray(words.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _words(block: bytes) -> np.ndarray:
+    """The four columns of a block."""
+    planes = np.frombuffer(block, np.uint8).reshape(4, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
+
+
 def _dealt(make: Callable, splitters: list[np.ndarray], length: int):
     """Records of a task as one block of bytes for each bucket."""
 
@@ -230,12 +242,9 @@ def _dealt(make: Callable, splitters: list[np.ndarray], length: int):
             if not len(rows[0]):
                 continue
             bucket = bucket_of(splitters, rows)
-            order = np.argsort(bucket, kind="stable")
+            order = np.lexsort((rows[0], bucket))
             buckets, begin = np.unique(bucket[order], return_index=True)
-            blocks = [
-                b"".join(np.ascontiguousarray(x[part]).tobytes() for x in rows)
-                for part in np.split(order, begin[1:])
-            ]
+            blocks = [b"".join(_planes(x[part]) for x in rows) for part in np.split(order, begin[1:])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(buckets.astype(np.int32)), pa.array(blocks, pa.binary())], ["bucket", "block"]
             )
@@ -252,7 +261,7 @@ def _judged(length: int):
         blocks: dict[int, list[list[np.ndarray]]] = {}
         for batch in batches:
             for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist()):
-                words = np.frombuffer(block, np.uint64).reshape(4, -1)
+                words = _words(block)
                 blocks.setdefault(bucket, []).append([words[0], words[1], words[2].view(np.int64), words[3].view(np.int64)])
         for bucket in sorted(blocks):
             rows = [np.concatenate(x) for x in zip(*blocks.pop(bucket))]
@@ -275,9 +284,11 @@ def _judged(length: int):
     return judge
 
 
-def _sorted_out(source: DataFrame, make: Callable, rows: float, length: int, label: str) -> DataFrame:
-    """The judged records of ``source``, stored; ``rows`` is about how many records there are."""
-    spark = source.sparkSession
+def _sorted_out(source: Callable, make: Callable, rows: float, length: int, label: str, spark) -> DataFrame:
+    """The judged records of ``source``, stored; ``rows`` is about how many records there are.
+
+    ``source`` gives the rows (id, text and so on) whose id meets a condition in SQL.
+    """
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(rows / BUCKET_ROWS) + 1)
     part = max(1, int(rows / 8 / SAMPLE_ROWS))  # eight times the sample before it is cut by hash
 
@@ -289,11 +300,11 @@ def _sorted_out(source: DataFrame, make: Callable, rows: float, length: int, lab
             )
 
     sample = (
-        source.where(F.expr(f"pmod(xxhash64(id), {part}) = 0")).mapInArrow(all_records, _RECORD)
+        source(f"pmod(xxhash64(id), {part}) = 0").mapInArrow(all_records, _RECORD)
         .orderBy(F.xxhash64("id", "packed")).limit(SAMPLE_ROWS).collect()
     )
     splitters = _splitters([tuple(r) for r in sample], buckets)
-    dealt = source.mapInArrow(_dealt(make, splitters, length), "bucket int, block binary")
+    dealt = source("true").mapInArrow(_dealt(make, splitters, length), "bucket int, block binary")
     return stored(
         dealt.repartitionById(buckets, F.col("bucket")).mapInArrow(_judged(length), _JUDGED), label
     )
@@ -326,12 +337,16 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     ``texts`` has id (long, not null) and text.
     """
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    records = _sorted_out(texts, _records, 2 * total / (length - LEAD + 2), length, "suffix-records")
+    spark = texts.sparkSession
+    records = _sorted_out(texts.where, _records, 2 * total / (length - LEAD + 2), length, "suffix-records", spark)
     whole, again = _across(records)
     doubtful = stored(again.groupBy("id").agg(F.collect_list("packed").alias("packed")), "suffix-doubtful")
     strings = doubtful.agg(F.sum(F.expr("aggregate(packed, 0L, (n, p) -> n + (shiftright(p, 7) & 127) + 1)"))).first()[0] or 0
-    open_texts = stored(texts.join(doubtful, "id"), "suffix-texts")
-    single, _ = _across(_sorted_out(open_texts, _strings, strings, length, "suffix-strings"))
+
+    def open_texts(condition: str) -> DataFrame:
+        return texts.where(condition).join(doubtful.where(condition), "id")
+
+    single, _ = _across(_sorted_out(open_texts, _strings, strings, length, "suffix-strings", spark))
     return whole.unionByName(single).groupBy("id").agg(F.collect_list("packed").alias("ranges"))
 
 
@@ -375,7 +390,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     that share an id but not a text share the places that are removed. An empty table gives no rows.
     """
     if not LEAD <= length <= LEAD + 100:
-        raise ValueError("the length has to be 24 to 124 bytes")
+        raise ValueError("the length has to be 40 to 140 bytes")
     id_ = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
     ranges = repeated_ranges(docs.select(id_.alias("id"), F.col(text_col).alias("text")), length)
     carried = [F.col(id_col)] + [F.col(c) for c in carry]
