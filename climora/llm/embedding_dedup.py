@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climora.llm.components import components
-from climora.llm.storage import stored
+from climora.llm.storage import small_batches, stored
 
 #: Bounds of the sample that the centres are fitted on, of the number of centres, and of a block's rows.
 SAMPLE_ROWS = 20_000
@@ -147,6 +147,7 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if not 0 < threshold <= 1:
         raise ValueError("the threshold has to be above 0, and 1 at most")
     spark = vectors.sparkSession
+    small_batches(spark)
     raw = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vec"))
     whole = (
         F.col("id").isNotNull() & F.col("vec").isNotNull()

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from climora.llm.storage import small_batches
+
 BUCKETS = 1 << 16
 CLASSES = 128
 ALONE = 64
@@ -191,6 +193,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null and empty texts have no words and a sum of 0. Repeated rows give repeated results; an empty table gives none; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     counts = bucket_counts(docs, text_col)
     of, within = classes(counts)
     flat = fit_network(docs, counts, id_col, text_col, slices, rounds)

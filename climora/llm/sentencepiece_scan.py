@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from climora.llm.storage import stored
+from climora.llm.storage import small_batches, stored
 
 CHUNK = 16_384
 GROUP = 64
@@ -41,7 +41,7 @@ _WIDEST = 48
 _CELLS = 200_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
-_SHIFT = np.uint64(44)
+_SHIFT = np.uint64(47)
 
 
 class Pieces:
@@ -70,6 +70,9 @@ class Pieces:
             raise ValueError("pieces must not hold a word start after other characters")
         self.longest = max(map(len, self.known))
         self._pairs: dict[tuple[str, str], bool] = {}
+        # what a piece decodes to by itself, but for bytes above ASCII
+        self._alone = ["" if i in self.special else chr(b) if 0 <= b < 128 else p for i, (p, b) in enumerate(zip(self.text, self.byte))]
+        self._high = np.array(self.byte) >= 128
         self._build_table()
 
     def _build_table(self) -> None:
@@ -377,20 +380,23 @@ class Pieces:
                     last[end] = begin
         return score, last
 
-    def decoded(self, ids) -> str:
+    def decoded(self, ids: np.ndarray) -> str:
         """Text of ids: control pieces give none, bytes that are not UTF-8 give U+FFFD."""
-        out, run = [], bytearray()
-        for i in ids:
-            if self.byte[i] >= 0:
-                run.append(self.byte[i])
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run = bytearray()
-            if i not in self.special:
-                out.append(self.text[i])
-        if run:
+        ids = np.asarray(ids, np.int64)
+        alone, high = self._alone, self._high[ids]
+        if high.any():  # neighbouring bytes above ASCII make characters together
+            out, run = [], bytearray()
+            for i, wide in zip(ids.tolist(), high.tolist()):
+                if wide:
+                    run.append(self.byte[i])
+                    continue
+                if run:
+                    out.append(run.decode("utf-8", "replace"))
+                    run = bytearray()
+                out.append(alone[i])
             out.append(run.decode("utf-8", "replace"))
+        else:
+            out = [alone[i] for i in ids.tolist()]
         text = "".join(out).replace(_SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
@@ -406,7 +412,7 @@ def normalised(text: str | None) -> str:
     return _SPACE + text.replace(" ", _SPACE) if text else ""
 
 
-def _parts(texts: list[str], most: int = 4 << 20) -> Iterator[list[str]]:
+def _parts(texts: Iterable[str], most: int = 2 << 20) -> Iterator[list[str]]:
     """Neighbouring texts of about ``most`` characters together."""
     part, size = [], 0
     for text in texts:
@@ -623,17 +629,22 @@ def _giant_ids(giants: DataFrame, model_file: str, chunk: int) -> DataFrame:
         "pieces-ends",
     )
 
-    def trace(context, body, ahead, block, state, last):
+    def between(context, body, ahead, block, state, last):
         model, text, a = pieces(model_file), context + body + ahead, len(context)
         leave = int(_array(state)[0])
         begin = states(model, context, body + ahead)[int(_array(block)[leave])][1]
         end = len(text) if last else states(model, text[: a + len(body)], ahead)[leave][1]
-        return model.ids_of([text[begin:end]])[0]
+        return text[begin:end]
 
-    traced = chunks.join(ends, ["digest", "c"]).mapInArrow(
-        _per_chunk(trace, [*key, ("ids", pa.list_(pa.int32()))], (*texts, "block", "state", "last")),
-        "digest string, c int, ids array<int>",
-    )
+    def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts_ = (between(*row) for row in zip(*(batch.column(n).to_pylist() for n in (*texts, "block", "state", "last"))))
+            ids = [x for part in _parts(texts_) for x in pieces(model_file).ids_of(part)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("digest"), batch.column("c"), pa.array(ids, pa.list_(pa.int32()))], ["digest", "c", "ids"]
+            )
+
+    traced = chunks.join(ends, ["digest", "c"]).mapInArrow(trace, "digest string, c int, ids array<int>")
     return traced.groupBy("digest").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("c", "ids"))), lambda x: x["ids"])).alias("ids")
     )
@@ -651,10 +662,11 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out_col: st
     def small(texts):
         model = pieces(model_file)
         out: list = []
-        for part in _parts([normalised(t) for t in texts]):
+        for part in _parts(map(normalised, texts)):
             out.extend(model.ids_of(part))
         return pd.Series(out, dtype=object)
 
+    small_batches(docs.sparkSession)
     size = F.coalesce(F.char_length(text_col), F.lit(0))
     digest = F.sha2(F.col(text_col).cast("binary"), 256)
     giants = docs.where(size >= chunk)
@@ -675,6 +687,7 @@ def decode(frame: DataFrame, model_file: str, ids_col: str = "ids", out_col: str
     @pandas_udf(StringType())
     def text(arrays):
         model = pieces(model_file)
-        return pd.Series([model.decoded(a.tolist() if a is not None else ()) for a in arrays])
+        return pd.Series([model.decoded(a if a is not None else ()) for a in arrays])
 
+    small_batches(frame.sparkSession)
     return frame.withColumn(out_col, text(F.col(ids_col)))

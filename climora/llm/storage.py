@@ -31,3 +31,14 @@ def dropped(frame: DataFrame) -> None:
         spark = frame.sparkSession
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def small_batches(spark) -> None:
+    """Bound what a Python worker is given at once, by rows and bytes, as documents can be long.
+
+    A session setting that stays, as plans read it when they run. Smaller values that the session already has are kept.
+    """
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1024), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        have = spark.conf.get(name)
+        if not (have.isdigit() and 0 < int(have) <= most):
+            spark.conf.set(name, str(most))

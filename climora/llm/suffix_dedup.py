@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from climora.llm.storage import stored
+from climora.llm.storage import small_batches, stored
 
 LENGTH = 100
 LEAD = 40
@@ -32,6 +32,7 @@ LEAD = 40
 BUCKET_ROWS = 400_000
 SAMPLE_ROWS = 50_000
 _PIECE = 1 << 16
+_HELD = 1 << 20  # strings that a task deals out at once
 _FACTOR = 0x9E3779B97F4A7C15
 _NO_ID = -(2**63)
 _CONTENT = np.uint64((1 << 48) - 1)
@@ -144,7 +145,7 @@ def _joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.frombuffer(b"".join(parts), np.uint8), np.concatenate(([0], ends[:-1])).astype(np.int64), ends
 
 
-def _slices(batches: Iterator[pa.RecordBatch], most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in slices of about ``most`` bytes, one row at least."""
     for batch in batches:
         each = max(1, batch.nbytes // max(1, batch.num_rows))
@@ -164,6 +165,7 @@ def _records(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[np
 
 
 def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[np.ndarray]]:
+    held, size = [], 0
     for part in _slices(batches):
         for id_, text, packed in zip(*(part.column(c).to_pylist() for c in ("id", "text", "packed"))):
             data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
@@ -171,7 +173,13 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[np
             here = here[(here >> 14) + (here >> 7 & 127) + length <= len(data)]
             if len(here):
                 key, content, at = single_strings(data, here, length)
-                yield [key, content, np.full(len(at), id_, np.int64), at]
+                held.append([key, content, np.full(len(at), id_, np.int64), at])
+                size += len(at)
+            if size >= _HELD:
+                yield [np.concatenate(x) for x in zip(*held)]
+                held, size = [], 0
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]
 
 
 def _splitters(sample: list, buckets: int) -> list[np.ndarray]:
@@ -391,6 +399,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if not LEAD <= length <= LEAD + 100:
         raise ValueError("the length has to be 40 to 140 bytes")
+    small_batches(docs.sparkSession)
     id_ = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
     ranges = repeated_ranges(docs.select(id_.alias("id"), F.col(text_col).alias("text")), length)
     carried = [F.col(id_col)] + [F.col(c) for c in carry]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from climora.llm.storage import new_folder, stored
+from climora.llm.storage import new_folder, small_batches, stored
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Bytes of records after which a new package begins, and records that are read with one range.
@@ -208,6 +208,7 @@ def write_packages(
     revisit it; rows that repeat that id are responses too. A null payload is empty; a null id is smaller than any other and
     null urls are empty. An empty table writes nothing.
     """
+    small_batches(pages.sparkSession)
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("uri"), F.col(payload_col).alias("payload")).withColumns(
         {"digest": F.sha1(payload.cast("binary")), "length": F.octet_length(payload).cast("long")}
