@@ -324,8 +324,11 @@ _VOLUME_SQL = """SELECT group_key, day, row_count, days_before, round(expected,
     round(spread, 6) AS spread FROM (
     SELECT group_key, day, row_count, count(row_count) OVER w AS days_before,
         avg(row_count) OVER w AS expected, stddev_pop(row_count) OVER w AS spread
-    FROM (SELECT event_type AS group_key, CAST(ts AS DATE) AS day, count(*) AS row_count
-        FROM events GROUP BY 1, 2)
+    FROM (SELECT k.group_key, k.day, coalesce(n.row_count, 0) AS row_count FROM (
+        SELECT event_type AS group_key, CAST(unnest(generate_series(min(CAST(ts AS DATE)),
+            max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM events GROUP BY 1) k
+        LEFT JOIN (SELECT event_type AS group_key, CAST(ts AS DATE) AS day, count(*) AS row_count
+            FROM events GROUP BY 1, 2) n ON k.group_key = n.group_key AND k.day = n.day)
     WINDOW w AS (PARTITION BY group_key ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
     WHERE days_before = 7 AND abs(row_count - expected) > 1.5 * spread"""
 

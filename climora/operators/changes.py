@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from climora.functions.calendar import month_start
 from climora.schemas import ADMISSIONS
+from climora.session import discard, staged
 from climora.sources.sinks import (
     CLIMATE_BY_DATE,
-    CLIMATE_BY_MONTH,
+    empty_folders,
+    folder_name,
     replace_partitions,
+    with_admission_month,
     with_folder_columns,
 )
-from climora.sources.tables import prefer_fresh, read_admissions, read_daily_climate
+from climora.sources.tables import read_admissions, read_daily_climate
 
 FINGERPRINT = ("state", "competence", "row_count", "checksum")
 
@@ -43,33 +45,50 @@ def changed_competences(current: DataFrame, manifest: DataFrame) -> DataFrame:
 def merge_daily_climate(
     spark: SparkSession, fresh: DataFrame, path: str, by: tuple[str, ...] = CLIMATE_BY_DATE
 ) -> int:
-    """Merge fresh station-days into the stored climate table.
+    """Merge fresh station-days into the stored climate table; returns how many there are.
 
-    Only the folders that ``fresh`` falls into are read and rewritten; other stations and days in
-    them stay. A table that does not exist yet is created. The layout must follow from the date
-    alone, so that a station-day can never move to another folder.
+    The fresh rows are written aside once. Only the folders of their days are read, and only those
+    rewritten that get a fresh row or, where the state of a station has changed, lose its old one;
+    other stations and days in them stay. A table that does not exist yet is created.
     """
-    if by not in (CLIMATE_BY_DATE, CLIMATE_BY_MONTH):
-        raise ValueError(f"cannot merge into the layout {by}")
-    fresh = with_folder_columns(fresh, by)
+    rows = staged(with_folder_columns(fresh, by), "climate")
+    first, last, count = rows.agg(F.min("date"), F.max("date"), F.count(F.lit(1))).first()
+    if count:
+        _merge_staged_climate(spark, rows, path, by, first, last)
+    discard(rows)
+    return count
+
+
+def _merge_staged_climate(
+    spark: SparkSession, rows: DataFrame, path: str, by: tuple[str, ...], first: date, last: date
+) -> None:
     try:
-        stored = read_daily_climate(spark, path)
+        stored = with_folder_columns(read_daily_climate(spark, path, first, last, by), by)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return replace_partitions(fresh, path, by)
-    folders = fresh.select(*by).distinct()
-    touched = with_folder_columns(stored, by).join(folders, list(by), "left_semi")
-    return replace_partitions(prefer_fresh(touched, fresh), path, by)
+        replace_partitions(rows, path, by)
+        return
+    folder = F.to_json(F.struct(*by))  # equal for folders whose values are NULL too
+    key = ["station_code", "date"]
+    keys = rows.select(*key).distinct()
+    left = stored.join(keys, key, "left_semi").select(*by, folder.alias("folder")).distinct()
+    left = staged(left, "climate-folders")
+    touched = left.select("folder").unionByName(rows.select(folder.alias("folder"))).distinct()
+    kept = stored.withColumn("folder", folder).join(touched, "folder", "left_semi").drop("folder")
+    merged = staged(kept.join(keys, key, "left_anti").unionByName(rows.select(*kept.columns)), "climate-merged")
+    replace_partitions(merged, path, by)
+    # Folders between two dates, of the states that stations have moved out of.
+    emptied = left.join(merged.select(folder.alias("folder")).distinct(), "folder", "left_anti").collect()
+    inside = T.StructType([f for f in merged.schema if f.name not in by])
+    empty_folders(spark, inside, path, ["/".join(folder_name(c, row[c]) for c in by) for row in emptied])
+    discard(left)
+    discard(merged)
 
 
 def _empty_months(spark: SparkSession, path: str, months: set[date | None]) -> None:
-    """Leave no rows in the given month folders; a dynamic overwrite only sees folders it fills."""
     fields = [f for f in ADMISSIONS if f.name != "admission_month"]
-    nothing = spark.createDataFrame([], T.StructType(fields))
-    for month in months:
-        name = "__HIVE_DEFAULT_PARTITION__" if month is None else month.isoformat()
-        nothing.write.mode("overwrite").parquet(f"{path}/admission_month={name}")
+    empty_folders(spark, T.StructType(fields), path, [folder_name("admission_month", m) for m in months])
 
 
 def merge_admissions(spark: SparkSession, updates: DataFrame, path: str) -> int:
@@ -78,12 +97,21 @@ def merge_admissions(spark: SparkSession, updates: DataFrame, path: str) -> int:
     ``updates`` holds clean admissions, one row per record number. A corrected admission date can
     move a record to another month, so a month counts as touched when it holds an old or a new
     version. Only touched months are read in full and rewritten; one that loses its last record is
-    emptied afterwards. Repeating the merge gives the same table.
+    emptied afterwards. Repeating the merge gives the same table. A table that does not exist yet
+    is created, and no updates change nothing. The updates are written aside once.
     """
-    stored = read_admissions(spark, path)
-    fresh = updates.withColumn("admission_month", month_start(F.col("admission_date"))).select(
-        *stored.columns
-    )
+    fresh = staged(with_admission_month(updates).select(*ADMISSIONS.names), "admissions")
+    if fresh.isEmpty():
+        discard(fresh)
+        return 0
+    try:
+        stored = read_admissions(spark, path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        count = replace_partitions(fresh, path, ("admission_month",))
+        discard(fresh)
+        return count
     keys = fresh.select("aih_number").alias("k")
     same_key = F.col("s.aih_number").eqNullSafe(F.col("k.aih_number"))
     left = stored.alias("s").join(keys, same_key, "left_semi").select("admission_month")
@@ -112,4 +140,5 @@ def merge_admissions(spark: SparkSession, updates: DataFrame, path: str) -> int:
     result = written.get
     filled = set(result["months"]) | ({None} if result["undated"] else set())
     _empty_months(spark, path, touched - filled)
+    discard(fresh)
     return result["rows"]

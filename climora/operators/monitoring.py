@@ -19,12 +19,22 @@ def volume_anomalies(
 ) -> DataFrame:
     """Daily row counts per group that lie far from the mean of the preceding days.
 
-    Counts come first (combined before the shuffle); the window then runs over one row per group
-    and day.
+    Counts come first (combined before the shuffle). A day without rows between the first and the
+    last day of its group counts as 0, so an outage is seen; the window runs over those days.
     """
     counts = rows.groupBy(F.col(group).alias("group_key"), F.col(day).alias("day")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
+    calendar = counts.groupBy("group_key").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    calendar = calendar.filter("first IS NOT NULL").select(
+        F.col("group_key").alias("key"), F.explode(F.sequence("first", "last")).alias("on")
+    )
+    same = F.col("key").eqNullSafe(F.col("group_key")) & (F.col("on") == F.col("day"))
+    counts = calendar.join(counts, same, "left").select(
+        F.col("key").alias("group_key"),
+        F.col("on").alias("day"),
+        F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
+    )
     before = W.partitionBy("group_key").orderBy("day").rowsBetween(-window_days, -1)
     judged = counts.select(
         "group_key",

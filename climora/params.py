@@ -70,12 +70,13 @@ class ClimateRun:
 
 @dataclass(frozen=True)
 class AdmissionsRun:
-    """One admissions run: inclusive competence range, municipalities, diagnosis pattern."""
+    """One admissions run: inclusive competence range, municipalities, diagnosis pattern, states (None: all)."""
 
     first: tuple[int, int]
     last: tuple[int, int]
     municipalities: tuple[str, ...] = field(default=DEFAULT_MUNICIPALITIES)
     diagnosis_pattern: str = RESPIRATORY_PATTERN
+    states: tuple[str, ...] | None = None
 
     def __post_init__(self) -> None:
         if self.first > self.last:

@@ -10,12 +10,17 @@ from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from climora.functions.calendar import month_start
 from climora.operators.admissions import clean_admissions
+from climora.operators.changes import merge_admissions, merge_daily_climate
 from climora.operators.climate import aggregate_daily, normalize_readings
 from climora.operators.quality import declared_checks, run_checks, store_results
 from climora.params import AdmissionsRun, ClimateRun, month_range
 from climora.plans import marts, staging
+from climora.schemas import MART
+from climora.session import discard, staged
 from climora.sources import sinks, tables
 from climora.sources.archives import hourly_records, scan_archives
 
@@ -30,7 +35,10 @@ def ingest_climate(
     scan: Callable[..., DataFrame] = scan_archives,
     by: tuple[str, ...] = sinks.CLIMATE_BY_DATE,
 ) -> int:
-    """Yearly archives to stored daily climate; returns the number of station-days written.
+    """Yearly archives to stored daily climate; returns the number of station-days of the run.
+
+    The run is merged on (station, date): other stations, and days outside the run, stay as they are
+    in every layout.
 
     ``scan`` may also be ``scan_station_files``, for a landing that is unpacked. Archives that were
     not landed mean no new data: the stored days stay as they are.
@@ -43,21 +51,21 @@ def ingest_climate(
         logger.warning("no archives under %s; stored days are left as they are", archives)
         return 0
     readings = normalize_readings(hourly_records(members, run.start, run.end))
-    written = sinks.write_daily_climate(aggregate_daily(readings), output, by)
-    logger.info("wrote %d station-days for %s to %s", written, run.start, run.end)
+    written = merge_daily_climate(spark, aggregate_daily(readings), output, by)
+    logger.info("merged %d station-days for %s to %s", written, run.start, run.end)
     return written
 
 
 def ingest_admissions(spark: SparkSession, landing: str, output: str, run: AdmissionsRun) -> int:
-    """Landed records to stored clean admissions; returns the number of records written.
+    """Landed records to stored clean admissions; returns the number of records in the months written.
 
-    A competence can hold admissions of earlier months, and each admission month is replaced as a
-    whole. The run must therefore cover every competence that feeds the months it rewrites; with
-    fewer, use ``changes.merge_admissions``.
+    A competence can hold admissions of earlier months, so the run is merged by record number: what
+    earlier runs stored in those months stays. Runs have to come in the order of their competences,
+    as the stored table does not keep from which one a record came.
     """
-    records = tables.read_landed_admissions(spark, landing, run.competences)
+    records = tables.read_landed_admissions(spark, landing, run.competences, run.states)
     admissions = clean_admissions(records, run.municipalities, run.diagnosis_pattern)
-    written = sinks.write_admissions(admissions, output)
+    written = merge_admissions(spark, admissions, output)
     logger.info("wrote %d admissions of %s to %s", written, run.first, run.last)
     return written
 
@@ -167,14 +175,22 @@ def refresh_mart(
 ) -> int:
     """Rebuild the months ``first`` to ``last`` of a mart stored by month, leaving the others.
 
-    Both facts are cut to those months before they are aggregated and joined.
+    Both facts are cut to those months before they are aggregated and joined. A month that has no
+    rows any more is emptied.
     """
     months = month_range(first, last)
     start = date(*months[0], 1)
     end = date(*months[-1], monthrange(*months[-1])[1])
-    return sinks.write_mart(
-        marts.correlation_mart(admissions_fact, climate_fact, mapping, start, end), path
-    )
+    spark = climate_fact.sparkSession
+    rows = staged(marts.correlation_mart(admissions_fact, climate_fact, mapping, start, end), "mart")
+    written = sinks.write_mart(rows, path)
+    month = month_start(F.col("date_day"))
+    filled = {r[0] for r in rows.select(month).distinct().collect()}  # the months of the span at most
+    stored = tables.read_mart(spark, path).filter(F.col("mart_month").between(start, end))
+    left = {r[0] for r in stored.select("mart_month").distinct().collect()} - filled
+    sinks.empty_folders(spark, MART, path, [sinks.folder_name("mart_month", m) for m in left])
+    discard(rows)
+    return written
 
 
 def check_models(built: Models, output: str, run_date: date) -> DataFrame:

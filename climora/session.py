@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Calendar days are UTC days throughout; ANSI makes strict casts raise.
 SETTINGS = {
@@ -42,3 +43,19 @@ def shared_folder(spark: SparkSession) -> str:
     own = tempfile.mkdtemp(prefix="climora-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
+
+
+def staged(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` written once in the shared folder and read back, for work that needs them several times."""
+    path = f"{shared_folder(rows.sparkSession)}/staged-{label}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    back = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    back.staged_path = path
+    return back
+
+
+def discard(rows: DataFrame) -> None:
+    """Remove the files of staged rows that nothing reads any more."""
+    spark = rows.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(rows.staged_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

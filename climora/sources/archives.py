@@ -38,8 +38,6 @@ MEASURE_HEADERS = {
     "CHUVA": "PRECIPITAÇÃO TOTAL, HORÁRIO (mm)",
 }
 
-BROADCAST_FILES = 20_000
-
 # Every line boundary that can occur in Latin-1 text, besides the line feed itself.
 _OTHER_LINE_ENDS = ("\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85")
 
@@ -133,8 +131,8 @@ def scan_station_files(
     """Station files already unpacked under ``root/<year>/``; first name per station wins.
 
     Only the folders of the wanted years are listed; a year without a folder contributes nothing.
-    The winners are found from paths alone. Up to ``BROADCAST_FILES`` of them (a few MB) are sent to
-    every task, so no file content is shuffled; beyond that the contents are joined by shuffle.
+    The winners are found from paths alone; Spark sends them to every task while they are small, and
+    joins by shuffle beyond that.
     """
     wanted = ",".join(str(year) for year in _years(start, end))
     try:
@@ -154,8 +152,6 @@ def scan_station_files(
         coded = named.withColumn("station_code", F.explode(F.array_compact(F.array(*hits))))
     coded = coded.filter(F.col("station_code").isNotNull())
     first = coded.groupBy("archive_year", "station_code").agg(F.min("path").alias("path"))
-    if first.count() <= BROADCAST_FILES:
-        first = F.broadcast(first)
     return coded.join(first, ["archive_year", "station_code", "path"], "left_semi").select(
         "archive_year", "station_code", "member", "content"
     )
@@ -172,7 +168,7 @@ def _lines(content: Column) -> Column:
 def _metadata_value(head: Column, key: str) -> Column:
     """Value of the last ``key;value`` line among the metadata lines."""
     lines = F.filter(head, lambda line: F.startswith(line, F.lit(key + ";")))
-    return blank_to_null(F.substring(F.get(lines, F.size(lines) - 1), len(key) + 2, 1_000_000))
+    return blank_to_null(F.substr(F.get(lines, F.size(lines) - 1), F.lit(len(key) + 2)))
 
 
 def _places(header: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from climora.functions.calendar import month_start
 from climora.schemas import RAW_ADMISSIONS
@@ -35,6 +36,18 @@ def replace_partitions(rows: DataFrame, path: str, by: tuple[str, ...]) -> int:
     return counted.get["rows"]
 
 
+def empty_folders(spark: SparkSession, schema: T.StructType, path: str, folders: Iterable[str]) -> None:
+    """Leave no rows in the given folders; a dynamic overwrite only sees folders that it fills."""
+    nothing = spark.createDataFrame([], schema)
+    for folder in folders:
+        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
+def folder_name(column: str, value) -> str:
+    """Name of the folder that holds ``value`` (text, numbers or dates) of a partition column."""
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
 def with_folder_columns(daily: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """Adds the year and month of ``date`` where the layout names them."""
     parts = {"year": F.year("date"), "month": F.month("date")}

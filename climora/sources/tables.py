@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +36,30 @@ def read_landed_admissions(
     return rows
 
 
-def read_daily_climate(spark: SparkSession, root: str) -> DataFrame:
-    """Daily climate rows of any folder layout; values held by folder names are typed by the schema."""
-    return spark.read.schema(schemas.DAILY_CLIMATE).parquet(root).select(
-        *schemas.DAILY_CLIMATE.names
-    )
+def read_daily_climate(
+    spark: SparkSession,
+    root: str,
+    start: date | None = None,
+    end: date | None = None,
+    by: tuple[str, ...] = ("date",),
+) -> DataFrame:
+    """Daily climate rows of any folder layout; values held by folder names are typed by the schema.
+
+    With a date range, only the folders of the layout ``by`` that can hold its days are read. The
+    days themselves are then still to be filtered, as a month is read as a whole.
+    """
+    months = [T.StructField(name, T.IntegerType()) for name in ("year", "month") if name in by]
+    schema = T.StructType([*schemas.DAILY_CLIMATE, *months])
+    rows = spark.read.schema(schema).parquet(root)
+    if months:
+        day, number = F.col("year") * 100 + F.col("month"), lambda d: d.year * 100 + d.month
+    else:
+        day, number = F.col("date"), lambda d: d
+    if start is not None:
+        rows = rows.filter(day >= F.lit(number(start)))
+    if end is not None:
+        rows = rows.filter(day <= F.lit(number(end)))
+    return rows.select(*schemas.DAILY_CLIMATE.names)
 
 
 def read_admissions(spark: SparkSession, root: str) -> DataFrame:

@@ -217,3 +217,10 @@ def test_monitoring(spark):
     assert sorted((tuple(r) for r in drift.collect()), key=str) == [
         ("day", "int", "date", 95), ("g", None, "string", 95), ("x", "double", None, 95),
     ]
+
+
+def test_an_outage_is_an_anomaly(spark):
+    days = [n for n in range(1, 25) if n not in (15, 16, 17)]
+    rows = spark.createDataFrame([("g", date(2024, 1, n)) for n in days for _ in range(5 + n % 2)], "g string, day date")
+    odd = monitoring.volume_anomalies(rows, "day", "g", window_days=5).collect()
+    assert (date(2024, 1, 15), 0) in {(r.day, r.row_count) for r in odd}

@@ -1,10 +1,11 @@
 import pytest
 
 import __spark_entry__
+from climora.catalogue import ingestion, modelling
 from compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
+QUERIES = {**ingestion.QUERIES, **modelling.QUERIES}
 ORACLE = __spark_entry__.oracle_sql()
 
 
@@ -16,7 +17,7 @@ def oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, oracle, name):
     assert name in ORACLE
-    frame = QUERIES[name](spark, SF)
+    frame = __spark_entry__.queries()[name](spark, SF)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "strategy=broadcast" not in frame._jdf.queryExecution().optimizedPlan().toString()

@@ -60,7 +60,7 @@ def test_no_rows_leave_the_table_untouched(spark, tmp_path):
 
 
 def test_merge_keeps_other_stations_of_a_day(spark, tmp_path):
-    for by in (sinks.CLIMATE_BY_DATE, sinks.CLIMATE_BY_MONTH):
+    for by in (sinks.CLIMATE_BY_DATE, sinks.CLIMATE_BY_MONTH, sinks.CLIMATE_BY_STATE_MONTH):
         path = str(tmp_path / by[0])
         first = climate_rows(spark, ("A", day(1), "PR", 1.0), ("B", day(1), "PR", 2.0))
         changes.merge_daily_climate(spark, first, path, by)
@@ -68,8 +68,35 @@ def test_merge_keeps_other_stations_of_a_day(spark, tmp_path):
         for _ in range(2):
             changes.merge_daily_climate(spark, fresh, path, by)
         assert content(spark, path) == [("A", 1, 7.0), ("A", 2, 8.0), ("B", 1, 2.0)]
-    with pytest.raises(ValueError):
-        changes.merge_daily_climate(spark, first, path, sinks.CLIMATE_BY_STATE_MONTH)
+
+
+@pytest.mark.parametrize("by", [sinks.CLIMATE_BY_DATE, sinks.CLIMATE_BY_MONTH, sinks.CLIMATE_BY_STATE_MONTH])
+def test_a_later_window_or_fewer_stations_lose_nothing(spark, tmp_path, by):
+    path = str(tmp_path / "c")
+    month = [("A", day(n), "PR", float(n)) for n in range(1, 32)] + [("B", day(n), None, 0.5) for n in (1, 2)]
+    assert changes.merge_daily_climate(spark, climate_rows(spark, *month), path, by) == 33
+    again = climate_rows(spark, *[("A", day(n), "PR", 90.0) for n in range(15, 25)])
+    assert changes.merge_daily_climate(spark, again, path, by) == 10
+    assert changes.merge_daily_climate(spark, climate_rows(spark), path, by) == 0
+    want = [("A", n, 90.0 if 15 <= n < 25 else float(n)) for n in range(1, 32)] + [("B", 1, 0.5), ("B", 2, 0.5)]
+    assert content(spark, path) == want
+
+
+def test_a_station_that_changes_its_state_is_in_one_folder(spark, tmp_path):
+    path, by = str(tmp_path / "c"), sinks.CLIMATE_BY_STATE_MONTH
+    changes.merge_daily_climate(spark, climate_rows(spark, ("A", day(1), None, 1.0), ("B", day(1), "SC", 2.0)), path, by)
+    changes.merge_daily_climate(spark, climate_rows(spark, ("A", day(1), "PR", 7.0), ("B", day(1), "PR", 8.0)), path, by)
+    assert content(spark, path) == [("A", 1, 7.0), ("B", 1, 8.0)]
+
+
+@pytest.mark.parametrize("by", [sinks.CLIMATE_BY_DATE, sinks.CLIMATE_BY_MONTH, sinks.CLIMATE_BY_STATE_MONTH])
+def test_a_range_reads_its_folders_only(spark, tmp_path, by):
+    path = str(tmp_path / "c")
+    sinks.write_daily_climate(climate_rows(spark, ("A", day(1), "PR", 1.0), ("A", date(2023, 1, 1), "PR", 2.0)), path, by)
+    rows = tables.read_daily_climate(spark, path, day(1), day(3), by)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull" in plan
+    assert [r.avg_temp for r in rows.collect()] == [1.0]
 
 
 def test_history_gives_way_to_the_fresh_window(spark):
@@ -143,6 +170,34 @@ def test_admissions_job(spark, tmp_path):
     assert tables.read_admissions(spark, out).count() == 3
 
 
+def test_a_window_that_moves_on_keeps_earlier_records(spark, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    land(spark, landing, "2022-01", *[(str(n), "20220105", "J189") for n in range(20)])
+    land(spark, landing, "2022-02", ("late", "20220131", "J189"), ("20", "20220210", "J189"))
+    assert jobs.ingest_admissions(spark, landing, out, AdmissionsRun((2022, 1), (2022, 2))) == 22
+    jobs.ingest_admissions(spark, landing, out, AdmissionsRun((2022, 2), (2022, 3)))
+    months = [r.admission_month.month for r in tables.read_admissions(spark, out).collect()]
+    assert (months.count(1), months.count(2)) == (21, 1)
+    assert jobs.ingest_admissions(spark, landing, out, AdmissionsRun((2022, 1), (2022, 2), states=("SC",))) == 0
+
+
+def test_a_month_without_rows_is_emptied_in_the_mart(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    days = [date(2024, 1, 5), date(2024, 2, 5), date(2024, 3, 5)]
+    climate = spark.createDataFrame(
+        [(d, "A", 1.0, 0.0, 2.0, 50.0, 0.0) for d in days],
+        "fk_date date, fk_station string, avg_temp double, min_temp double, max_temp double,"
+        " avg_relative_humidity double, total_precipitation double",
+    )
+    admitted = spark.createDataFrame(
+        [], "aih_number string, fk_date date, fk_municipality string, admission_count int, total_aih_value double, length_of_stay int, icd_group string"
+    )
+    mapping = spark.createDataFrame([], schemas.STATION_MAPPING)
+    jobs.refresh_mart(admitted, climate, mapping, path, (2024, 1), (2024, 3))
+    jobs.refresh_mart(admitted, climate.filter("fk_date <> DATE'2024-02-05'"), mapping, path, (2024, 2), (2024, 3))
+    assert sorted(r.date_day for r in tables.read_mart(spark, path).collect()) == [days[0], days[2]]
+
+
 def test_competences_prune_folders(spark, tmp_path):
     land(spark, str(tmp_path), "2024-01", ("1", "20240105", "J189"))
     land(spark, str(tmp_path), "2024-02", ("2", "20240105", "J189"))
