@@ -24,7 +24,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
 from climora.llm.components import components
-from climora.llm.storage import stored
+from climora.llm.storage import small_batches, stored
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -157,7 +157,9 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         F.min(F.struct("rep", "print")).alias("low"), F.max(F.struct("rep", "print")).alias("high"),
         F.count("*").alias("members"),
     )
-    shared = stored(keyed.join(ends.where("members > 1"), "key"), "simhash-keys")
+    # a key of two members is done when these two are compared
+    ends = ends.where(f"members > 2 OR members = 2 AND bit_count(low.print ^ high.print) <= {max_bits}")
+    shared = stored(keyed.join(ends, "key"), "simhash-keys")
 
     def near(a: str, b: str):
         return F.expr(f"bit_count({a} ^ {b}) <= {max_bits}")
@@ -169,7 +171,9 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         "simhash-links",
     )
     known = stored(components(first, "rep", "other"), "simhash-known")
-    open_keys = shared.where("members > 2").select("key", "print", "rep")
+    # a key whose members all link to its smallest is done
+    far = stored(shared.where("members > 2").where(~near("print", "low.print")).select("key").distinct(), "simhash-far")
+    open_keys = shared.join(far, "key", "left_semi").select("key", "print", "rep")
     labelled = stored(
         open_keys.join(known.withColumnRenamed("node", "rep"), "rep", "left")
         .select("key", "print", "rep", F.coalesce("component", "rep").alias("label")),
@@ -192,6 +196,7 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int) -> DataFrame:
+    small_batches(docs.sparkSession)
     each = stored(
         docs.select(F.col(id_col).cast("long").alias("id"), fingerprint_column(text_col, words).alias("print")),
         "simhash-prints",
@@ -234,8 +239,11 @@ def simhash_dedup(
     )
     again = stored(kept.groupBy("id").agg(F.sum("n").alias("n")).where("n > 1"), "simhash-repeated")
     key = F.col(id_col).cast("long")
-    ids = kept.select(F.col("id").alias("_climora_id")).distinct()
+    # the kept ids grow with the input: shuffled at every size
+    ids = kept.select(F.col("id").alias("_climora_id")).distinct().hint("shuffle_merge")
     one = docs.join(ids, key.eqNullSafe(F.col("_climora_id")), "left_semi")
+    if again.isEmpty():
+        return one
     many = again.select(F.col("id").alias("_climora_id"))
     single = one.join(many, key.eqNullSafe(F.col("_climora_id")), "left_anti")
     printed = one.join(many, key.eqNullSafe(F.col("_climora_id")), "left_semi").withColumns(

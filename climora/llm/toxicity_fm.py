@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
-from climora.llm.storage import stored
+from climora.llm.storage import small_batches, stored
 
 BUCKETS = 1 << 20
 #: Bound on the labelled rows that the machine is fitted on, as the fit runs on the driver.
@@ -109,6 +109,7 @@ def fit_toxicity(
     largest chi-square that three documents hold, enter the machine.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     sample = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).cast("long").alias("_climora_id")).agg(F.max(F.col(label_col).cast("int")).alias("_climora_label"))
@@ -134,16 +135,16 @@ def fit_toxicity(
         .orderBy(F.desc("chi"), "bucket").limit(features).collect()
     )
     buckets = np.array(sorted(r.bucket for r in top), np.int64)
-    known = spark.createDataFrame([(buckets.tolist(),)], "known array<int>")
-    rows = (
-        terms.join(F.broadcast(known))  # one row
-        .select("label", F.array_intersect("terms", "known").alias("terms"))
-        .orderBy(F.xxhash64("terms", "label"), "terms", "label").collect()
-    )
+    known = F.split(F.lit(",".join(map(str, buckets))), ",").cast("array<int>")
+    rows = sorted(  # max_rows rows of features numbers at most
+        (list(r.terms), r.label) for r in terms.select("label", F.array_intersect("terms", known).alias("terms")).collect()
+    ) if len(buckets) else []
     x = np.zeros((len(rows), len(buckets)), np.float32)
-    for at, row in enumerate(rows):
-        x[at, np.searchsorted(buckets, np.array(row.terms, np.int64))] = 1
-    bias, weights, vectors = fit_matrix(x, np.array([r.label for r in rows], float), factors)
+    for at, (held, _) in enumerate(rows):
+        x[at, np.searchsorted(buckets, np.array(held, np.int64))] = 1
+    if not len(buckets):  # no term is in three documents
+        return Machine(float(np.log((ones + 0.5) / (n - ones + 0.5))), buckets, np.zeros(0), np.zeros((0, factors)))
+    bias, weights, vectors = fit_matrix(x, np.array([label for _, label in rows], float), factors)
     return Machine(bias, buckets, weights, vectors)
 
 

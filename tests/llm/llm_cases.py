@@ -1,0 +1,43 @@
+"""Small documents with the cases that every operator has to take: nulls, empty and very long texts, ties, repeats."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+# Names that operators use for themselves.
+CLASHING = ("component_id", "fingerprint", "key", "rep", "n_bytes", "kept", "ids", "score", "copies", "spot", "digest", "label", "c")
+
+
+def sentence(rng: random.Random, words: int) -> str:
+    made = ["".join(rng.choice(("ka", "lo", "mi", "ü", "ne", "ro", "st")) for _ in range(rng.randrange(1, 5))) for _ in range(words)]
+    return " ".join(made)
+
+
+def texts(seed: int = 1) -> list[str | None]:
+    rng = random.Random(seed)
+    base = [sentence(rng, n) for n in (40, 60, 80, 200, 30, 25)]
+    shared = sentence(rng, 30)
+    near = base[3].split(" ")
+    near[100] = "other"
+    return [
+        *base, base[0], base[1].upper(), " ".join(near), base[2] + "\n" + shared, shared + "\n" + base[4], None, "", " \n\t ", "a", "a",
+        "word " * 60, "x" * 700, sentence(rng, 9000), base[0] + "\n" + base[0], "\n".join(["same line of words"] * 12),
+        "ünïcødé ▁ text 字字字 😀 " * 8, None, shared, base[5] + " idiot scum", "!!! ### $$$ %%%",
+    ]
+
+
+def documents(spark, extra: bool = False, seed: int = 1):
+    """The texts as rows, with null fields, and one row repeated."""
+    rows = [(i, t, "en", f"src{i % 3}" if i % 7 else None, None if t is None else len(t)) for i, t in enumerate(texts(seed))]
+    rows.append(rows[3])
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    if extra:
+        from pyspark.sql import functions as F
+
+        frame = frame.withColumns({n: F.lit("own") for n in CLASHING})
+    return frame
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)

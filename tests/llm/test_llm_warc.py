@@ -1,0 +1,112 @@
+import base64
+import hashlib
+import io
+import struct
+import zipfile
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from climora.llm import zip_warc as W
+from climora.llm.queries import op6_zip_warc
+
+PAGES = [
+    (1, "http://a/1", "<p>one</p>"), (2, "http://a/2", "<p>one</p>"), (3, "http://a/3\r\nX: y", "<p>two ü 字</p>"), (4, None, None), (5, "u", ""),
+    (6, "u", "x\r\n\r\ny" * 4000), (None, "none", "<p>one</p>"), (7, "http://a/7", "<p>two ü 字</p>"), (7, "http://a/7", "<p>two ü 字</p>"), (8, "é", "alone"),
+]
+
+
+def frame(spark):
+    return spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumns({n: F.lit("own") for n in ("id", "digest", "payload", "path")}).repartition(3)
+
+
+def expected(least=0):
+    groups, out = {}, []
+    for page, _, html in PAGES:
+        groups.setdefault(html or "", []).append(-1 if page is None else page)
+    for page, _, html in PAGES:
+        data = (html or "").encode()
+        top = max(groups[html or ""])
+        first = len(data) < least or top == (-1 if page is None else page)
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        out.append((page, len(data), digest, "response" if first else "revisit", None if first else top))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("least", [0, 10, 10**6])
+def test_records_come_back(spark, tmp_path, least):
+    listed = W.write_packages(frame(spark), str(tmp_path / "p"), least_bytes=least, package_bytes=300)
+    assert listed.agg(F.sum("records")).first()[0] == len(PAGES) and listed.count() > 1
+    rows = W.read_packages(listed).collect()
+    assert sorted(((W.page_of(r.record_id), r.length, r.digest, r.kind, W.page_of(r.refers_to)) for r in rows), key=repr) == expected(least)
+    html = {p: h or "" for p, _, h in PAGES}
+    assert all(bytes(r.payload).decode() == html[W.page_of(r.record_id)] for r in rows if r.kind == "response")
+
+
+def test_query_over_a_table(spark, tmp_path):
+    frame(spark).write.parquet(str(tmp_path / "pages.parquet"))
+    rows = op6_zip_warc(spark, str(tmp_path)).collect()
+    assert sorted((tuple(r) for r in rows), key=repr) == expected()
+
+
+def test_empty_table(spark, tmp_path):
+    listed = W.write_packages(frame(spark).limit(0), str(tmp_path / "p"))
+    assert listed.count() == 0 and W.read_packages(listed).count() == 0
+
+
+def test_directory_equals_that_of_the_standard_library():
+    buffer = io.BytesIO(b"")
+    with zipfile.ZipFile(buffer, "w") as package:
+        package.writestr("a/ü.txt", b"stored")
+        package.writestr("b.txt", b"packed" * 99, zipfile.ZIP_DEFLATED)
+        with package.open("big", "w", force_zip64=True) as out:
+            out.write(b"with a ZIP64 field")
+        package.comment = b"PK\x05\x06 is in this comment" + b"." * 30
+    members = W.directory(buffer, len(buffer.getvalue()))
+    infos = zipfile.ZipFile(buffer).infolist()
+    assert [(m.name, m.method, m.packed, m.size, m.start) for m in members] == [
+        (i.filename, i.compress_type, i.compress_size, i.file_size, i.header_offset) for i in infos
+    ]
+    assert [W._content(buffer, m) for m in members] == [zipfile.ZipFile(buffer).read(i) for i in infos]
+
+
+def zip64(data: bytes) -> bytes:
+    """A package of one stored member whose sizes, place and directory are all in ZIP64 fields."""
+    all_ones, crc = 0xFFFFFFFF, zlib.crc32(data)
+    local = struct.pack("<IHHHHHIIIHH", 0x04034B50, 45, 0, 0, 0, 0, crc, all_ones, all_ones, 1, 20) + b"m" + struct.pack("<HHQQ", 1, 16, len(data), len(data))
+    lead = b"#!lead"  # bytes before the first member
+    extra = struct.pack("<HHB", 0x9999, 1, 7) + struct.pack("<HHQQQ", 1, 24, len(data), len(data), len(lead))
+    central = struct.pack("<IHHHHHHIIIHHHHHII", 0x02014B50, 45, 45, 0, 0, 0, 0, crc, all_ones, all_ones, 1, len(extra), 0, 0, 0, 0, all_ones) + b"m" + extra
+    begin = len(lead) + len(local) + len(data)
+    end64 = struct.pack("<IQHHIIQQQQ", 0x06064B50, 44, 45, 45, 0, 0, 1, 1, len(central), begin)
+    locator = struct.pack("<IIQI", 0x07064B50, 0, begin + len(central), 1)
+    end = struct.pack("<IHHHHIIH", 0x06054B50, 0, 0, 0xFFFF, 0xFFFF, all_ones, all_ones, 0)
+    return lead + local + data + central + end64 + locator + end
+
+
+def test_zip64_directories():
+    whole = zip64(b"some bytes")
+    file = io.BytesIO(whole)
+    (member,) = W.directory(file, len(whole))
+    assert member == W.Member("m", 0, 10, 10, 6) and W._content(file, member) == b"some bytes"
+
+
+@pytest.mark.parametrize("broken", [b"", b"not a package at all, but long enough to be read", zip64(b"x")[:-30]])
+def test_broken_packages_are_refused(broken):
+    with pytest.raises(ValueError):
+        W.directory(io.BytesIO(broken), len(broken))
+
+
+def test_a_wrong_digest_is_refused(spark, tmp_path):
+    listed = W.write_packages(frame(spark).where("page_id = 8"), str(tmp_path / "p"))
+    path = listed.first().path
+    record = W.record_bytes("response", "urn:climora:page:8", "", "A" * 32, 1, b"x", None)
+    import gzip
+
+    data = gzip.compress(record)
+    with zipfile.ZipFile(path, "w") as package:
+        package.writestr(W.DATA, data)
+        package.writestr(W.INDEX, f"0 {len(data)} urn:climora:page:8")
+    with pytest.raises(Exception, match="does not match its digest"):
+        W.read_packages(listed).collect()
