@@ -62,13 +62,16 @@ def test_directory_equals_that_of_the_standard_library():
         package.writestr("b.txt", b"packed" * 99, zipfile.ZIP_DEFLATED)
         with package.open("big", "w", force_zip64=True) as out:
             out.write(b"with a ZIP64 field")
-        package.comment = b"PK\x05\x06 is in this comment" + b"." * 30
+        package.comment = b"a comment"
     members = W.directory(buffer, len(buffer.getvalue()))
     infos = zipfile.ZipFile(buffer).infolist()
     assert [(m.name, m.method, m.packed, m.size, m.start) for m in members] == [
         (i.filename, i.compress_type, i.compress_size, i.file_size, i.header_offset) for i in infos
     ]
     assert [W._content(buffer, m) for m in members] == [zipfile.ZipFile(buffer).read(i) for i in infos]
+    comment = b"PK\x05\x06 is in this comment" + b"." * 30
+    odd = buffer.getvalue()[: -len(b"a comment") - 2] + struct.pack("<H", len(comment)) + comment
+    assert W.directory(io.BytesIO(odd), len(odd)) == members
 
 
 def zip64(data: bytes) -> bytes:
