@@ -3,10 +3,12 @@
 A fingerprint of 64 bits is cut into three segments of at most 23 bits. The perfect binary Golay code
 of length 23 has a codeword within three bits of every segment value, so a segment is turned into the
 indices of the codewords near it. With four differing bits in all, either one segment agrees and
-another differs in two bits at most, or two segments differ in one bit at most. The first case is
-met by an exact segment with the codewords within four bits of the other (two values two bits apart
-have a value midway, whose codeword is within four bits of both). The second is met by the decoded
-codeword of one segment and the codewords within four bits of the other, in both orders. Fingerprints that
+another differs in two bits at most, or two segments differ in one bit each and the third in one or two.
+The first case is met by an exact segment with the codewords within four bits of the other (two values
+two bits apart have a value midway, whose codeword is within four bits of both). In the second, the two
+fingerprints have unlike parity in the first of the two segments: the even one gives its decoded codeword
+there with the codewords within four bits of the second segment, the odd one those of the first with the
+decoded codeword of the second. Of three parts of the third segment one agrees, and is in the key too. Fingerprints that
 share a key are compared bit by bit, so nothing is linked that differs in more bits.
 """
 
@@ -32,6 +34,8 @@ _SEED = 42
 _BLOCK = 1 << 16
 # Segments as (first bit, bits).
 _SEGMENTS = ((0, 22), (22, 21), (43, 21))
+# Parts of a segment that may differ in two bits.
+_PARTS = ((0, 7), (7, 7), (14, 8))
 # Generator polynomial of the binary Golay code of length 23 (fixed value).
 _GENERATOR = 0b110001110101
 
@@ -111,22 +115,26 @@ def golay_keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         several.append(np.where(errors < 0, -1, (part[:, None] ^ errors) >> 11))
     at, keys = [], []
 
-    def add(kind: int, base: np.ndarray, codes: np.ndarray, shift: int, keep: np.ndarray) -> None:
+    def add(kind: int, base: np.ndarray, codes: np.ndarray, keep: np.ndarray) -> None:
         r, c = np.nonzero(keep)
         at.append(rows[r])
-        keys.append(np.int64(kind) << 40 | base[r] | codes[r, c] << shift)
+        keys.append(np.int64(kind) << 40 | base[r] | codes[r, c])
 
     kind = 0
     for i in range(3):
         for j in range(3):
             if i != j:
-                add(kind, segments[i] << 12, several[j], 0, several[j] >= 0)
+                add(kind, segments[i] << 12, several[j], several[j] >= 0)
                 kind += 1
-    for i, j in ((0, 1), (0, 2), (1, 2)):
-        add(kind, single[i] << 12, several[j], 0, several[j] >= 0)
-        # the pair of both decoded codewords is among those above
-        add(kind, single[j], several[i], 12, (several[i] >= 0) & (several[i] != single[i][:, None]))
-        kind += 1
+    odd = [np.bitwise_count(part) & 1 for part in segments]
+    for i, j, k in ((0, 1, 2), (0, 2, 1), (1, 2, 0)):
+        of_odd = odd[i][:, None] == 1
+        codes = np.where(of_odd, several[i] << 12 | single[j][:, None], single[i][:, None] << 12 | several[j])
+        keep = np.where(of_odd, several[i], several[j]) >= 0
+        both = (odd[i] ^ odd[j]).astype(np.int64)
+        for first, width in _PARTS:
+            add(kind, (both << 8 | segments[k] >> first & (1 << width) - 1) << 24, codes, keep)
+            kind += 1
     return np.concatenate(at), np.concatenate(keys)
 
 

@@ -73,6 +73,19 @@ def test_prints_up_to_four_bits_apart_share_a_key():
         assert set(keys[rows == 0].tolist()) & set(keys[rows == 1].tolist())
 
 
+@pytest.mark.parametrize("split", [(4, 0, 0), (0, 1, 3), (3, 0, 1), (2, 2, 0), (0, 2, 2), (1, 1, 1), (2, 1, 1), (1, 2, 1), (1, 1, 2)])
+def test_every_split_of_the_bits_shares_a_key(split):
+    rng = random.Random(sum(10**i * n for i, n in enumerate(split)))
+    for _ in range(300):
+        a = rng.getrandbits(64)
+        b = a
+        for (first, width), bits in zip(S._SEGMENTS, split):
+            for bit in rng.sample(range(first, first + width), bits):
+                b ^= 1 << bit
+        rows, keys = S.golay_keys(np.array([a, b], np.uint64))
+        assert set(keys[rows == 0].tolist()) & set(keys[rows == 1].tolist())
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_groups_equal_brute_force_on_clustered_prints(spark, seed):
     rng = random.Random(seed)
