@@ -19,13 +19,15 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from climora.llm.storage import small_batches, stored
@@ -33,7 +35,9 @@ from climora.llm.storage import small_batches, stored
 CHUNK = 16_384
 GROUP = 64
 _NEVER = -(2**62)
+_NO_MERGE = -(2**31)
 _REMEMBERED = 100_000
+_UNITS_KEPT = 200_000
 _SPACE = "▁"
 _UNIT = re.compile(f"{_SPACE}+[^{_SPACE}]*|[^{_SPACE}]+")
 # Units up to this length are segmented many at a time; characters that are looked up at once.
@@ -44,6 +48,14 @@ _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _SHIFT = np.uint64(47)
 
 
+class _Numbers(dict):
+    """Numbers of keys, in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        found = self[key] = len(self)
+        return found
+
+
 class Pieces:
     """Pieces of a model with byte fallback, their ids and scores."""
 
@@ -63,8 +75,8 @@ class Pieces:
         for i, piece in enumerate(self.text):
             if self.byte[i] < 0 and i not in self.special:
                 score = model.get_score(i)
-                if score != int(score):
-                    raise ValueError("scores have to be whole numbers")
+                if score != int(score) or abs(score) >= -_NO_MERGE:
+                    raise ValueError("scores have to be whole numbers of 32 bits")
                 self.known[piece] = (i, int(score))
         if any(_SPACE in p.lstrip(_SPACE) for p in self.known):
             raise ValueError("pieces must not hold a word start after other characters")
@@ -74,6 +86,7 @@ class Pieces:
         self._alone = ["" if i in self.special else chr(b) if 0 <= b < 128 else p for i, (p, b) in enumerate(zip(self.text, self.byte))]
         self._high = np.array(self.byte) >= 128
         self._build_table()
+        self._forget()
 
     def _build_table(self) -> None:
         """Hash table of the pieces for many lookups at once: buckets of a few slots, hash and id."""
@@ -94,126 +107,23 @@ class Pieces:
         self._id = np.full(self._hash.shape, -1, np.int32)
         self._hash[slot, bucket[order]] = hashes[order]
         self._id[slot, bucket[order]] = ids[order]
-        self._score = np.full(len(self.text) + 1, _NEVER, np.int64)  # the last is for none
+        self._shared = np.bincount(bucket, minlength=self._hash.shape[1]) > 1
+        self._score = np.full(len(self.text) + 1, _NO_MERGE, np.int32)  # the last is for none
         self._score[ids] = [self.known[p][1] for p in names]
 
     def _found(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of the pieces with these hashes, -1 for none."""
-        bucket = (hashes * _SPREAD >> _SHIFT).astype(np.int64)
-        out = np.full(hashes.shape, -1, np.int32)
-        for slot in range(self._slots):
-            hit = self._hash[slot][bucket] == hashes
-            out[hit] = self._id[slot][bucket[hit]]
+        bucket = (hashes * _SPREAD >> _SHIFT).astype(np.int32)
+        out = np.where(self._hash[0][bucket] == hashes, self._id[0][bucket], np.int32(-1))
+        deep = np.nonzero(self._shared[bucket])
+        bucket, wanted = bucket[deep], hashes[deep]
+        found = out[deep]
+        for slot in range(1, self._slots):
+            hit = self._hash[slot][bucket] == wanted
+            found[hit] = self._id[slot][bucket[hit]]
+        out[deep] = found
         return out
 
-    def _same_length(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Best paths of units of one length: unit of each token, its order, token, and the units' scores."""
-        size = len(units[0])
-        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, size).astype(np.uint64)
-        score = np.zeros((size + 1, len(units)), np.int64)
-        back = np.zeros((size + 1, len(units)), np.int64)
-        hashes, by_width = np.zeros(codes.shape, np.uint64), []
-        for width in range(1, min(size, self.longest) + 1):
-            hashes = (hashes[:, : size - width + 1] ^ codes[:, width - 1 :]) * _STEP
-            by_width.append(self._found(hashes))
-        for end in range(1, size + 1):
-            best = None
-            for width in range(min(end, self.longest), 0, -1):  # the longest last piece first
-                ids = by_width[width - 1][:, end - width]
-                gain = self._score[ids]
-                if width == 1:
-                    gain = np.where(ids < 0, self.unknown, gain)
-                here = np.where(gain > _NEVER, score[end - width] + gain, _NEVER)
-                if best is None:
-                    best, back[end] = here, end - width
-                else:
-                    better = here > best
-                    best = np.where(better, here, best)
-                    back[end][better] = end - width
-            score[end] = best
-        at, alive, of, turn, token, step = np.full(len(units), size), np.arange(len(units)), [], [], [], 0
-        while len(alive):
-            end = at[alive]
-            begin = back[end, alive]
-            found = np.empty(len(alive), np.int64)
-            for width in np.unique(end - begin):
-                some = np.nonzero(end - begin == width)[0]
-                found[some] = by_width[width - 1][alive[some], begin[some]]
-            raw = found < 0
-            found[raw] = -1 - codes[alive[raw], begin[raw]].astype(np.int64)
-            of.append(alive)
-            turn.append(np.full(len(alive), -step))
-            token.append(found)
-            at[alive] = begin
-            alive = alive[begin > 0]
-            step += 1
-        return np.concatenate(of), np.concatenate(turn), np.concatenate(token), score[size]
-
-    def segment(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Best paths of many units: tokens one after another (ids; -1 - c for an unknown character c), tokens and score of each unit."""
-        lengths = np.fromiter(map(len, units), np.int64, len(units))
-        of, turn, token, score = [], [], [], np.zeros(len(units), np.int64)
-        for size in np.unique(lengths):
-            those = np.nonzero(lengths == size)[0]
-            step = max(1, _CELLS // int(size)) if size <= _WIDEST else 1
-            for at in range(0, len(those), step):
-                some = those[at : at + step]
-                if size <= _WIDEST:
-                    o, t, k, score[some] = self._same_length([units[j] for j in some])
-                    of.append(some[o]), turn.append(t), token.append(k)
-                else:
-                    text = units[some[0]]
-                    scores, last = self.best(text)
-                    k, end = [], len(text)
-                    while end:
-                        piece = self.known.get(text[last[end] : end])
-                        k.append(-1 - ord(text[last[end]]) if piece is None else piece[0])
-                        end = last[end]
-                    score[some] = scores[-1]
-                    of.append(np.full(len(k), some[0])), turn.append(-np.arange(len(k))), token.append(np.array(k, np.int64))
-        if not of:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), score
-        of, turn, token = np.concatenate(of), np.concatenate(turn), np.concatenate(token)
-        order = np.lexsort((turn, of))
-        return token[order], np.bincount(of, minlength=len(units)), score
-
-    def _with_bytes(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens with unknown characters as pieces of their bytes, and the ids each token makes."""
-        raw = np.nonzero(token < 0)[0]
-        if not len(raw):
-            return token.astype(np.int32), np.ones(len(token), np.int64)
-        codes, inverse = np.unique(token[raw], return_inverse=True)
-        spelled = [[self.of_byte[b] for b in chr(-1 - c).encode("utf-8", "replace")] for c in codes.tolist()]
-        made = np.ones(len(token), np.int64)
-        made[raw] = np.array([len(x) for x in spelled])[inverse]
-        out = np.repeat(token, made)
-        begin = np.cumsum(made) - made
-        width = max(map(len, spelled))
-        table = np.array([x + [-1] * (width - len(x)) for x in spelled])
-        for k in range(width):
-            some = raw[made[raw] > k]
-            out[begin[some] + k] = table[inverse[made[raw] > k], k]
-        return out.astype(np.int32), made
-
-    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of stretches of normalised text; each distinct unit of them all is segmented once."""
-        number: dict[str, int] = {}
-        put = number.setdefault
-        units, counts = [], []
-        for text in texts:
-            found = [put(u, len(number)) for u in _UNIT.findall(text)]
-            units.extend(found)
-            counts.append(len(found))
-        token, tokens = self.segment(list(number))
-        ids, made = self._with_bytes(token)
-        per_unit = np.bincount(np.repeat(np.arange(len(tokens)), tokens), weights=made, minlength=len(tokens)).astype(np.int64)
-        begin = np.cumsum(per_unit) - per_unit
-        unit = np.array(units, np.int64)
-        sizes = per_unit[unit] if len(unit) else np.zeros(0, np.int64)
-        upto = np.concatenate(([0], np.cumsum(sizes)))
-        flat = ids[np.repeat(begin[unit] - upto[:-1], sizes) + np.arange(upto[-1])] if len(unit) else np.zeros(0, np.int32)
-        return np.split(flat, upto[np.cumsum(counts)[:-1]]) if counts else []
-
     def joined(self, text: str) -> list[str]:
         """Pieces of a stretch of text, by merges from a heap; a character without a piece stands alone."""
         begin_of, end_of = list(range(-1, len(text))), list(range(1, len(text) + 2))  # begin of the piece that ends at, end of that at
@@ -262,20 +172,20 @@ class Pieces:
         for width in range(1, widest + 1):
             hashes = (hashes[:, : size - width + 1] ^ codes[:, width - 1 :]) * _STEP
             ids[:, width - 1, : size - width + 1] = self._found(hashes)
-        begin_of = np.tile(np.arange(-1, size), (rows, 1))
-        end_of = np.tile(np.arange(1, size + 2), (rows, 1))
+        begin_of = np.tile(np.arange(-1, size, dtype=np.int32), (rows, 1))
+        end_of = np.tile(np.arange(1, size + 2, dtype=np.int32), (rows, 1))
         there = np.ones((rows, size + 1), bool)
-        offer = np.full((rows, size + 1), _NEVER, np.int64)  # score of the merge at each boundary
+        offer = np.full((rows, size + 1), _NO_MERGE, np.int32)  # score of the merge at each boundary
         if size > 1:
             offer[:, 1:size] = self._score[ids[:, 1, : size - 1]]
         open_ = np.arange(rows)
         while len(open_):
             at = offer[open_].argmax(axis=1)  # the leftmost of the best
-            going = offer[open_, at] > _NEVER
+            going = offer[open_, at] > _NO_MERGE
             open_, at = open_[going], at[going]
             begin, end = begin_of[open_, at], end_of[open_, at]
             there[open_, at] = False
-            offer[open_, at] = _NEVER
+            offer[open_, at] = _NO_MERGE
             end_of[open_, begin] = end
             begin_of[open_, end] = begin
             for some, place, low, high in (
@@ -283,7 +193,7 @@ class Pieces:
             ):
                 row, place, low, high = open_[some], place[some], low[some], high[some]
                 fits = high - low <= widest
-                score = np.full(len(row), _NEVER, np.int64)
+                score = np.full(len(row), _NO_MERGE, np.int32)
                 score[fits] = self._score[ids[row[fits], high[fits] - low[fits] - 1, low[fits]]]
                 offer[row, place] = score
         row, begin = np.nonzero(there[:, :size])
@@ -332,53 +242,67 @@ class Pieces:
             out[begin[some] + k] = table[inverse[made[raw] > k], k]
         return out.astype(np.int32), made
 
-    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of stretches of normalised text; each distinct unit of them all is segmented once."""
-        number: dict[str, int] = {}
-        put = number.setdefault
-        units, counts = [], []
-        for text in texts:
-            found = [put(u, len(number)) for u in _UNIT.findall(text)]
-            units.extend(found)
-            counts.append(len(found))
-        token, tokens = self.segment(list(number))
+    def _forget(self) -> None:
+        self._number = _Numbers()
+        self._ids = np.zeros(0, np.int32)  # of all remembered units, one after another
+        self._begin = np.zeros(1, np.int64)  # of each unit in them, and the end
+
+    def _learn(self, units: list[str]) -> None:
+        token, tokens = self.segment(units)
         ids, made = self._with_bytes(token)
-        per_unit = np.bincount(np.repeat(np.arange(len(tokens)), tokens), weights=made, minlength=len(tokens)).astype(np.int64)
-        begin = np.cumsum(per_unit) - per_unit
-        unit = np.array(units, np.int64)
-        sizes = per_unit[unit] if len(unit) else np.zeros(0, np.int64)
-        upto = np.concatenate(([0], np.cumsum(sizes)))
-        flat = ids[np.repeat(begin[unit] - upto[:-1], sizes) + np.arange(upto[-1])] if len(unit) else np.zeros(0, np.int32)
-        return np.split(flat, upto[np.cumsum(counts)[:-1]]) if counts else []
+        upto = np.concatenate(([0], np.cumsum(made)))[np.cumsum(tokens)]
+        self._begin = np.concatenate((self._begin, self._begin[-1] + upto))
+        self._ids = np.concatenate((self._ids, ids))
 
-    def best(self, text: str, start: list[int] | None = None, context: int = 0) -> tuple[list[int], list[int]]:
-        """Best score of each prefix and where its last piece starts.
+    def _units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the units of stretches of normalised text one after another, and how many each has.
 
-        With ``start``, scores of the places up to ``context`` are given, and only the rest is worked out.
+        Stretches that begin a word and have single spaces are split by Arrow, where a word that
+        comes again costs no Python object.
         """
-        prefixes, unknown, size = self.prefixes, self.unknown, len(text)
-        score = list(start) if start is not None else [0]
-        score += [_NEVER] * (size + 1 - len(score))
-        last = [0] * (size + 1)
-        for begin in range(size):
-            before = score[begin]
-            if before <= _NEVER // 2:
-                continue
-            # starts come in order, so of equal scores the longest last piece stays
-            for end in range(begin + 1, size + 1):
-                found = prefixes.get(text[begin:end], False)
-                if found is None:
-                    if end > begin + 1:
-                        continue
-                    found = unknown
-                elif found is False:
-                    if end > begin + 1:
-                        break
-                    found = unknown
-                if end > context and before + found > score[end]:
-                    score[end] = before + found
-                    last[end] = begin
-        return score, last
+        whole = pa.array(texts, pa.large_string())
+        plain = pc.and_(pc.starts_with(whole, _SPACE), pc.invert(pc.match_substring(whole, 2 * _SPACE)))
+        split = pc.split_pattern(whole.filter(plain), _SPACE)
+        coded = split.flatten().dictionary_encode()
+        number = self._number.__getitem__
+        sign, nothing = (pa.scalar(x, pa.large_string()) for x in (_SPACE, ""))
+        names = pc.binary_join_element_wise(sign, coded.dictionary, nothing).to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(number, names), np.int64, len(names))
+        worded = np.ones(len(coded), bool)
+        worded[split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()] = False  # what is before the first word
+        is_plain, counts = plain.to_numpy(zero_copy_only=False), np.zeros(len(texts), np.int64)
+        counts[is_plain] = pc.list_value_length(split).to_numpy() - 1
+        others: list[int] = []
+        for at in np.nonzero(~is_plain)[0].tolist():
+            found = _UNIT.findall(texts[at])
+            counts[at] = len(found)
+            others.extend(map(number, found))
+        unit = np.empty(counts.sum(), np.int64)
+        of_plain = np.repeat(is_plain, counts)
+        unit[of_plain] = numbers[coded.indices.to_numpy()[worded]]
+        unit[~of_plain] = others
+        return unit, counts
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches of normalised text one after another, and where each begins (and the last ends).
+
+        A unit is segmented when it first occurs, and remembered for later texts.
+        """
+        if len(self._number) >= _UNITS_KEPT or len(self._number) != len(self._begin) - 1:
+            self._forget()
+        before = len(self._number)
+        unit, counts = self._units(texts)
+        self._learn(list(islice(self._number, before, None)))
+        begin = self._begin[unit]
+        sizes = self._begin[unit + 1] - begin
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        ids = self._ids[np.repeat(begin - upto[:-1], sizes) + np.arange(upto[-1])]
+        return ids, upto[np.concatenate(([0], np.cumsum(counts)))]
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each of some stretches of normalised text."""
+        ids, begin = self.encoded(texts)
+        return np.split(ids, begin[1:-1]) if texts else []
 
     def decoded(self, ids: np.ndarray) -> str:
         """Text of ids: control pieces give none, bytes that are not UTF-8 give U+FFFD."""
@@ -412,7 +336,7 @@ def normalised(text: str | None) -> str:
     return _SPACE + text.replace(" ", _SPACE) if text else ""
 
 
-def _parts(texts: Iterable[str], most: int = 2 << 20) -> Iterator[list[str]]:
+def _parts(texts: Iterable[str], most: int = 4 << 20) -> Iterator[list[str]]:
     """Neighbouring texts of about ``most`` characters together."""
     part, size = [], 0
     for text in texts:
@@ -425,6 +349,14 @@ def _parts(texts: Iterable[str], most: int = 2 << 20) -> Iterator[list[str]]:
         yield part
 
 
+def _lists(model: Pieces, texts: Iterable[str]) -> pa.ListArray:
+    """Ids of each of some stretches of normalised text, as an Arrow array."""
+    made = [model.encoded(part) for part in _parts(texts)]
+    sizes = np.concatenate([[0], *(np.diff(begin) for _, begin in made)])
+    values = np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in made)])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(values, pa.int32()))
+
+
 def states(model: Pieces, left: str, right: str) -> list[tuple[int, int]]:
     """Pieces that can lie on the last character of ``left``, as their begin and end in ``left + right``."""
     if not left:
@@ -639,10 +571,8 @@ def _giant_ids(giants: DataFrame, model_file: str, chunk: int) -> DataFrame:
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts_ = (between(*row) for row in zip(*(batch.column(n).to_pylist() for n in (*texts, "block", "state", "last"))))
-            ids = [x for part in _parts(texts_) for x in pieces(model_file).ids_of(part)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), batch.column("c"), pa.array(ids, pa.list_(pa.int32()))], ["digest", "c", "ids"]
-            )
+            ids = _lists(pieces(model_file), texts_)
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("c"), ids], ["digest", "c", "ids"])
 
     traced = chunks.join(ends, ["digest", "c"]).mapInArrow(trace, "digest string, c int, ids array<int>")
     return traced.groupBy("digest").agg(
@@ -658,13 +588,9 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out_col: st
     encoded in the task that reads them. Both give the same ids. Repeated rows stay as they are.
     """
 
-    @pandas_udf(_INTS)
-    def small(texts):
-        model = pieces(model_file)
-        out: list = []
-        for part in _parts(map(normalised, texts)):
-            out.extend(model.ids_of(part))
-        return pd.Series(out, dtype=object)
+    @arrow_udf(_INTS)
+    def small(texts: pa.Array) -> pa.Array:
+        return _lists(pieces(model_file), map(normalised, texts.to_pylist()))
 
     small_batches(docs.sparkSession)
     size = F.coalesce(F.char_length(text_col), F.lit(0))
@@ -684,10 +610,11 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out_col: st
 def decode(frame: DataFrame, model_file: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``frame`` with the text of ``ids_col`` as ``out_col``; null and empty arrays give empty texts."""
 
-    @pandas_udf(StringType())
-    def text(arrays):
-        model = pieces(model_file)
-        return pd.Series([model.decoded(a if a is not None else ()) for a in arrays])
+    @arrow_udf(StringType())
+    def text(arrays: pa.Array) -> pa.Array:
+        model, ids = pieces(model_file), arrays.values.to_numpy(zero_copy_only=False)
+        begin, size = arrays.offsets.to_numpy(), pc.fill_null(pc.list_value_length(arrays), 0).to_numpy()
+        return pa.array([model.decoded(ids[b : b + n]) for b, n in zip(begin.tolist(), size.tolist())], pa.string())
 
     small_batches(frame.sparkSession)
     return frame.withColumn(out_col, text(F.col(ids_col)))

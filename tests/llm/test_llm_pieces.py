@@ -28,6 +28,17 @@ def test_small_texts_equal_the_library(library):
         assert model.decoded(ids.tolist()) == text
 
 
+def test_remembered_units_are_forgotten_without_a_change(library, monkeypatch):
+    monkeypatch.setattr(P, "_UNITS_KEPT", 8)
+    rng = random.Random(5)
+    model = P.Pieces(PIECES)
+    for _ in range(30):  # single spaces, several spaces, the sign itself, empty, and stretches from inside a word
+        texts = [rng.choice(["the  an", "the an", "a ▁b", "", " ", "x ", "1\n2 é"]) + scrambled(rng, 9) for _ in range(6)]
+        made = model.ids_of([P.normalised(t) for t in texts])
+        assert [ids.tolist() for ids in made] == [library.encode(t) for t in texts]
+        assert "".join(model.text[i] for i in model.ids_of(["tion▁the"])[0]) == "tion▁the"
+
+
 def test_heap_and_many_at_once_agree(library):
     rng = random.Random(2)
     model = P.pieces(PIECES)
