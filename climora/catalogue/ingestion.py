@@ -14,7 +14,8 @@ from climora.catalogue import inputs
 from climora.catalogue.inputs import DIAGNOSIS, MUNICIPALITIES, sql, table
 from climora.functions import parsing
 from climora.operators import admissions, changes, climate
-from climora.params import ClimateRun, competence_label, month_range, trailing_days
+from climora.params import AdmissionsRun, ClimateRun, competence_label, month_range, trailing_days
+from climora.plans import jobs
 from climora.session import shared_folder
 from climora.sources import sinks, tables
 from climora.sources.archives import (
@@ -466,6 +467,47 @@ _ADMISSIONS_MERGE_SQL = """SELECT *,
     FROM (SELECT *, coalesce(CAST(total_aih_value AS BIGINT) % 50 = 7, false) AS late FROM clean))"""
 
 
+def admissions_merge_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The job over the later competences first, then over the earlier ones."""
+    landing, path = _folder(spark, "landing"), _folder(spark, "admissions-order")
+    sinks.land_admissions(inputs.raw_admissions(spark, sf), landing, order="source_row")
+    for first, last in (((1995, 6), (2001, 12)), ((1990, 1), (1995, 5))):
+        jobs.ingest_admissions(spark, landing, path, AdmissionsRun(first, last, MUNICIPALITIES, DIAGNOSIS))
+    return tables.read_admissions(spark, path)
+
+
+def incremental_admissions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landings, each followed by the incremental job; equal to cleaning the second from scratch.
+
+    In the first, one competence is missing, one has other values, and in one more records match
+    the diagnosis, among them later versions of numbers that are in earlier competences as well.
+    """
+    landing, path, manifest = (_folder(spark, n) for n in ("landing", "admissions-steps", "manifest"))
+    records = inputs.raw_admissions(spark, sf)
+    first = records.filter("competence <> '1997-03'").withColumns(
+        {
+            "VAL_TOT": F.expr("CASE WHEN competence = '1995-07' THEN concat(VAL_TOT, '0') ELSE VAL_TOT END"),
+            "DIAG_PRINC": F.expr("CASE WHEN competence = '1996-05' THEN 'J999' ELSE DIAG_PRINC END"),
+        }
+    )
+    for landed in (first, records.filter("competence IN ('1995-07', '1996-05', '1997-03')")):
+        sinks.land_admissions(landed, landing, order="source_row")
+        jobs.update_admissions(spark, landing, path, manifest, MUNICIPALITIES, DIAGNOSIS)
+    return tables.read_admissions(spark, path)
+
+
+# Within a competence the files of a later state name come last.
+_LANDED_CLEAN_SQL = f"""SELECT N_AIH AS aih_number, MUNIC_RES AS municipality_residence_code,
+    CAST(try_strptime(DT_INTER, '%Y%m%d') AS DATE) AS admission_date,
+    DIAG_PRINC AS primary_diagnosis, TRY_CAST(trim(VAL_TOT) AS DOUBLE) AS total_aih_value,
+    TRY_CAST(trim(DIAS_PERM) AS DOUBLE) AS length_of_stay,
+    CAST(date_trunc('month', try_strptime(DT_INTER, '%Y%m%d')) AS DATE) AS admission_month
+    FROM raw_admissions
+    WHERE MUNIC_RES IN ({CODE_LIST}) AND regexp_matches(DIAG_PRINC, '^J[0-9]{{2}}')
+    QUALIFY row_number() OVER (PARTITION BY N_AIH
+        ORDER BY competence DESC, state DESC, source_row DESC) = 1"""
+
+
 def changed_competences(spark: SparkSession, sf: str) -> DataFrame:
     """Competences whose landed records differ from the fingerprint of an earlier landing."""
     records = inputs.raw_admissions(spark, sf)
@@ -640,6 +682,8 @@ QUERIES = {
     "backfill_merge": (backfill_merge, sql(_BACKFILL_SQL, "daily_climate")),
     "climate_merge": (climate_merge, sql(_CLIMATE_MERGE_SQL, "daily_climate")),
     "admissions_merge": (admissions_merge, sql(_ADMISSIONS_MERGE_SQL, "clean")),
+    "admissions_merge_out_of_order": (admissions_merge_out_of_order, sql(_LANDED_CLEAN_SQL, "raw_admissions")),
+    "incremental_admissions": (incremental_admissions, sql(_LANDED_CLEAN_SQL, "raw_admissions")),
     "changed_competences": (changed_competences, sql(_CHANGED_SQL, "raw_admissions")),
     "daily_stream": (daily_stream, _DAILY_STREAM_SQL),
 }

@@ -88,15 +88,15 @@ def select_and_type(records: DataFrame, *carried: str) -> DataFrame:
 
 
 def clean_admissions(
-    records: DataFrame, codes: tuple[str, ...] | list[str] | DataFrame, pattern: str
+    records: DataFrame, codes: tuple[str, ...] | list[str] | DataFrame, pattern: str, *carried: str
 ) -> DataFrame:
-    """Filter, then keep the last version, then type.
+    """Filter, then keep the last version, then type; ``carried`` columns stay as they are.
 
     The filters come first on purpose: a later version that no longer matches them does not
     displace an earlier one that does.
     """
     wanted = filter_by_diagnosis(filter_by_municipality(records, codes), pattern)
-    return select_and_type(keep_last(wanted, ("N_AIH",)))
+    return select_and_type(keep_last(wanted, ("N_AIH",)), *carried)
 
 
 def stage_counts(records: DataFrame, codes: tuple[str, ...], pattern: str) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from climora.schemas import ADMISSIONS
+from climora.operators.admissions import clean_admissions
+from climora.schemas import VERSION, VERSIONED_ADMISSIONS
 from climora.session import discard, staged
 from climora.sources.sinks import (
     CLIMATE_BY_DATE,
@@ -19,17 +22,34 @@ from climora.sources.sinks import (
     with_admission_month,
     with_folder_columns,
 )
-from climora.sources.tables import read_admissions, read_daily_climate
+from climora.sources.tables import read_daily_climate
 
 FINGERPRINT = ("state", "competence", "row_count", "checksum")
 
 
 def fingerprints(records: DataFrame) -> DataFrame:
-    """Row count and an order-free checksum of each landed (state, competence)."""
+    """Row count and checksum of each landed (state, competence).
+
+    Keep-last depends on the order of the records of one key, so each of them is weighted by its
+    distance from the first one. The order of different keys does not count. Both sums are combined
+    before the shuffle, which sends one row per task and key.
+    """
     measures = [c for c in records.columns if c not in ("source_file", "source_row")]
-    return records.groupBy("state", "competence").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.xxhash64(*measures).cast("decimal(20,0)")).alias("checksum"),
+    number = F.coalesce(F.regexp_extract("source_file", r"part-(\d+)[^/]*$", 1).try_cast("bigint"), F.lit(0))
+    place = (number * F.lit(1 << 40) + F.col("source_row")).cast("decimal(18,0)")
+    short = F.pmod(F.xxhash64(*measures), F.lit(1 << 31)).cast("decimal(10,0)")
+    per_key = (
+        records.select("state", "competence", "N_AIH", F.xxhash64(*measures).alias("full"), short.alias("short"), place.alias("place"))
+        .groupBy("state", "competence", "N_AIH")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.col("full").cast("decimal(20,0)")).alias("content"),
+            (F.sum(F.col("short") * F.col("place")) - F.min("place") * F.sum("short")).alias("order"),
+        )
+    )
+    return per_key.groupBy("state", "competence").agg(
+        F.sum("rows").alias("row_count"),
+        F.sum(F.xxhash64("N_AIH", "rows", "content", "order").cast("decimal(20,0)")).alias("checksum"),
     )
 
 
@@ -87,58 +107,121 @@ def _merge_staged_climate(
 
 
 def _empty_months(spark: SparkSession, path: str, months: set[date | None]) -> None:
-    fields = [f for f in ADMISSIONS if f.name != "admission_month"]
+    fields = [f for f in VERSIONED_ADMISSIONS if f.name != "admission_month"]
     empty_folders(spark, T.StructType(fields), path, [folder_name("admission_month", m) for m in months])
 
 
-def merge_admissions(spark: SparkSession, updates: DataFrame, path: str) -> int:
-    """Merge newer versions of admissions into the stored table, by record number.
+def from_folders(pairs: Iterable[tuple[str, str]]) -> Column:
+    """Rows of the landed folders with these (state, competence); never NULL."""
+    by_state: dict[str, list[str]] = {}
+    for state, competence in pairs:
+        by_state.setdefault(state, []).append(competence)
+    hits = [(F.col("state") == s) & F.col("competence").isin(*months) for s, months in by_state.items()]
+    return F.coalesce(reduce(Column.__or__, hits, F.lit(False)), F.lit(False))
 
-    ``updates`` holds clean admissions, one row per record number. A corrected admission date can
-    move a record to another month, so a month counts as touched when it holds an old or a new
-    version. Only touched months are read in full and rewritten; one that loses its last record is
-    emptied afterwards. Repeating the merge gives the same table. A table that does not exist yet
-    is created, and no updates change nothing. The updates are written aside once.
-    """
-    fresh = staged(with_admission_month(updates).select(*ADMISSIONS.names), "admissions")
-    if fresh.isEmpty():
-        discard(fresh)
-        return 0
+
+def _stored_versions(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        stored = read_admissions(spark, path)
+        return spark.read.schema(VERSIONED_ADMISSIONS).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        count = replace_partitions(fresh, path, ("admission_month",))
+        return None
+
+
+def merge_admissions(
+    spark: SparkSession, updates: DataFrame, path: str, withdrawn: Iterable[tuple[str, str]] = ()
+) -> int:
+    """Merge versions of admissions into the stored table, by record number.
+
+    ``updates`` holds clean admissions, one row per record number. Where they carry ``competence``
+    and ``state``, a stored record from a later (competence, state) stays: runs can come in any
+    order. Updates that do not carry them win. Stored records that came from a ``withdrawn`` (state,
+    competence) go, whether or not an update takes their place.
+
+    A corrected admission date can move a record to another month, so a month counts as touched
+    when it holds an old or a new version. Only touched months are read in full and rewritten; one
+    that loses its last record is emptied afterwards. Repeating the merge gives the same table. A
+    table that does not exist yet is created, and no updates change nothing. Returns the number of
+    records in the months written.
+    """
+    known = updates.withColumns({n: F.lit(None).cast("string") for n in VERSION if n not in updates.columns})
+    fresh = staged(with_admission_month(known).select(*VERSIONED_ADMISSIONS.names), "admissions")
+    pairs = list(withdrawn)
+    stored = _stored_versions(spark, path)
+    if stored is None:
+        count = 0 if fresh.isEmpty() else replace_partitions(fresh, path, ("admission_month",))
         discard(fresh)
         return count
-    keys = fresh.select("aih_number").alias("k")
+    gone = from_folders(pairs)
     same_key = F.col("s.aih_number").eqNullSafe(F.col("k.aih_number"))
-    left = stored.alias("s").join(keys, same_key, "left_semi").select("admission_month")
-    # Calendar months: a few hundred values at most, and as literals they prune folders.
-    touched = {r[0] for r in left.union(fresh.select("admission_month")).distinct().collect()}
+    key = stored.select("aih_number", *VERSION, "admission_month", gone.alias("gone"))
+    later = ~F.col("s.gone") & (F.struct(*[f"s.{n}" for n in VERSION]) > F.struct(*[f"k.{n}" for n in VERSION]))
+    known_pair = reduce(Column.__and__, [F.col(f"{t}.{n}").isNotNull() for t in "sk" for n in VERSION])
+    met = staged(
+        key.alias("s")
+        .join(fresh.alias("k"), same_key)
+        .select("s.aih_number", F.col("s.admission_month").alias("month"), (known_pair & later).alias("later")),
+        "admissions-met",
+    )
+    wins = fresh.alias("s").join(met.where("later").alias("k"), same_key, "left_anti")
     month = F.col("admission_month")
-    in_touched = month.isin(*[m for m in touched if m is not None])
-    if None in touched:
-        in_touched = in_touched | month.isNull()
-    kept = stored.filter(in_touched).alias("s").join(keys, same_key, "left_anti")
-    written = Observation("written")
-    (
-        kept.unionByName(fresh)
-        .hint("rebalance", "admission_month")
-        .observe(
-            written,
-            F.count(F.lit(1)).alias("rows"),
-            F.collect_set("admission_month").alias("months"),
-            F.count_if(month.isNull()).alias("undated"),
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("admission_month")
-        .parquet(path)
+    months = (
+        met.where("NOT later").select("month")
+        .union(key.where("gone").select("admission_month"))
+        .union(wins.select("admission_month"))
     )
-    result = written.get
-    filled = set(result["months"]) | ({None} if result["undated"] else set())
-    _empty_months(spark, path, touched - filled)
+    # Calendar months: a few hundred values at most, and as literals they prune folders.
+    touched = {r[0] for r in months.distinct().collect()}
+    count = 0
+    if touched:
+        in_touched = month.isin(*[m for m in touched if m is not None])
+        if None in touched:
+            in_touched = in_touched | month.isNull()
+        kept = stored.filter(in_touched & ~gone).alias("s").join(wins.alias("k"), same_key, "left_anti")
+        merged = staged(kept.unionByName(wins), "admissions-merged")
+        count = replace_partitions(merged, path, ("admission_month",))
+        filled = {r[0] for r in merged.select("admission_month").distinct().collect()}
+        _empty_months(spark, path, touched - filled)
+        discard(merged)
+    discard(met)
     discard(fresh)
-    return result["rows"]
+    return count
+
+
+def merge_folders(
+    spark: SparkSession,
+    records: DataFrame,
+    pairs: Iterable[tuple[str, str]],
+    path: str,
+    codes: tuple[str, ...] | list[str] | DataFrame,
+    pattern: str,
+) -> int:
+    """Bring the stored admissions up to date with landed folders that are new, changed or gone.
+
+    ``records`` is the whole landing. The result is that of cleaning it from scratch, but only the
+    folders of ``pairs`` are read, unless a stored record came from one of them and is not found
+    there any more, or in an older one only: such numbers are looked up in all folders.
+    """
+    pairs = list(pairs)
+    changed = from_folders(pairs)
+    fresh = staged(clean_admissions(records.filter(changed), codes, pattern, *VERSION), "admissions-changed")
+    stored = _stored_versions(spark, path)
+    updates, doubtful = fresh, None
+    if stored is not None:
+        as_new = F.col("s.aih_number").eqNullSafe(F.col("k.aih_number")) & (
+            F.struct(*[f"k.{n}" for n in VERSION]) >= F.struct(*[f"s.{n}" for n in VERSION])
+        )
+        withdrawn = stored.filter(changed).select("aih_number", *VERSION).alias("s")
+        doubtful = staged(withdrawn.join(fresh.alias("k"), as_new, "left_anti").select("aih_number"), "admissions-lost")
+        if not doubtful.isEmpty():
+            lost = doubtful.select(F.col("aih_number").alias("lost"))
+            again = records.join(lost, F.col("N_AIH").eqNullSafe(F.col("lost")), "left_semi")
+            found = clean_admissions(again, codes, pattern, *VERSION)
+            rest = fresh.join(lost, F.col("aih_number").eqNullSafe(F.col("lost")), "left_anti")
+            updates = rest.unionByName(found)
+    count = merge_admissions(spark, updates, path, pairs)
+    for rows in (fresh, doubtful):
+        if rows is not None:
+            discard(rows)
+    return count

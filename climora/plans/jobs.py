@@ -14,12 +14,24 @@ from pyspark.sql import functions as F
 
 from climora.functions.calendar import month_start
 from climora.operators.admissions import clean_admissions
-from climora.operators.changes import merge_admissions, merge_daily_climate
+from climora.operators.changes import (
+    changed_competences,
+    fingerprints,
+    merge_admissions,
+    merge_daily_climate,
+    merge_folders,
+)
 from climora.operators.climate import aggregate_daily, normalize_readings
 from climora.operators.quality import declared_checks, run_checks, store_results
-from climora.params import AdmissionsRun, ClimateRun, month_range
+from climora.params import (
+    DEFAULT_MUNICIPALITIES,
+    RESPIRATORY_PATTERN,
+    AdmissionsRun,
+    ClimateRun,
+    month_range,
+)
 from climora.plans import marts, staging
-from climora.schemas import MART
+from climora.schemas import MART, VERSION
 from climora.session import discard, staged
 from climora.sources import sinks, tables
 from climora.sources.archives import hourly_records, scan_archives
@@ -60,16 +72,49 @@ def ingest_admissions(spark: SparkSession, landing: str, output: str, run: Admis
     """Landed records to stored clean admissions; returns the number of records in the months written.
 
     A competence can hold admissions of earlier months, so the run is merged by record number: what
-    earlier runs stored in those months stays. Runs have to come in the order of their competences,
-    as the stored table does not keep from which one a record came.
+    earlier runs stored in those months stays. Runs can come in any order: the stored table keeps
+    from which competence and state a record came, and the later one stays.
     """
     records = tables.read_landed_admissions(spark, landing, run.competences, run.states)
-    admissions = clean_admissions(records, run.municipalities, run.diagnosis_pattern)
+    admissions = clean_admissions(records, run.municipalities, run.diagnosis_pattern, *VERSION)
     written = merge_admissions(spark, admissions, output)
     logger.info("wrote %d admissions of %s to %s", written, run.first, run.last)
     return written
 
 
+def update_admissions(
+    spark: SparkSession,
+    landing: str,
+    output: str,
+    manifest: str,
+    municipalities: tuple[str, ...] = DEFAULT_MUNICIPALITIES,
+    diagnosis_pattern: str = RESPIRATORY_PATTERN,
+) -> list[tuple[str, str]]:
+    """Merge the landed folders that changed since the last run; returns their (state, competence).
+
+    ``manifest`` holds the fingerprints of the last run, and is replaced last: a run that fails
+    before that is repeated in full, with the same result. Folders that are gone count as changed.
+    The stored table is then what cleaning the whole landing would give.
+    """
+    records = tables.read_landed_admissions(spark, landing)
+    current = staged(fingerprints(records), "fingerprints")
+    try:
+        before = spark.read.schema(current.schema).parquet(manifest)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        before = current.limit(0)
+    gone = before.join(current, ["state", "competence"], "left_anti").select("state", "competence")
+    # One row per folder of the landing at most.
+    pairs = [tuple(r) for r in changed_competences(current, before).union(gone).collect()]
+    if pairs:
+        merge_folders(spark, records, pairs, output, municipalities, diagnosis_pattern)
+        sinks.write_table(current, manifest)
+    discard(current)
+    logger.info("merged %d landed folders", len(pairs))
+    return pairs
+
+
 @dataclass(frozen=True)
 class Sources:
     """Where the stored inputs of the models lie."""

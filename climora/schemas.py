@@ -66,6 +66,16 @@ DAILY_CLIMATE = T.StructType(
     ]
 )
 
+# Which landed folder a stored admission came from; NULL where it was stored without a job.
+VERSION = ("competence", "state")
+VERSIONED_ADMISSIONS = T.StructType(
+    [
+        *[f for f in ADMISSIONS if f.name != "admission_month"],
+        *[T.StructField(name, T.StringType()) for name in VERSION],
+        ADMISSIONS["admission_month"],
+    ]
+)
+
 MUNICIPALITIES = T.StructType(
     [
         T.StructField("ibge_code", T.StringType()),

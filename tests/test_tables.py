@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from climora import schemas
 from climora.operators import changes
-from climora.operators.admissions import keep_last
+from climora.operators.admissions import clean_admissions, keep_last
 from climora.params import AdmissionsRun, ClimateRun
 from climora.plans import jobs
 from climora.sources import sinks, tables
@@ -241,22 +241,70 @@ def test_changed_competences(spark, tmp_path):
     assert sorted(tuple(r) for r in got) == [("PR", "2024-02"), ("PR", "2024-03")]
 
 
+def test_order_of_one_key_changes_the_fingerprint(spark, tmp_path):
+    prints = []
+    for rows in (("1", "20240105", "J189"), ("2", "20240105", "J189"), ("1", "20240105", "J449")), (
+        ("1", "20240105", "J449"), ("2", "20240105", "J189"), ("1", "20240105", "J189"),
+    ):
+        land(spark, str(tmp_path), "2024-01", *rows)
+        prints.append(changes.fingerprints(tables.read_landed_admissions(spark, str(tmp_path))).collect())
+    assert prints[0][0].row_count == prints[1][0].row_count == 3
+    assert prints[0][0].checksum != prints[1][0].checksum
+
+
+def test_an_older_competence_that_comes_last_does_not_win(spark, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    land(spark, landing, "2024-01", ("1", "20240105", "J189"), (None, "20240105", "J189"), ("2", "20240109", "J189"))
+    land(spark, landing, "2024-02", ("1", "20240106", "J449"), (None, "20240206", "J449"))
+    for month in (2, 1, 1):
+        jobs.ingest_admissions(spark, landing, out, AdmissionsRun((2024, month), (2024, month)))
+        found = {(r.aih_number, r.primary_diagnosis) for r in tables.read_admissions(spark, out).collect()}
+        assert found == {("1", "J449"), (None, "J449")} | ({("2", "J189")} if month == 1 else set())
+
+
+def test_incremental_job_equals_a_rebuild(spark, tmp_path):
+    landing, out, manifest = (str(tmp_path / n) for n in ("landing", "out", "manifest"))
+
+    def holds(*pairs):
+        assert sorted(jobs.update_admissions(spark, landing, out, manifest)) == [("PR", p) for p in pairs]
+        whole = clean_admissions(tables.read_landed_admissions(spark, landing), ("410690",), r"^J\d{2}")
+        rows = tables.read_admissions(spark, out)
+        assert sorted(map(str, rows.drop("admission_month").collect())) == sorted(map(str, whole.collect()))
+
+    land(spark, landing, "2024-01", ("1", "20240105", "J189"), ("2", "20240106", "J189"), (None, "bad", "J189"))
+    land(spark, landing, "2024-02", ("1", "20240107", "J449"), ("3", "20240210", "J209"))
+    holds("2024-01", "2024-02")
+    holds()
+    # 1 is back to its version of January, 3 is not in the scope any more, 4 is new.
+    land(spark, landing, "2024-02", ("3", "20240210", "I219"), ("4", "20240211", "J209"))
+    holds("2024-02")
+    # The versions of one number change places; the record without a number goes.
+    land(spark, landing, "2024-01", ("1", "20240105", "J189"), ("1", "20240105", "J111"), ("2", "20240106", "J189"))
+    holds("2024-01")
+    land(spark, landing, "2024-01", ("1", "20240105", "J111"), ("1", "20240105", "J189"), ("2", "20240106", "J189"))
+    holds("2024-01")
+    # A folder of which nothing is left.
+    land(spark, landing, "2024-02")
+    holds("2024-02")
+    assert {r.admission_month for r in tables.read_admissions(spark, out).collect()} == {date(2024, 1, 1)}
+
+
 def test_all_jobs_end_to_end(spark, tmp_path):
     days = [date(2024, 1, 1) + timedelta(days=i) for i in range(40)]
     text = station_file([(d.strftime("%Y/%m/%d"), *ROW) for d in days])
     (tmp_path / "zips").mkdir()
-    (tmp_path / "zips" / "2024.zip").write_bytes(pack_archive([(member(), text)]))
+    (tmp_path / "zips" / "2024.zip").write_bytes(pack_archive([(member(year=2024), text)]))
     land(spark, str(tmp_path / "landing"), "2024-01", ("1", "20240105", "J189"), ("2", "20240105", "J449"), ("3", "20240220", "J449"))
     (tmp_path / "municipalities.csv").write_text(
         "ibge_code,municipality_name,state,latitude,longitude\n410690,Curitiba,PR,-25.4284,-49.2733\n"
     )
-    (tmp_path / "mapping.csv").write_text("municipality_ibge_code,station_code\n410690,A807\n")
+    (tmp_path / "mapping.csv").write_text("municipality_ibge_code,station_code\n410690,Z042\n")
     at = lambda name: str(tmp_path / name)
-    run = ClimateRun(date(2024, 1, 1), date(2024, 1, 31))
+    run = ClimateRun(date(2024, 1, 1), date(2024, 1, 31), stations=("Z042",))
     assert jobs.ingest_climate(spark, at("zips"), at("climate"), run) == 31
     assert jobs.ingest_climate(spark, at("nowhere"), at("climate"), run) == 0
     (tmp_path / "files" / "2024").mkdir(parents=True)
-    (tmp_path / "files" / "2024" / member()).write_bytes(text)
+    (tmp_path / "files" / "2024" / member(year=2024)).write_bytes(text)
     by_month = dict(scan=scan_station_files, by=sinks.CLIMATE_BY_MONTH)
     assert jobs.ingest_climate(spark, at("files"), at("monthly"), run, **by_month) == 31
     by_day, by_month = (tables.read_daily_climate(spark, at(n)) for n in ("climate", "monthly"))
@@ -271,6 +319,6 @@ def test_all_jobs_end_to_end(spark, tmp_path):
         "SELECT date_day, daily_admission_count, avg_temp FROM mart_climate_health_correlation"
         " WHERE daily_admission_count > 0 ORDER BY date_day"
     ).collect()
-    assert [tuple(r) for r in top] == [(date(2024, 1, 5), 2, 18.4), (date(2024, 2, 20), 1, None)]
+    assert [tuple(r) for r in top] == [(date(2024, 1, 5), 2, 11.6), (date(2024, 2, 20), 1, None)]
     assert spark.table("dim_location").first().region == "Sul"
     assert spark.table("dim_date").agg(F.max("date_day")).first()[0] == date(2025, 5, 31)
