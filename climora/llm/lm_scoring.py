@@ -3,7 +3,8 @@
 Every word is predicted from the two words on either side of it. Words are hashed to buckets; counts of all buckets over the whole
 corpus put them into classes (frequent ones alone, the rest in classes of equal size). A network with a hidden layer gives the
 class from the classes around it, and the counts give the bucket within its class. The network is trained in numpy, by tasks that
-each go through their part of a slice of the documents and whose weights are averaged after each slice. The score of a document is
+each go through their part of a slice of the documents and whose weights are averaged after each slice, until every document has
+been used. The score of a document is
 the sum of the log-probabilities of its words.
 """
 
@@ -17,15 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from climora.llm.storage import small_batches
+from climora.llm.storage import dropped, small_batches, stored
 
 BUCKETS = 1 << 16
 CLASSES = 128
 ALONE = 64
 HIDDEN = 32
 AROUND = (-2, -1, 1, 2)
-#: Of so many slices of the documents, by a hash of the id, each round trains on one.
-SLICES, ROUNDS = 16, 4
+#: Of so many slices of the documents, by a hash of the id, each round trains on one; there are as many rounds as slices.
+SLICES = 16
 _BLOCK = 8192
 _PAD = CLASSES
 
@@ -122,21 +123,31 @@ def train(flat: np.ndarray, target: np.ndarray, around: np.ndarray, rate: float,
         off[np.arange(len(y)), y] -= 1
         off /= len(y)
         inner = (off @ weights[2].T) * (1 - hidden**2)
-        table = np.zeros_like(weights[0])
+        held = np.zeros((len(AROUND), len(y), CLASSES + 1), np.float32)
         for k in range(len(AROUND)):
-            np.add.at(table[k], x[:, k], inner)
+            held[k, np.arange(len(y)), x[:, k]] = 1
+        table = held.transpose(0, 2, 1) @ inner
         for w, s, g in zip(weights, steps, (table, inner.sum(axis=0), hidden.T @ off, off.sum(axis=0))):
             s += g * g
             w -= rate * g / (np.sqrt(s) + 1e-6)
 
 
-def _trained(flat: np.ndarray, of: np.ndarray, rate: float):
+def _classed(of: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [of[words_of(t)].astype(np.uint8).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(held, pa.binary())], ["slice", "held"])
+
+    return run
+
+
+def _trained(flat: np.ndarray, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, squares, seen = flat.copy(), np.full(len(flat), 1e-4, np.float32), 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 64):
-                target, around = _windows([of[words_of(t)] for t in texts[at : at + 64]])
+            held = batch.column("held").to_pylist()
+            for at in range(0, len(held), 64):
+                target, around = _windows([np.frombuffer(h, np.uint8).astype(np.int64) for h in held[at : at + 64]])
                 order = np.random.default_rng(seen).permutation(len(target))
                 train(own, target[order], around[order], rate, squares)
                 seen += len(target)
@@ -149,20 +160,22 @@ def _trained(flat: np.ndarray, of: np.ndarray, rate: float):
     return run
 
 
-def fit_network(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", text_col: str = "text", slices: int = SLICES, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights trained on ``rounds`` of ``slices`` slices; a weight is averaged over tasks by the words they have seen."""
+def fit_network(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", text_col: str = "text", slices: int = SLICES, rounds: int | None = None) -> np.ndarray:
+    """Weights trained on each of ``slices`` slices, or the first ``rounds``; a weight is averaged over tasks by the words they have seen."""
     of, _ = classes(counts)
     flat = start_weights(counts, of)
-    rows = docs.select(F.pmod(F.xxhash64(id_col), F.lit(slices)).alias("slice"), F.col(text_col).alias("text"))
-    for turn in range(rounds):
-        part = rows.where(F.col("slice") == turn).select("text")
-        sums = part.mapInArrow(_trained(flat, of, 0.1 / (1 + turn)), "k int, sum double, n double").groupBy("k").agg(
+    rows = docs.select(F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int").alias("slice"), F.col(text_col).alias("text"))
+    rows = stored(rows.mapInArrow(_classed(of), "slice int, held binary"), "lm-classes", "slice")  # a byte per word
+    for turn in range(slices if rounds is None else rounds):
+        part = rows.where(F.col("slice") == turn).select("held")
+        sums = part.mapInArrow(_trained(flat, 0.1 / (1 + turn)), "k int, sum double, n double").groupBy("k").agg(
             (F.sum("sum") / F.sum("n")).alias("mean")
         )
         new = sums.collect()  # as many rows as the network has weights, none without words
         if new:
             flat = flat.copy()
             flat[[r.k for r in new]] = np.array([r.mean for r in new], np.float32)
+    dropped(rows)
     return flat
 
 
@@ -188,7 +201,7 @@ def _scored(flat: np.ndarray, of: np.ndarray, within: np.ndarray):
     return run
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slices: int = SLICES, rounds: int = ROUNDS) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slices: int = SLICES, rounds: int | None = None) -> DataFrame:
     """One row per document: ``id_col``, n_words, log_likelihood (sum over words) and mean_log_likelihood (null without words).
 
     Null and empty texts have no words and a sum of 0. Repeated rows give repeated results; an empty table gives none; other columns are not read.

@@ -14,11 +14,11 @@ def new_folder(spark, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/climora-llm/{label}-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """``frame`` written as Parquet in the shared folder and read back; survives lost executors."""
+def stored(frame: DataFrame, label: str, *by: str) -> DataFrame:
+    """``frame`` written as Parquet in the shared folder, in folders ``by`` columns, and read back; survives lost executors."""
     spark = frame.sparkSession
     path = new_folder(spark, label)
-    frame.write.parquet(path)
+    frame.write.partitionBy(*by).parquet(path)
     back = spark.read.schema(frame.schema).parquet(path)
     back.climora_path = path
     return back

@@ -91,3 +91,15 @@ def test_cases_without_words_or_rows(spark):
     assert rows[11].n_words == 0 and rows[11].log_likelihood == 0 and rows[11].mean_log_likelihood is None
     assert rows[3].log_likelihood < 0
     assert L.score_documents(empty(spark)).count() == 0
+
+
+def test_each_slice_trains_the_network(spark):
+    slices = {}
+    for r in spark.range(400).select("id", F.pmod(F.xxhash64("id"), F.lit(L.SLICES)).alias("slice")).collect():
+        slices.setdefault(r.slice, r.id)
+    assert len(slices) == L.SLICES
+    for turn in (0, 3, 4, 9, L.SLICES - 1):
+        docs = spark.createDataFrame([(slices[turn], "alpha beta gamma " * 50)], "doc_id long, text string")
+        counts = L.bucket_counts(docs)
+        start = L.start_weights(counts, L.classes(counts)[0])
+        assert not np.array_equal(L.fit_network(docs, counts), start)
