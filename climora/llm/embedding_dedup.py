@@ -4,7 +4,7 @@ Each distinct vector has the cell of its nearest centre as home. A vector at hom
 side of the plane between the centres of c and of any other cell; so a vector y can have a partner at home in c only
 if it is no farther from that plane than the angle of the threshold allows, and only if its angle to the centre of c is
 within that angle of those found in c. y visits all cells that meet both, so no link is lost. Every pair is
-counted where one of the two is at home and the other visits. Homes and visitors of a cell are cut into blocks,
+counted where one of the two is at home and the other visits. Each length of vectors has centres and cells of its own. Homes and visitors of a cell are cut into blocks,
 so that no cell, however full, meets in one task.
 """
 
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,14 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def _by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of each batch, by the length of their vectors."""
+    for batch in batches:
+        lengths = pc.list_value_length(batch.column("vec"))
+        for length in pc.unique(lengths).to_pylist():
+            yield length, batch.filter(pc.equal(lengths, length))
+
+
 def fit_centres(sample: np.ndarray, cells: int, rounds: int = 8, seed: int = 3) -> np.ndarray:
     """Unit centres of spherical k-means; empty cells keep their last centre."""
     rng = np.random.default_rng(seed)
@@ -66,31 +75,32 @@ def visited(unit: np.ndarray, centres: np.ndarray, threshold: float, nearest: np
     return by_plane & (angle <= farthest + reach) & (angle >= nearest - reach)
 
 
-def _homes(centres: np.ndarray):
+def _homes(centres: dict[int, tuple[int, np.ndarray]]):
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                close = _unit(_matrix(batch.column("vec"))) @ centres.T
-                cell = close.argmax(axis=1)
-                angle = np.arccos(np.clip(close[np.arange(len(cell)), cell], -1, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep"), batch.column("n"), batch.column("vec"), pa.array(cell.astype(np.int32)), pa.array(angle)],
-                    ["rep", "n", "vec", "cell", "angle"],
-                )
+        for length, batch in _by_length(batches):
+            first, own = centres[length]
+            close = _unit(_matrix(batch.column("vec"))) @ own.T
+            cell = close.argmax(axis=1)
+            angle = np.arccos(np.clip(close[np.arange(len(cell)), cell], -1, 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), batch.column("n"), batch.column("vec"), pa.array((cell + first).astype(np.int32)), pa.array(angle)],
+                ["rep", "n", "vec", "cell", "angle"],
+            )
 
     return assign
 
 
-def _visits(centres: np.ndarray, threshold: float, nearest: np.ndarray, farthest: np.ndarray):
+def _visits(centres: dict[int, tuple[int, np.ndarray]], threshold: float, nearest: np.ndarray, farthest: np.ndarray):
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                goes = visited(_unit(_matrix(batch.column("vec"))), centres, threshold, nearest, farthest)
-                cells = [np.nonzero(g)[0].astype(np.int32) for g in goes]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep"), batch.column("n"), batch.column("vec"), pa.array(cells, pa.list_(pa.int32()))],
-                    ["rep", "n", "vec", "cells"],
-                )
+        for length, batch in _by_length(batches):
+            first, own = centres[length]
+            part = slice(first, first + len(own))
+            goes = visited(_unit(_matrix(batch.column("vec"))), own, threshold, nearest[part], farthest[part])
+            cells = [(np.nonzero(g)[0] + first).astype(np.int32) for g in goes]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), batch.column("n"), batch.column("vec"), pa.array(cells, pa.list_(pa.int32()))],
+                ["rep", "n", "vec", "cells"],
+            )
 
     return visit
 
@@ -140,7 +150,7 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """One row per vector: ``id_col``, n_links, component_id and kept.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do
-    vectors of another length than most have, nor those without an id; they are groups of their own. Equal
+    those without an id; they are groups of their own. Vectors link with those of their own length. Equal
     vectors are compared once. Rows that repeat an id count as vectors of their own and share a group if
     their vectors do. An empty table gives no rows; other columns are not read.
     """
@@ -155,27 +165,33 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         & F.exists("vec", lambda x: x != 0)
     )
     each = stored(raw.withColumn("whole", F.coalesce(whole, F.lit(False))), "vectors")
-    width = each.where("whole").groupBy(F.size("vec").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    if width is None:
-        return each.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    usable = F.col("whole") & (F.size("vec") == width.w)
+    usable = F.col("whole")
     distinct = stored(each.where(usable).groupBy("vec").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "vectors-distinct")
-    n = distinct.count()
+    lengths = {r.w: r["count"] for r in distinct.groupBy(F.size("vec").alias("w")).count().orderBy("w").collect()}
+    if not lengths:
+        return each.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    n = sum(lengths.values())
     block = max(BLOCK_ROWS[0], min(BLOCK_ROWS[1], int(10 * math.sqrt(n))))
     cells = min(MOST_CELLS, -(-n // block))
-    sample = distinct.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE_ROWS).select("vec").toArrow()
-    centres = fit_centres(_unit(_matrix(sample.column("vec"))), cells)
+    centres, n_cells = {}, 0  # by length: the number of its first cell, and its centres
+    for length, many in lengths.items():
+        sample = (
+            distinct.where(F.size("vec") == length).orderBy(F.xxhash64("rep"), "rep")
+            .limit(-(-SAMPLE_ROWS * many // n)).select("vec").toArrow()
+        )
+        centres[length] = n_cells, fit_centres(_unit(_matrix(sample.column("vec"))), -(-cells * many // n))
+        n_cells += len(centres[length][1])
     kind = dict(distinct.dtypes)["vec"]
     homes = stored(distinct.select("rep", "n", "vec").mapInArrow(_homes(centres), f"rep long, n long, vec {kind}, cell int, angle double"), "vectors-homes")
-    nearest, farthest, home_blocks = np.full(len(centres), np.inf), np.full(len(centres), -np.inf), np.zeros(len(centres), np.int64)
-    for row in homes.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count("*").alias("n")).collect():  # MOST_CELLS at most
+    nearest, farthest, home_blocks = np.full(n_cells, np.inf), np.full(n_cells, -np.inf), np.zeros(n_cells, np.int64)
+    for row in homes.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count("*").alias("n")).collect():  # MOST_CELLS at most, and one more per length
         nearest[row.cell], farthest[row.cell], home_blocks[row.cell] = row.low, row.high, -(-row.n // block)
     going = homes.select("rep", "n", "vec").mapInArrow(_visits(centres, threshold, nearest, farthest), f"rep long, n long, vec {kind}, cells array<int>")
     guests = stored(going, "vectors-visits")
-    guest_blocks = np.zeros(len(centres), np.int64)
+    guest_blocks = np.zeros(n_cells, np.int64)
     for row in guests.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect():
         guest_blocks[row.cell] = -(-row["count"] // block)
-    sizes = F.broadcast(spark.createDataFrame(  # MOST_CELLS rows at most
+    sizes = F.broadcast(spark.createDataFrame(  # MOST_CELLS rows at most, and one more per length
         [(k, int(h), int(g)) for k, (h, g) in enumerate(zip(home_blocks, guest_blocks)) if h and g], "cell int, homes int, guests int"
     ))
     spot = F.xxhash64("rep")

@@ -81,3 +81,13 @@ def test_a_cell_is_skipped_only_without_partners():
     for i, j in zip(*np.nonzero(unit @ unit.T >= 0.9)):
         assert goes[i, home[j]]
     assert not goes.all()
+
+
+@pytest.mark.parametrize("block", [(4, 8), (30, 60)])
+def test_every_length_is_compared_with_its_own(spark, monkeypatch, block):
+    monkeypatch.setattr(E, "BLOCK_ROWS", block)
+    rows = vectors(1) + [(i + 1000, v) for i, v in vectors(2, n=70, d=5)] + [(2000, [1.0, 0.0]), (2001, [1.0, 0.0]), (2002, [1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = sorted(tuple(r) for r in E.embedding_groups(frame).select("vec_id", "n_links", "component_id", "kept").collect())
+    assert found == brute(rows)
+    assert sum(r[1] for r in found if 1000 <= r[0] < 2000) > 0 and (2001, 1, 2000, False) in found
