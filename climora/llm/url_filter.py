@@ -59,11 +59,8 @@ def _level(units: DataFrame, unit: str, above: DataFrame, parent: str) -> DataFr
     )
 
 
-def reputations(outcomes: DataFrame, host_col: str = "host", bad_col: str = "bad", z: float = Z) -> DataFrame:
-    """One row per host with labelled pages: unit (the host), n, k, mean and low, the lower posterior bound of its bad share.
-
-    Null labels are left out. The registered domain of a host is its last two parts, the suffix its last.
-    """
+def _levels(outcomes: DataFrame, host_col: str, bad_col: str) -> list[DataFrame]:
+    """Posterior means of hosts, registered domains, suffixes and of everything, in this order."""
     hosts = outcomes.where(F.col(bad_col).isNotNull()).groupBy(F.col(host_col).alias("unit")).agg(
         F.count("*").alias("n"), F.sum(F.col(bad_col).cast("long")).alias("k")
     )
@@ -73,9 +70,44 @@ def reputations(outcomes: DataFrame, host_col: str = "host", bad_col: str = "bad
     )
     suffixes = domains.groupBy(F.col("parent").alias("unit")).agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("parent", F.lit(""))
     everything = suffixes.groupBy(F.col("parent").alias("unit")).agg((F.sum("k") / F.sum("n")).alias("mean"))
-    judged = _level(hosts, "host", _level(domains, "domain", _level(suffixes, "suffix", everything, ""), ""), "")
-    spread = F.sqrt(F.col("mean") * (F.lit(1.0) - F.col("mean")) / (F.col("n") + F.col("strength") + F.lit(1.0)))
-    return judged.select("unit", "n", "k", "mean", (F.col("mean") - F.lit(z) * spread).alias("low"))
+    by_suffix = _level(suffixes, "suffix", everything, "")
+    by_domain = _level(domains, "domain", by_suffix, "")
+    return [_level(hosts, "host", by_domain, ""), by_domain, by_suffix, everything]
+
+
+def _low(mean, n, strength, z: float):
+    """Lower bound of a posterior."""
+    return mean - F.lit(z) * F.sqrt(mean * (F.lit(1.0) - mean) / (n + strength + F.lit(1.0)))
+
+
+def reputations(outcomes: DataFrame, host_col: str = "host", bad_col: str = "bad", z: float = Z) -> DataFrame:
+    """One row per host with labelled pages: unit (the host), n, k, mean and low, the lower posterior bound of its bad share.
+
+    Null labels are left out. The registered domain of a host is its last two parts, the suffix its last.
+    """
+    judged = _levels(outcomes, host_col, bad_col)[0]
+    return judged.select("unit", "n", "k", "mean", _low(F.col("mean"), F.col("n"), F.col("strength"), z).alias("low"))
+
+
+def _blocked(hosts: DataFrame, outcomes: DataFrame, limit: float, z: float) -> DataFrame:
+    """The distinct ``hosts`` (column host) over the limit. One without labelled pages has n = 0, and the mean of the level above that has any."""
+    by_host, by_domain, by_suffix, everything = _levels(outcomes, "host", "bad")
+    top = everything.first()  # one row, or none without labels
+    if top is None:
+        return hosts.select(F.col("host").alias("_climora_host")).limit(0)
+    # one number each; a host scatters as widely as the widest of the levels between it and the one it gets its mean from
+    s1, s2, s3 = (float(x.select("strength").first()[0]) for x in (by_host, by_domain, by_suffix))
+    named = hosts.where(F.col("host").isNotNull()).distinct().withColumns(
+        {"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)}
+    )
+    found = (
+        named.join(by_host.select(F.col("unit").alias("host"), "n", F.col("mean").alias("m1")), "host", "left")
+        .join(by_domain.select(F.col("unit").alias("domain"), F.col("mean").alias("m2")), "domain", "left")
+        .join(by_suffix.select(F.col("unit").alias("suffix"), F.col("mean").alias("m3")), "suffix", "left")
+    )
+    strength = F.when(F.coalesce("m1", "m2").isNotNull(), s1).when(F.col("m3").isNotNull(), min(s1, s2)).otherwise(min(s1, s2, s3))
+    low = _low(F.coalesce("m1", "m2", "m3", F.lit(float(top.mean))), F.coalesce("n", F.lit(0)), strength, z)
+    return found.where(low > F.lit(limit)).select(F.col("host").alias("_climora_host"))
 
 
 def judge_urls(
@@ -84,15 +116,14 @@ def judge_urls(
 ) -> DataFrame:
     """One row per page: ``id_col``, host, path, rule (null where none fits) and verdict.
 
-    ``outcomes`` has host and bad. A host without labelled pages is allowed. Null urls and urls without
+    ``outcomes`` has host and bad. A host without labelled pages is judged by its registered domain, else by its
+    suffix, else by all pages. Null urls and urls without
     ``://`` have the empty host. Repeated rows give repeated results; an empty table gives none.
     """
     host, path = host_and_path(url_col)
     name, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     parsed = pages.select(F.col(id_col), host.alias("host"), path.alias("path")).withColumns({"rule": name, "_climora_verdict": verdict})
-    blocked = stored(
-        reputations(outcomes, z=z).where(F.col("low") > F.lit(limit)).select(F.col("unit").alias("_climora_host")), "reputation-blocked"
-    )
+    blocked = stored(_blocked(parsed.select("host"), outcomes, limit, z), "reputation-blocked")
     joined = parsed.join(blocked, F.col("host") == F.col("_climora_host"), "left")
     return joined.select(
         id_col, "host", "path", "rule",

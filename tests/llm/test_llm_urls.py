@@ -66,3 +66,13 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "host string, bad boolean")
     assert [r.verdict for r in U.judge_urls(pages, none).collect()] == ["allow"]
     assert U.judge_urls(pages.limit(0), none).count() == 0
+
+
+def test_hosts_without_labels_are_judged_by_the_level_above(spark):
+    rows = []
+    for k in range(40):
+        rows += [(f"h{k}.bad.com", True)] * 10 + [(f"h{k}.good.com", False)] * 10 + [(f"h{k}.ill{k}.biz", True)] * 10 + [(f"h{k}.fine{k}.org", False)] * 10
+    outcomes = spark.createDataFrame(rows + [("null.bad.com", None)], "host string, bad boolean")
+    want = {"new.bad.com": "block", "null.bad.com": "block", "new.good.com": "allow", "h1.bad.com": "block", "new.other.biz": "block", "new.other.org": "allow"}
+    pages = spark.createDataFrame([(h, f"http://{h}/") for h in want], "page_id string, url string")
+    assert {r.page_id: r.verdict for r in U.judge_urls(pages, outcomes, rules=()).collect()} == want
