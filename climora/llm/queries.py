@@ -13,6 +13,7 @@ from climora.llm import (
     quality_forest,
     sentencepiece_scan,
     simhash_dedup,
+    slack_packing,
     source_mixing,
     suffix_dedup,
     toxicity_fm,
@@ -21,6 +22,7 @@ from climora.llm import (
 )
 
 PIECES = os.environ.get("CLIMORA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+WORD_TOKENS = os.environ.get("CLIMORA_WORD_TOKENS", "/opt/tokenizers/word_bpe_49k.json")
 MIX_TARGET = source_mixing.Target(entropy_share=0.99, budget_share=0.75)
 
 
@@ -94,6 +96,14 @@ def op10_sentencepiece(spark, sf_dir):
     )
 
 
+def op13_slack_packing(spark, sf_dir):
+    """Pieces of all documents in sequences of 4,096 ids."""
+    pieces = slack_packing.pack_documents(_table(spark, sf_dir, "documents"), WORD_TOKENS, capacity=4096, end_id=2)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def pipeline(spark, sf_dir):
     """The stages of corpus_pipeline.py over documents."""
     import corpus_pipeline
@@ -112,5 +122,6 @@ QUERIES = {
     "op8_quality_forest": (op8_quality_forest, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_sentencepiece": (op10_sentencepiece, None),
+    "op13_slack_packing": (op13_slack_packing, None),
     "pipeline": (pipeline, None),
 }

@@ -46,7 +46,7 @@ def test_equals_brute_force(spark, monkeypatch, seed, block):
 
 
 def test_recall_is_whole_on_given_vectors(spark):
-    table = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     found = E.embedding_groups(table).toPandas().sort_values("vec_id")
     x = np.array(table.orderBy("vec_id").toPandas().embedding.tolist(), float)
     x /= np.sqrt((x * x).sum(axis=1, keepdims=True))

@@ -1,0 +1,135 @@
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from climora.llm import slack_packing as P
+from climora.llm.queries import QUERIES, WORD_TOKENS
+from llm_cases import documents, empty
+
+SF = "/root/testdata/sf0.001"
+
+
+def laid_out(counts, capacity):
+    """Sequences and documents of a plan, spelled out."""
+    places, windows = P.plan_windows(dict(counts), capacity)
+    sequences, parts = {}, {}
+    for p in places:
+        for rank in range(p.lo, p.hi):
+            j = p.first + rank - p.lo
+            sequences.setdefault(p.window + j // p.per, []).append((p.offset + j % p.per * p.length, p.length))
+            parts.setdefault((p.origin, rank), []).append((p.start, p.length))
+    assert set(sequences) == set(range(windows))
+    assert set(parts) == {(n, r) for n, c in counts.items() for r in range(c)}
+    return sequences, parts
+
+
+def end_of(spans):
+    """End of spans that have to follow each other without a gap from 0 on."""
+    at = 0
+    for start, length in sorted(spans):
+        assert start == at and length > 0
+        at += length
+    return at
+
+
+RANDOM = random.Random(4)
+HISTOGRAMS = [
+    {}, {1: 1}, {3000: 1}, {3000: 1000}, {2048: 2}, {4095: 7, 1: 3}, {1: 5000},
+    Counter(RANDOM.randrange(1, 4096) for _ in range(6000)),
+    Counter(RANDOM.randrange(2500, 4096) for _ in range(3000)),
+    Counter(min(4095, int(RANDOM.lognormvariate(5.5, 1.3)) + 1) for _ in range(9000)),
+]
+
+
+@pytest.mark.parametrize("counts", HISTOGRAMS)
+def test_plan_places_every_token_once_and_pads_nothing(counts):
+    sequences, parts = laid_out(counts, 4096)
+    ends = [end_of(s) for _, s in sorted(sequences.items())]
+    short = [e for e in ends if e < 4096]
+    assert short == ends[len(ends) - len(short):] and all(e.bit_count() == 1 for e in short) and sorted(set(short)) == sorted(short)
+    for (length, _), spans in parts.items():
+        assert end_of(spans) == length
+
+
+def test_size_of_the_plan_follows_the_lengths_not_the_documents():
+    few = {n: 10 for n in range(1, 512)}
+    assert len(P.plan_windows({n: c * 100_000 for n, c in few.items()}, 512)[0]) < 6 * len(few)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_fill_is_the_closest(seed):
+    rng = random.Random(seed)
+    counts = {rng.randrange(2, 40): rng.randrange(1, 4) for _ in range(7)}
+    room = rng.randrange(1, 90)
+    sums = {0}
+    for n, c in counts.items():
+        sums = {s + n * m for s in sums for m in range(c + 1)}
+    chosen = P.closest_fill(sorted(counts.items(), reverse=True), room)
+    assert sum(n * m for n, m in chosen.items()) == max(s for s in sums if s <= room)
+    assert all(0 < m <= counts[n] for n, m in chosen.items())
+
+
+def verified(pieces, texts, capacity=4096):
+    """Check pieces against the tokenizer's own ids; returns the lengths of the sequences."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(WORD_TOKENS)
+    want = Counter(tuple([*model.encode(t or "", add_special_tokens=False).ids, 2]) for t in texts)
+    by_doc, sequences = {}, {}
+    for r in pieces:
+        ids = tuple(np.frombuffer(bytes(r.ids), "<u4").tolist())
+        assert len(ids) == r.length
+        by_doc.setdefault(r.doc_id, []).append((r.start, ids, r.doc_tokens))
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    got = Counter()
+    for spans in by_doc.values():
+        whole = tuple(i for _, ids, _ in sorted(spans) for i in ids)
+        assert {n for *_, n in spans} == {len(whole)} and end_of([(s, len(i)) for s, i, _ in spans]) == len(whole)
+        got[whole] += 1
+    assert got == want
+    assert set(sequences) == set(range(len(sequences)))
+    ends = [end_of(s) for s in sequences.values()]
+    assert all(e == capacity or e.bit_count() == 1 for e in ends) and max(Counter(e for e in ends if e < capacity).values(), default=0) <= 1
+    return ends
+
+
+@pytest.mark.parametrize("capacity", [64, 4096])
+def test_every_id_lies_in_one_piece(spark, capacity, monkeypatch):
+    monkeypatch.setattr(P, "_STRETCH", 500)
+    docs = documents(spark, extra=True).withColumn("doc_id", F.monotonically_increasing_id())
+    pieces = P.pack_documents(docs, WORD_TOKENS, capacity)
+    assert pieces.columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    verified(pieces.collect(), [r.text for r in docs.select("text").collect()], capacity)
+
+
+def test_repeated_rows_null_ids_and_no_rows(spark):
+    rows = [(None, "a b c"), (None, "a b c"), (7, "x y"), (7, "z " * 90), (7, None)]
+    pieces = P.pack_documents(spark.createDataFrame(rows, "doc_id int, text string"), WORD_TOKENS, 16).collect()
+    assert sum(r.length for r in pieces) == 4 + 4 + 3 + 91 + 1
+    assert sum(r.length for r in pieces if r.doc_id is None) == 8
+    assert P.pack_documents(empty(spark), WORD_TOKENS).count() == 0
+
+
+def test_bytes_that_are_no_text_are_replaced(spark):
+    docs = spark.createDataFrame([(1, bytes([97, 255, 98]))], "doc_id long, raw binary").select("doc_id", F.col("raw").cast("string").alias("text"))
+    verified(P.pack_documents(docs, WORD_TOKENS).collect(), ["a�b"])
+
+
+ODD = ["á b ́ x", "ΟΔΟΣ ΟΔΟΣ", "it's don 't 'll", "a\x1cb \x85c d　e", "foo<|endoftext|>bar <|startoftext|> x", "﻿a b", "𝔘 İ ẞ ﬃ", "a\x00b", "가 ᅡ"]
+
+
+def test_words_one_by_one_give_the_ids_of_the_text(spark):
+    docs = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string")
+    verified(P.pack_documents(docs, WORD_TOKENS).collect(), ODD)
+
+
+def test_query_on_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = QUERIES["op13_slack_packing"][0](spark, SF).collect()
+    pieces = {(r.doc_id, r.start): r for r in P.pack_documents(docs, WORD_TOKENS).collect()}
+    verified(pieces.values(), [r.text for r in docs.select("text").collect()])
+    assert all(r.ids_crc32 == zlib.crc32(bytes(pieces[r.doc_id, r.start].ids)) for r in found) and len(found) == len(pieces)
