@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from climora.llm import (
     embedding_dedup,
     lm_scoring,
+    prefix_trie,
     quality_forest,
     sentencepiece_scan,
     simhash_dedup,
@@ -96,6 +97,11 @@ def op10_sentencepiece(spark, sf_dir):
     )
 
 
+def op12_prefix_trie(spark, sf_dir):
+    """Nodes of the trie of all conversations, each begun with the first turns of its family's first."""
+    return prefix_trie.family_trie(_table(spark, sf_dir, "conversations"), family=100, most=5)
+
+
 def op13_slack_packing(spark, sf_dir):
     """Pieces of all documents in sequences of 4,096 ids."""
     pieces = slack_packing.pack_documents(_table(spark, sf_dir, "documents"), WORD_TOKENS, capacity=4096, end_id=2)
@@ -122,6 +128,7 @@ QUERIES = {
     "op8_quality_forest": (op8_quality_forest, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_sentencepiece": (op10_sentencepiece, None),
+    "op12_prefix_trie": (op12_prefix_trie, prefix_trie.trie_sql(family=100, most=5)),
     "op13_slack_packing": (op13_slack_packing, None),
     "pipeline": (pipeline, None),
 }
