@@ -13,6 +13,10 @@ tasks and moved by the counts of the tasks before, so no length has to fit into
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import struct
 from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -20,17 +24,28 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from climora.llm.storage import small_batches, stored
 
-# Characters that are split and looked up at once; words whose ids a worker remembers, and the longest of these.
-_STRETCH = 2_000_000
-_REMEMBERED = 300_000
+# Characters that are split and looked up at once; words that a worker remembers, and the longest of these.
+_STRETCH = 4_000_000
+_WORDS_KEPT = 300_000
 _LONGEST_KEPT = 64
+# Letters that lower-casing and composing leave as they are.
+_LETTERS = re.compile("[a-zà-öø-ÿ]+")
+# Kinds of bytes: 0 white space, 1 letter or digit, 2 sign but for the apostrophe, 3 anything else.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[33:127] = 2
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+_KIND[39] = 3
+_KIND[[9, 10, 11, 12, 13, 32]] = 0
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LATIN = 0xC3  # first byte of U+00C0 to U+00FF; capitals are 32 below their small letters there too, up to U+00DE
+_COMBINING = 0xCC  # first byte of U+0300 and above
 _PIECE = "array<struct<start:bigint,length:bigint,sequence_id:bigint,offset:bigint>>"
 
 
@@ -162,12 +177,64 @@ def _last(pools: _Pools, lengths: list[int], window: int, total: int) -> list[Pl
     return places
 
 
-@lru_cache(maxsize=2)
-def _words(tokenizer_file: str):
-    """The tokenizer and the ids of words that this worker has met."""
-    from tokenizers import Tokenizer
+class _Memory(dict):
+    """The latest entries, at least ``most`` and up to twice as many: what is asked for again stays."""
+
+    def __init__(self, most: int):
+        self.most, self.before = most, {}
+
+    def __missing__(self, key: str) -> bytes | None:
+        """An entry of the generation before moves to this one; None if there is none."""
+        found = self.before.get(key)
+        if found is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key: str, value: bytes) -> bytes:
+        if len(key) <= _LONGEST_KEPT:
+            if len(self) >= self.most:
+                self.before = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+class _Encoder:
+    """Ids of words, remembered by a worker. For tokenizers that lower-case, drop white space and merge bytes within words."""
+
+    def __init__(self, tokenizer_file: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run side by side as it is
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.model = self.tokenizer.model
+        parts = json.loads(self.tokenizer.to_str())
+        normal, before = parts["normalizer"] or {}, parts["pre_tokenizer"] or {}
+        kinds = [[x["type"] for x in y] for y in (normal.get("normalizers", []), before.get("pretokenizers", []))]
+        pattern = (before.get("pretokenizers", [{}])[0].get("pattern") or {}).get("Regex", "")
+        if kinds != [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] or not pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"):
+            raise ValueError("the tokenizer has to lower-case, and to split at white space, digits and signs")
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the vocabulary
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.byte = {b: 256 + k for k, b in enumerate(hidden)}
+        self.words = _Memory(_WORDS_KEPT)
+
+    def _word(self, word: str) -> bytes:
+        if _LETTERS.fullmatch(word):
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.byte)
+            ids = [x.id for x in self.model.tokenize(spelled)]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def ids(self, words: Iterable[str]) -> list[bytes]:
+        known = self.words
+        return [ids if (ids := known[w]) is not None else known.keep(w, self._word(w)) for w in words]
+
 
-    return Tokenizer.from_file(tokenizer_file), {}
+@lru_cache(maxsize=2)
+def _encoder(tokenizer_file: str) -> _Encoder:
+    return _Encoder(tokenizer_file)
 
 
 def _stretches(text: str) -> Iterator[str]:
@@ -183,26 +250,45 @@ def _stretches(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def _split(parts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, and where each text's words begin.
+
+    Words end at ASCII white space. Where a text holds neither characters from U+0300 on nor a special token, its letters up to U+00FF
+    are lower-cased, and words also end between a letter or digit and a sign, as no id spans these.
+    """
+    raw = [p.encode() for p in parts]
+    starts = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw])))
+    data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+    kind, text = _KIND[data], _LOWER[data]
+    second = np.nonzero(data == _LATIN)[0] + 1
+    second = second[(data[second] != 0x97) & (data[second] != 0xB7)]  # no letters: × and ÷
+    kind[second - 1] = kind[second] = 1
+    text[second[data[second] < 0x9F]] += 32
+    odd = np.nonzero((data >= _COMBINING) | (data == 60) & (np.concatenate((data[1:], data[:1])) == 124))[0]
+    for k in np.unique(np.searchsorted(starts, odd, "right") - 1):
+        at = slice(starts[k], starts[k + 1])
+        kind[at] = np.where(kind[at] > 0, 3, 0)
+        text[at] = data[at]
+    before = np.concatenate((np.zeros(1, np.uint8), kind[:-1]))
+    solid = kind > 0
+    begins = np.nonzero(solid & ((before == 0) | (before * kind == 2)))[0]
+    offsets = np.concatenate((np.cumsum(solid)[begins] - 1, [solid.sum()])).astype(np.int64)
+    words = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(text[solid]))
+    return words, np.searchsorted(begins, starts)
+
+
 def _encoded(parts: list[str], tokenizer_file: str) -> list[np.ndarray]:
-    """Ids of each text. No id spans white space, so each distinct word is encoded once."""
-    model, known = _words(tokenizer_file)
-    words = pc.ascii_split_whitespace(pa.array(parts, pa.large_string()))
-    coded = words.values.dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    new = [w for w in distinct if w not in known]
-    fresh = {w: np.array(e.ids, "<u4") for w, e in zip(new, model.encode_batch(new, add_special_tokens=False))} if new else {}
-    ids = [found if (found := fresh.get(w)) is not None else known[w] for w in distinct]
-    if len(known) + len(fresh) > _REMEMBERED:
-        known.clear()
-    known.update(x for x in fresh.items() if len(x[0]) <= _LONGEST_KEPT)
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.concatenate([*ids, np.zeros(0, "<u4")])
+    """Ids of each text; each distinct word of all is looked up once."""
+    words, bounds = _split(parts)
+    coded = words.dictionary_encode()
+    ids = _encoder(tokenizer_file).ids(coded.dictionary.to_numpy(zero_copy_only=False))
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), "<u4")
     code = coded.indices.to_numpy()
     wide = size[code]
     ends = np.concatenate(([0], np.cumsum(wide)))
     spots = np.repeat((np.cumsum(size) - size)[code] - ends[:-1], wide) + np.arange(ends[-1])
-    bounds = ends[words.offsets.to_numpy()]
-    out = flat[spots].astype("<u4")
+    out, bounds = flat[spots], ends[bounds]
     return [out[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 

@@ -133,3 +133,22 @@ def test_query_on_whole_table(spark):
     pieces = {(r.doc_id, r.start): r for r in P.pack_documents(docs, WORD_TOKENS).collect()}
     verified(pieces.values(), [r.text for r in docs.select("text").collect()])
     assert all(r.ids_crc32 == zlib.crc32(bytes(pieces[r.doc_id, r.start].ids)) for r in found) and len(found) == len(pieces)
+
+
+@pytest.mark.parametrize("extra", ["", "«»–…", "́̌", "ΣİＡ字😀"])
+def test_words_of_many_kinds(extra):
+    from tokenizers import Tokenizer
+
+    model, rng = Tokenizer.from_file(WORD_TOKENS), random.Random(9)
+    letters = "abJXYZéÉÀÿßØ×÷ñ0 \t\n\x0b\x1c\x85\xa0ªµ" + "aeiost " * 4 + extra
+    signs = "".join(map(chr, range(33, 127))) + "'" * 5 + "<|" + extra
+    texts = ["".join(rng.choice(rng.choice((letters, letters, signs))) for _ in range(rng.randrange(1, 60))) for _ in range(1500)]
+    texts[::50] = [t + "<|EndOfText|> x <|endoftext|>y" for t in texts[::50]]
+    for _ in range(2):  # the second time from memory
+        got = P._encoded(texts, WORD_TOKENS)
+        assert [g.tolist() for g in got] == [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_kinds_of_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        P._Encoder("/opt/tokenizers/byte_bpe_50k.json")
