@@ -16,6 +16,7 @@ from climora.llm import (
     simhash_dedup,
     slack_packing,
     source_mixing,
+    spelling_variants,
     suffix_dedup,
     toxicity_fm,
     url_filter,
@@ -97,6 +98,11 @@ def op10_sentencepiece(spark, sf_dir):
     )
 
 
+def op11_spelling_variants(spark, sf_dir):
+    """Words of all documents and the frequent spellings that they are variants of."""
+    return spelling_variants.spelling_groups(_table(spark, sf_dir, "documents"), shortest=5, least=3, factor=2, every=97)
+
+
 def op12_prefix_trie(spark, sf_dir):
     """Nodes of the trie of all conversations, each begun with the first turns of its family's first."""
     return prefix_trie.family_trie(_table(spark, sf_dir, "conversations"), family=100, most=5)
@@ -128,6 +134,7 @@ QUERIES = {
     "op8_quality_forest": (op8_quality_forest, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_sentencepiece": (op10_sentencepiece, None),
+    "op11_spelling_variants": (op11_spelling_variants, spelling_variants.spelling_sql(shortest=5, least=3, factor=2, every=97)),
     "op12_prefix_trie": (op12_prefix_trie, prefix_trie.trie_sql(family=100, most=5)),
     "op13_slack_packing": (op13_slack_packing, None),
     "pipeline": (pipeline, None),
