@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from climora.operators import key_index
 from climora.operators.admissions import clean_admissions
 from climora.schemas import VERSION, VERSIONED_ADMISSIONS
 from climora.session import discard, staged
+from climora.sources import snapshots
 from climora.sources.sinks import (
     CLIMATE_BY_DATE,
     empty_folders,
@@ -21,6 +23,7 @@ from climora.sources.sinks import (
     replace_partitions,
     with_admission_month,
     with_folder_columns,
+    write_admissions,
 )
 from climora.sources.tables import read_daily_climate
 
@@ -106,11 +109,6 @@ def _merge_staged_climate(
     discard(merged)
 
 
-def _empty_months(spark: SparkSession, path: str, months: set[date | None]) -> None:
-    fields = [f for f in VERSIONED_ADMISSIONS if f.name != "admission_month"]
-    empty_folders(spark, T.StructType(fields), path, [folder_name("admission_month", m) for m in months])
-
-
 def from_folders(pairs: Iterable[tuple[str, str]]) -> Column:
     """Rows of the landed folders with these (state, competence); never NULL."""
     by_state: dict[str, list[str]] = {}
@@ -120,17 +118,36 @@ def from_folders(pairs: Iterable[tuple[str, str]]) -> Column:
     return F.coalesce(reduce(Column.__or__, hits, F.lit(False)), F.lit(False))
 
 
-def _stored_versions(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(VERSIONED_ADMISSIONS).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _month_folders(months: Iterable[date | None]) -> set[str]:
+    return {folder_name("admission_month", m) for m in months}
+
+
+def folders_to_open(
+    spark: SparkSession, path: str, held: snapshots.Snapshot, keys: DataFrame, withdrawn: Iterable[tuple[str, str]] = ()
+) -> snapshots.Snapshot:
+    """The part of a snapshot of stored admissions that can hold one of the numbers, or a record of a withdrawn folder.
+
+    Only the indexes beside the table are read for that.
+    """
+    def side(name: str, schema: str) -> DataFrame:
+        return snapshots.read_snapshot(spark, path, T.StructType.fromDDL(schema), held, name)
+
+    if "zones" not in held.sides:
+        raise ValueError(f"{path} was published without the indexes of admissions")
+    months = key_index.months_of_keys(keys, side("zones", key_index.ZONES), side("filters", key_index.FILTERS))
+    pairs = list(withdrawn)
+    if pairs:
+        months += key_index.months_of_origins(pairs, side("origins", key_index.ORIGINS))
+    return snapshots.narrowed(held, _month_folders(months))
 
 
 def merge_admissions(
-    spark: SparkSession, updates: DataFrame, path: str, withdrawn: Iterable[tuple[str, str]] = ()
+    spark: SparkSession,
+    updates: DataFrame,
+    path: str,
+    withdrawn: Iterable[tuple[str, str]] = (),
+    base: snapshots.Snapshot | None = None,
+    label: str | None = None,
 ) -> int:
     """Merge versions of admissions into the stored table, by record number.
 
@@ -139,23 +156,26 @@ def merge_admissions(
     order. Updates that do not carry them win. Stored records that came from a ``withdrawn`` (state,
     competence) go, whether or not an update takes their place.
 
-    A corrected admission date can move a record to another month, so a month counts as touched
-    when it holds an old or a new version. Only touched months are read in full and rewritten; one
-    that loses its last record is emptied afterwards. Repeating the merge gives the same table. A
-    table that does not exist yet is created, and no updates change nothing. Returns the number of
-    records in the months written.
+    Only months that can hold a number of the update, or a withdrawn record, are opened at all (``folders_to_open``). A
+    corrected admission date can move a record to another month, so a month counts as touched when it holds an old or
+    a new version. Touched months are read in full and published anew, all in one snapshot; one that loses its
+    last record is emptied by it. Repeating the merge gives the same table. A table that does not exist yet is created,
+    and no updates change nothing. Returns the number of records in the months written. ``base`` is the snapshot that
+    the updates were computed from, if they depend on the table.
     """
     known = updates.withColumns({n: F.lit(None).cast("string") for n in VERSION if n not in updates.columns})
     fresh = staged(with_admission_month(known).select(*VERSIONED_ADMISSIONS.names), "admissions")
     pairs = list(withdrawn)
-    stored = _stored_versions(spark, path)
-    if stored is None:
-        count = 0 if fresh.isEmpty() else replace_partitions(fresh, path, ("admission_month",))
+    base = base or snapshots.snapshot(spark, path)
+    if base is None:
+        count = 0 if fresh.isEmpty() else write_admissions(fresh, path, label=label)
         discard(fresh)
         return count
     gone = from_folders(pairs)
     same_key = F.col("s.aih_number").eqNullSafe(F.col("k.aih_number"))
-    key = stored.select("aih_number", *VERSION, "admission_month", gone.alias("gone"))
+    opened = folders_to_open(spark, path, base, fresh, pairs)
+    old = snapshots.read_snapshot(spark, path, VERSIONED_ADMISSIONS, opened)
+    key = old.select("aih_number", *VERSION, "admission_month", gone.alias("gone"))
     later = ~F.col("s.gone") & (F.struct(*[f"s.{n}" for n in VERSION]) > F.struct(*[f"k.{n}" for n in VERSION]))
     known_pair = reduce(Column.__and__, [F.col(f"{t}.{n}").isNotNull() for t in "sk" for n in VERSION])
     met = staged(
@@ -165,25 +185,18 @@ def merge_admissions(
         "admissions-met",
     )
     wins = fresh.alias("s").join(met.where("later").alias("k"), same_key, "left_anti")
-    month = F.col("admission_month")
     months = (
         met.where("NOT later").select("month")
         .union(key.where("gone").select("admission_month"))
         .union(wins.select("admission_month"))
     )
-    # Calendar months: a few hundred values at most, and as literals they prune folders.
-    touched = {r[0] for r in months.distinct().collect()}
+    # Calendar months: a few hundred values at most.
+    touched = _month_folders(r[0] for r in months.distinct().collect())
     count = 0
     if touched:
-        in_touched = month.isin(*[m for m in touched if m is not None])
-        if None in touched:
-            in_touched = in_touched | month.isNull()
-        kept = stored.filter(in_touched & ~gone).alias("s").join(wins.alias("k"), same_key, "left_anti")
-        merged = staged(kept.unionByName(wins), "admissions-merged")
-        count = replace_partitions(merged, path, ("admission_month",))
-        filled = {r[0] for r in merged.select("admission_month").distinct().collect()}
-        _empty_months(spark, path, touched - filled)
-        discard(merged)
+        whole = snapshots.read_snapshot(spark, path, VERSIONED_ADMISSIONS, snapshots.narrowed(base, touched))
+        kept = whole.filter(~gone).alias("s").join(wins.alias("k"), same_key, "left_anti")
+        count = write_admissions(kept.unionByName(wins), path, emptied=touched, base=base, label=label)
     discard(met)
     discard(fresh)
     return count
@@ -196,6 +209,7 @@ def merge_folders(
     path: str,
     codes: tuple[str, ...] | list[str] | DataFrame,
     pattern: str,
+    label: str | None = None,
 ) -> int:
     """Bring the stored admissions up to date with landed folders that are new, changed or gone.
 
@@ -204,15 +218,17 @@ def merge_folders(
     there any more, or in an older one only: such numbers are looked up in all folders.
     """
     pairs = list(pairs)
+    base = snapshots.snapshot(spark, path)
     changed = from_folders(pairs)
     fresh = staged(clean_admissions(records.filter(changed), codes, pattern, *VERSION), "admissions-changed")
-    stored = _stored_versions(spark, path)
     updates, doubtful = fresh, None
-    if stored is not None:
+    if base is not None:
         as_new = F.col("s.aih_number").eqNullSafe(F.col("k.aih_number")) & (
             F.struct(*[f"k.{n}" for n in VERSION]) >= F.struct(*[f"s.{n}" for n in VERSION])
         )
-        withdrawn = stored.filter(changed).select("aih_number", *VERSION).alias("s")
+        opened = folders_to_open(spark, path, base, fresh.limit(0), pairs)
+        old = snapshots.read_snapshot(spark, path, VERSIONED_ADMISSIONS, opened)
+        withdrawn = old.filter(changed).select("aih_number", *VERSION).alias("s")
         doubtful = staged(withdrawn.join(fresh.alias("k"), as_new, "left_anti").select("aih_number"), "admissions-lost")
         if not doubtful.isEmpty():
             lost = doubtful.select(F.col("aih_number").alias("lost"))
@@ -220,7 +236,7 @@ def merge_folders(
             found = clean_admissions(again, codes, pattern, *VERSION)
             rest = fresh.join(lost, F.col("aih_number").eqNullSafe(F.col("lost")), "left_anti")
             updates = rest.unionByName(found)
-    count = merge_admissions(spark, updates, path, pairs)
+    count = merge_admissions(spark, updates, path, pairs, base, label)
     for rows in (fresh, doubtful):
         if rows is not None:
             discard(rows)

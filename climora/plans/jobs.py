@@ -10,14 +10,11 @@ from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from climora.functions.calendar import month_start
-from climora.operators.admissions import clean_admissions
+from climora.operators import changelog
 from climora.operators.changes import (
     changed_competences,
     fingerprints,
-    merge_admissions,
     merge_daily_climate,
     merge_folders,
 )
@@ -31,13 +28,15 @@ from climora.params import (
     month_range,
 )
 from climora.plans import marts, staging
-from climora.schemas import MART, VERSION
+from climora.schemas import VERSIONED_ADMISSIONS
 from climora.session import discard, staged
-from climora.sources import sinks, tables
+from climora.sources import sinks, snapshots, tables
 from climora.sources.archives import hourly_records, scan_archives
 
 logger = logging.getLogger(__name__)
 
+ADMISSION_KEY = ("aih_number",)
+
 
 def ingest_climate(
     spark: SparkSession,
@@ -71,17 +70,37 @@ def ingest_climate(
 def ingest_admissions(spark: SparkSession, landing: str, output: str, run: AdmissionsRun) -> int:
     """Landed records to stored clean admissions; returns the number of records in the months written.
 
-    A competence can hold admissions of earlier months, so the run is merged by record number: what
-    earlier runs stored in those months stays. Runs can come in any order: the stored table keeps
-    from which competence and state a record came, and the later one stays.
+    The run is merged by record number: what earlier runs stored in the months that it touches stays, and runs can come
+    in any order, as the stored table keeps from which competence and state a record came. A competence that was
+    republished replaces what it brought before: records that it does not hold any more leave the table, unless another
+    landed competence has them. Competences that are not landed are left as they are.
     """
-    records = tables.read_landed_admissions(spark, landing, run.competences, run.states)
-    admissions = clean_admissions(records, run.municipalities, run.diagnosis_pattern, *VERSION)
-    written = merge_admissions(spark, admissions, output)
+    landed = tables.folders_below(spark, landing, "state", "competence")
+    pairs = [(s, c) for s, c in landed if c in run.competences and (run.states is None or s in run.states)]
+    written = 0
+    if pairs:
+        records = tables.read_landed_admissions(spark, landing)
+        written = merge_folders(spark, records, pairs, output, run.municipalities, run.diagnosis_pattern, f"{run.first} to {run.last}")
     logger.info("wrote %d admissions of %s to %s", written, run.first, run.last)
     return written
 
 
+def log_admissions(spark: SparkSession, stored: str, log: str) -> int:
+    """Add the changes of the stored admissions since the last call to the log; returns how many records changed.
+
+    Run it after each ingestion. Other systems then follow the log instead of reading the table again, and see records that
+    were withdrawn as deletes.
+    """
+    changed = changelog.append_changes(spark, stored, log, VERSIONED_ADMISSIONS, ADMISSION_KEY)
+    logger.info("%d admissions changed", changed)
+    return changed
+
+
+def read_admission_changes(spark: SparkSession, log: str, after: int = 0) -> DataFrame:
+    """The log of ``log_admissions``: aih_number, op, old, new, snapshot."""
+    return changelog.read_changes(spark, log, VERSIONED_ADMISSIONS, ADMISSION_KEY, after)
+
+
 def update_admissions(
     spark: SparkSession,
     landing: str,
@@ -191,9 +210,11 @@ STORED = (
 
 
 def build_models(spark: SparkSession, sources: Sources, output: str, as_of: date) -> Models:
-    """Build all models, store the marts under ``output``, publish every one as a view.
+    """Build all models, publish the marts under ``output``, and every one as a view.
 
-    The stored marts come facts first, so the mart reads the stored facts and computes none twice.
+    The stored marts come facts first, so the mart reads the stored facts and computes none twice. Facts and mart are
+    stored by month, as ``refresh_mart`` wants them. Each is a published table: readers see the old model until the new one is
+    complete, and the models returned stay those of this build.
     """
     built = Models(
         tables.read_daily_climate(spark, sources.climate),
@@ -203,9 +224,7 @@ def build_models(spark: SparkSession, sources: Sources, output: str, as_of: date
         marts.dim_date(spark, as_of),
     )
     for name in STORED:
-        rows = built[name]
-        sinks.write_table(rows, f"{output}/{name}")
-        built.replace(name, spark.read.schema(rows.schema).parquet(f"{output}/{name}"))
+        built.replace(name, sinks.publish_model(built[name], f"{output}/{name}", name))
     sinks.publish_views(built)
     return built
 
@@ -218,24 +237,18 @@ def refresh_mart(
     first: tuple[int, int],
     last: tuple[int, int],
 ) -> int:
-    """Rebuild the months ``first`` to ``last`` of a mart stored by month, leaving the others.
+    """Rebuild the months ``first`` to ``last`` of a published mart (``build_models``, ``write_mart``), leaving the others.
 
     Both facts are cut to those months before they are aggregated and joined. A month that has no
-    rows any more is emptied.
+    rows any more is emptied. Readers see all months as before, or all as rebuilt; when another refresh has published
+    one of these months meanwhile, nothing is changed and ``ConcurrentChange`` is raised.
     """
     months = month_range(first, last)
     start = date(*months[0], 1)
     end = date(*months[-1], monthrange(*months[-1])[1])
-    spark = climate_fact.sparkSession
-    rows = staged(marts.correlation_mart(admissions_fact, climate_fact, mapping, start, end), "mart")
-    written = sinks.write_mart(rows, path)
-    month = month_start(F.col("date_day"))
-    filled = {r[0] for r in rows.select(month).distinct().collect()}  # the months of the span at most
-    stored = tables.read_mart(spark, path).filter(F.col("mart_month").between(start, end))
-    left = {r[0] for r in stored.select("mart_month").distinct().collect()} - filled
-    sinks.empty_folders(spark, MART, path, [sinks.folder_name("mart_month", m) for m in left])
-    discard(rows)
-    return written
+    base = snapshots.snapshot(climate_fact.sparkSession, path)
+    rows = marts.correlation_mart(admissions_fact, climate_fact, mapping, start, end)
+    return sinks.write_mart(rows, path, [sinks.folder_name("mart_month", date(*m, 1)) for m in months], base)
 
 
 def check_models(built: Models, output: str, run_date: date) -> DataFrame:

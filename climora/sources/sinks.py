@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from climora.functions.calendar import month_start
-from climora.schemas import RAW_ADMISSIONS
+from climora.operators import key_index
+from climora.schemas import RAW_ADMISSIONS, VERSIONED_ADMISSIONS
+from climora.sources import snapshots
 
 # Folder layouts of daily climate. One folder per day suits a few stations; a national table has
 # far fewer, larger files by month, and a state's readers skip the other states' folders.
@@ -65,17 +67,30 @@ def with_admission_month(admissions: DataFrame) -> DataFrame:
     return admissions.withColumn("admission_month", month_start(F.col("admission_date")))
 
 
+# What is kept beside each month of admissions, so that a merge opens only months that can matter.
+ADMISSION_SIDES = {"zones": key_index.zones, "filters": key_index.filters, "origins": key_index.origins}
+
+
 def write_admissions(
-    admissions: DataFrame, path: str, by: tuple[str, ...] = ("admission_month",)
+    admissions: DataFrame,
+    path: str,
+    emptied: Iterable[str] = (),
+    base: snapshots.Snapshot | None = None,
+    label: str | None = None,
 ) -> int:
-    """Clean admissions by admission month; undated records share the default folder."""
-    return replace_partitions(with_admission_month(admissions), path, by)
+    """Publish clean admissions by admission month, replacing the months they touch; undated records share the default folder."""
+    missing = {n: F.lit(None).cast("string") for n in VERSIONED_ADMISSIONS.names if n not in (*admissions.columns, "admission_month")}
+    rows = with_admission_month(admissions.withColumns(missing)).select(*VERSIONED_ADMISSIONS.names)
+    return snapshots.replace_folders(rows, path, ("admission_month",), emptied, ADMISSION_SIDES, base, label)
+
+
+def with_mart_month(mart: DataFrame) -> DataFrame:
+    return mart.withColumn("mart_month", month_start(F.col("date_day")))
 
 
-def write_mart(mart: DataFrame, path: str) -> int:
-    """The mart by month of its day; replaces the months it holds."""
-    monthly = mart.withColumn("mart_month", month_start(F.col("date_day")))
-    return replace_partitions(monthly, path, ("mart_month",))
+def write_mart(mart: DataFrame, path: str, emptied: Iterable[str] = (), base: snapshots.Snapshot | None = None) -> int:
+    """Publish the mart by month of its day; replaces the months it holds."""
+    return snapshots.replace_folders(with_mart_month(mart), path, ("mart_month",), emptied, base=base)
 
 
 def land_admissions(records: DataFrame, path: str, order: str) -> None:
@@ -97,10 +112,27 @@ def land_admissions(records: DataFrame, path: str, order: str) -> None:
 
 
 def write_table(rows: DataFrame, path: str) -> None:
-    """A stored model: one full rewrite."""
+    """A plain table: one full rewrite, for results that nobody reads meanwhile."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
+# Models that are published in folders, one per month of the named day; the others have none.
+MODEL_DAYS = {
+    "fct_respiratory_admissions": ("fact_month", "fk_date"),
+    "fct_daily_climate": ("fact_month", "fk_date"),
+    "mart_climate_health_correlation": ("mart_month", "date_day"),
+}
+
+
+def publish_model(rows: DataFrame, path: str, name: str) -> DataFrame:
+    """Publish a whole model, and give its rows as published."""
+    folder, day = MODEL_DAYS.get(name, (None, None))
+    by = (folder,) if folder else ()
+    dealt = rows.withColumn(folder, month_start(F.col(day))) if folder else rows
+    held = snapshots.replace_table(dealt, path, by)
+    return snapshots.read_snapshot(rows.sparkSession, path, dealt.schema, held).select(*rows.columns)
+
+
 def publish_views(models: Mapping[str, DataFrame]) -> None:
     """Make models readable by name in SQL."""
     for name, rows in models.items():

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from climora import schemas
+from climora.sources.snapshots import folder_names, read_published
 
 
 def read_landed_admissions(
@@ -62,13 +63,22 @@ def read_daily_climate(
     return rows.select(*schemas.DAILY_CLIMATE.names)
 
 
-def read_admissions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(schemas.ADMISSIONS).parquet(root)
+def read_admissions(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """Stored admissions: those of the current snapshot or of a numbered one, or the plain files of an unpublished table."""
+    return read_published(spark, root, schemas.ADMISSIONS, number)
 
 
-def read_mart(spark: SparkSession, root: str) -> DataFrame:
-    """The mart as stored by month folders; ``mart_month`` stays, as filters on it skip folders."""
-    return spark.read.schema(T.StructType([*schemas.MART, T.StructField("mart_month", T.DateType())])).parquet(root)
+def read_mart(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """The mart as published by month; ``mart_month`` stays, as filters on it skip folders."""
+    return read_published(spark, root, T.StructType([*schemas.MART, T.StructField("mart_month", T.DateType())]), number)
+
+
+def folders_below(spark: SparkSession, root: str, *columns: str) -> list[tuple[str, ...]]:
+    """Values that the folders ``column=value`` below ``root`` stand for, level by level; none if there is no ``root``."""
+    names = folder_names(spark, root, len(columns))
+    return [tuple(part.split("=", 1)[1] for part in name.split("/")) for name in names if all(
+        part.startswith(f"{column}=") for part, column in zip(name.split("/"), columns)
+    )]
 
 
 def read_municipalities(spark: SparkSession, path: str) -> DataFrame:
