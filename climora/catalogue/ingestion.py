@@ -41,7 +41,7 @@ def _folder(spark: SparkSession, name: str) -> str:
 _HEADER = ";".join([DATE_HEADER, "Hora UTC", *MEASURE_HEADERS.values()]) + ";"
 
 
-def _station_head(station: str, name: str) -> str:
+def station_head(station: str, name: str) -> str:
     return (
         f"REGIAO:;S\nUF:;PR\nESTACAO:; {name} \nCODIGO (WMO):;{station}\n"
         "LATITUDE:;-25,5\nLONGITUDE:;-49,25\nALTITUDE:;900,00\nDATA DE FUNDACAO:;01/01/03\n"
@@ -58,7 +58,7 @@ def _zip_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blob = pack_archive(
             (
                 f"INMET_S_PR_{station}_{station.upper()}_01-01-2024_A_31-12-2024.CSV",
-                (_station_head(station, station.upper()) + "\n".join(body) + "\n").encode("latin-1"),
+                (station_head(station, station.upper()) + "\n".join(body) + "\n").encode("latin-1"),
             )
             for station, body in lines.items()
         )

@@ -31,7 +31,8 @@ from climora.plans import marts, staging
 from climora.schemas import VERSIONED_ADMISSIONS
 from climora.session import discard, staged
 from climora.sources import sinks, snapshots, tables
-from climora.sources.archives import hourly_records, scan_archives
+from climora.sources.archive_members import scan_archive_members
+from climora.sources.archives import hourly_records
 
 logger = logging.getLogger(__name__)
 
@@ -43,7 +44,7 @@ def ingest_climate(
     archives: str,
     output: str,
     run: ClimateRun,
-    scan: Callable[..., DataFrame] = scan_archives,
+    scan: Callable[..., DataFrame] = scan_archive_members,
     by: tuple[str, ...] = sinks.CLIMATE_BY_DATE,
 ) -> int:
     """Yearly archives to stored daily climate; returns the number of station-days of the run.
@@ -51,7 +52,8 @@ def ingest_climate(
     The run is merged on (station, date): other stations, and days outside the run, stay as they are
     in every layout.
 
-    ``scan`` may also be ``scan_station_files``, for a landing that is unpacked. Archives that were
+    ``scan`` may also be ``scan_station_files``, for a landing that is unpacked, or ``scan_archives``, for a store that
+    Arrow does not open. Archives that were
     not landed mean no new data: the stored days stay as they are.
     """
     try:

@@ -44,7 +44,7 @@ _OTHER_LINE_ENDS = ("\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85"
 # The station code is the fourth underscore-separated part of a member name.
 _STATION_PART = re.compile(r"^[^_]*_[^_]*_[^_]*_([^_]+)_")
 
-_MEMBER_FIELDS = pa.schema(
+MEMBER_FIELDS = pa.schema(
     [
         ("archive_year", pa.int32()),
         ("station_code", pa.string()),
@@ -52,10 +52,10 @@ _MEMBER_FIELDS = pa.schema(
         ("content", pa.binary()),
     ]
 )
-_MEMBER_SCHEMA = "archive_year int, station_code string, member string, content binary"
+MEMBER_SCHEMA = "archive_year int, station_code string, member string, content binary"
 
 
-def _years(start: date, end: date) -> range:
+def years_of(start: date, end: date) -> range:
     return range(start.year, end.year + 1)
 
 
@@ -89,11 +89,11 @@ def unpack(archives: DataFrame, stations: tuple[str, ...] | None = None) -> Data
                     for code, name in first_members(archive.namelist(), stations).items():
                         cells = [[year.as_py()], [code], [name], [archive.read(name)]]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, f.type) for c, f in zip(cells, _MEMBER_FIELDS)],
-                            schema=_MEMBER_FIELDS,
+                            [pa.array(c, f.type) for c, f in zip(cells, MEMBER_FIELDS)],
+                            schema=MEMBER_FIELDS,
                         )
 
-    return archives.select("archive_year", "content").mapInArrow(open_each, _MEMBER_SCHEMA)
+    return archives.select("archive_year", "content").mapInArrow(open_each, MEMBER_SCHEMA)
 
 
 def scan_archives(
@@ -108,7 +108,7 @@ def scan_archives(
     A year without an archive contributes nothing. A ZIP cannot be split, so its members are
     spread over the cluster right after the unzip, before the costly text work.
     """
-    wanted = ",".join(f"{year}.zip" for year in _years(start, end))
+    wanted = ",".join(f"{year}.zip" for year in years_of(start, end))
     archives = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"{{{wanted}}}")
@@ -134,13 +134,13 @@ def scan_station_files(
     The winners are found from paths alone; Spark sends them to every task while they are small, and
     joins by shuffle beyond that.
     """
-    wanted = ",".join(str(year) for year in _years(start, end))
+    wanted = ",".join(str(year) for year in years_of(start, end))
     try:
         files = spark.read.format("binaryFile").load(f"{root}/{{{wanted}}}")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _MEMBER_SCHEMA)
+        return spark.createDataFrame([], MEMBER_SCHEMA)
     year = F.regexp_extract("path", r"/(\d{4})/[^/]*$", 1).cast("int")
     name = F.element_at(F.split("path", "/"), -1)
     named = files.select("path", year.alias("archive_year"), name.alias("member"), "content")

@@ -1,11 +1,11 @@
 import pytest
 
 import __spark_entry__
-from climora.catalogue import ingestion, modelling, published
+from climora.catalogue import ingestion, landings, modelling, published
 from compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES = {**ingestion.QUERIES, **modelling.QUERIES, **published.QUERIES}
+QUERIES = {**ingestion.QUERIES, **modelling.QUERIES, **published.QUERIES, **landings.QUERIES}
 ORACLE = __spark_entry__.oracle_sql()
 
 
