@@ -96,7 +96,7 @@ def station_latest_attributes(spark: SparkSession, sf: str) -> DataFrame:
     return marts.latest_station_attributes(staged)
 
 
-_STATION_LATEST_SQL = """SELECT station_code,
+STATION_LATEST_SQL = """SELECT station_code,
     arg_max(station_name, date_day) FILTER (WHERE station_name IS NOT NULL) AS station_name,
     arg_max(state, date_day) FILTER (WHERE state IS NOT NULL) AS state,
     arg_max(latitude, date_day) FILTER (WHERE latitude IS NOT NULL) AS latitude,
@@ -201,7 +201,7 @@ _REGIONAL_SQL = f"""SELECT CAST(date_trunc('month', date_day) AS DATE) AS period
     CAST(sum(daily_admission_count) AS BIGINT) AS admission_count
     FROM (SELECT m.*, coalesce(l.state, s.state) AS st FROM mart_climate_health_correlation m
         LEFT JOIN dim_location l ON m.fk_municipality = l.ibge_code
-        LEFT JOIN ({_STATION_LATEST_SQL}) s ON m.station_code = s.station_code)
+        LEFT JOIN ({STATION_LATEST_SQL}) s ON m.station_code = s.station_code)
     GROUP BY 1, 2, 3"""
 
 
@@ -408,7 +408,7 @@ QUERIES = {
     "dim_station_distinct": (_model("dim_weather_station"), _model_sql("dim_weather_station")),
     "station_latest_attributes": (
         station_latest_attributes,
-        sql(_STATION_LATEST_SQL, "stg_inmet__daily_climate"),
+        sql(STATION_LATEST_SQL, "stg_inmet__daily_climate"),
     ),
     "fact_admissions": (
         _model("fct_respiratory_admissions"),

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from climora.catalogue import inputs
 from climora.catalogue.ingestion import CODE_LIST
 from climora.catalogue.inputs import DIAGNOSIS, MUNICIPALITIES, sql
-from climora.catalogue.modelling import MART, RANGE, all_models
-from climora.operators import changelog
+from climora.catalogue.modelling import MART, RANGE, STATION_LATEST_SQL, all_models
+from climora.operators import changelog, maintained
 from climora.params import AdmissionsRun
-from climora.plans import jobs
+from climora.plans import jobs, marts
 from climora.schemas import ADMISSIONS
 from climora.session import shared_folder
 from climora.sources import sinks, snapshots, tables
@@ -137,9 +137,64 @@ def admissions_replayed(spark: SparkSession, sf: str) -> DataFrame:
     return changelog.replayed(jobs.read_admission_changes(spark, log), jobs.ADMISSION_KEY, ADMISSIONS.names)
 
 
+# --- maintained rollups --------------------------------------------------------------------------
+
+_COOLER, _WITHDRAWN = (1994, 5), (1997, 1)
+
+
+def regional_rollup_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored regional series after three changes of the mart: a warmer span, a cooler month, a month whose admissions are withdrawn.
+
+    Each step adds up the changed months only. Both granularities, with the latest day of each group.
+    """
+    path, output = _folder(spark, "mart-rollup"), _folder(spark, "rollup")
+    built = all_models(spark, sf)
+    places, stations = built["dim_location"], marts.latest_station_attributes(built["stg_inmet__daily_climate"])
+    admissions, climate, mapping = (built[n] for n in ("fct_respiratory_admissions", "fct_daily_climate", "municipality_station_mapping"))
+    sinks.publish_model(built[MART], path, MART)
+    jobs.maintain_rollups(spark, path, output, places, stations)
+    warmer = climate.withColumn("avg_temp", F.col("avg_temp") + 1)
+    first, last = ((d.year, d.month) for d in RANGE)
+    for facts, weather, months in (
+        (admissions, warmer, (first, last)),
+        (admissions, climate.withColumn("avg_temp", F.col("avg_temp") - 2), (_COOLER, _COOLER)),
+        (admissions.limit(0), warmer.filter("fk_date <> DATE '1997-01-31'"), (_WITHDRAWN, _WITHDRAWN)),
+    ):
+        jobs.refresh_mart(facts, weather, mapping, path, *months)
+        jobs.maintain_rollups(spark, path, output, places, stations)
+    series = [
+        maintained.read_regional(spark, output, g).withColumn("granularity", F.lit(g)) for g in maintained.GRANULARITIES
+    ]
+    return series[0].unionByName(series[1]).withColumn("avg_temp", F.round("avg_temp", 9))
+
+
+# Without admissions a day has one row per station, as climate alone gives it.
+_REFRESHED_MART = f"""SELECT date_day, station_code, fk_municipality, daily_admission_count,
+        CASE WHEN date_day BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' THEN avg_temp + 1
+            WHEN date_day BETWEEN DATE '1994-05-01' AND DATE '1994-05-31' THEN avg_temp - 2 ELSE avg_temp END AS avg_temp
+    FROM {MART} WHERE coalesce(date_day NOT BETWEEN DATE '1997-01-01' AND DATE '1997-01-31', true)
+    UNION ALL SELECT fk_date, fk_station, NULL, 0, avg_temp + 1 FROM fct_daily_climate
+    WHERE fk_date BETWEEN DATE '1997-01-01' AND DATE '1997-01-30'"""
+
+
+def _regional_sql(unit: str, granularity: str) -> str:
+    return f"""SELECT '{granularity}' AS granularity, CAST(date_trunc('{unit}', date_day) AS DATE) AS period,
+    CASE st WHEN 'PR' THEN 'Sul' WHEN 'SP' THEN 'Sudeste' WHEN 'BA' THEN 'Nordeste'
+        WHEN 'GO' THEN 'Centro-Oeste' WHEN 'AM' THEN 'Norte' ELSE 'Unknown' END AS region,
+    st AS state, round(avg(avg_temp), 9) AS avg_temp, CAST(sum(daily_admission_count) AS BIGINT) AS admission_count, max(date_day) AS last_day
+    FROM (SELECT m.*, coalesce(l.state, s.state) AS st FROM ({_REFRESHED_MART}) m
+        LEFT JOIN dim_location l ON m.fk_municipality = l.ibge_code
+        LEFT JOIN ({STATION_LATEST_SQL}) s ON m.station_code = s.station_code)
+    GROUP BY ALL"""
+
+
+_MAINTAINED_SQL = f"{_regional_sql('week', 'weekly')} UNION ALL {_regional_sql('month', 'monthly')}"
+
+
 QUERIES = {
     "mart_snapshot": (mart_snapshot, sql(_MART_SNAPSHOT_SQL, MART)),
     "admissions_republished": (admissions_republished, sql(_STORED_AGAIN_SQL, "raw_admissions")),
     "admissions_change_log": (admissions_change_log, sql(_CHANGE_LOG_SQL, "raw_admissions")),
     "admissions_replayed": (admissions_replayed, sql(_STORED_AGAIN_SQL, "raw_admissions")),
+    "regional_rollup_maintained": (regional_rollup_maintained, sql(_MAINTAINED_SQL, MART, "dim_location", "fct_daily_climate")),
 }

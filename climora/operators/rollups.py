@@ -63,10 +63,10 @@ def rollup_by_station_day(
     )
 
 
-def regional_rollup(
-    mart: DataFrame, locations: DataFrame, stations: DataFrame, granularity: str | None = None
+def regional_sums(
+    mart: DataFrame, locations: DataFrame, stations: DataFrame, granularity: str | None, *by: str
 ) -> DataFrame:
-    """The series per region and state, ready to be stored.
+    """What a regional series is made of, and can be added up from: sums and counts per period, region, state and ``by``.
 
     A row belongs to its municipality's state, or to its station's where it has no municipality.
     ``stations`` must hold one row per station (``latest_station_attributes``).
@@ -81,17 +81,37 @@ def regional_rollup(
             period_start(F.col("date_day"), granularity).alias("period"),
             "fk_municipality",
             "station_code",
+            *by,
         )
         .agg(
             F.sum("avg_temp").alias("temp_sum"),
             F.count("avg_temp").alias("temp_n"),
             F.sum("daily_admission_count").alias("admissions"),
+            F.max("date_day").alias("last_day"),
         )
         .join(places, "fk_municipality", "left")
         .join(posts, "station_code", "left")
-        .groupBy("period", macro_region(state).alias("region"), state.alias("state"))
+        .groupBy("period", macro_region(state).alias("region"), state.alias("state"), *by)
         .agg(
-            F.try_divide(F.sum("temp_sum"), F.sum("temp_n")).alias("avg_temp"),
-            F.sum("admissions").alias("admission_count"),
+            F.sum("temp_sum").alias("temp_sum"),
+            F.sum("temp_n").alias("temp_n"),
+            F.sum("admissions").alias("admissions"),
+            F.max("last_day").alias("last_day"),
         )
     )
+
+
+def regional_series(sums: DataFrame, *by: str) -> DataFrame:
+    """The series that sums of any number of parts add up to."""
+    return sums.groupBy("period", "region", "state", *by).agg(
+        F.try_divide(F.sum("temp_sum"), F.sum("temp_n")).alias("avg_temp"),
+        F.sum("admissions").alias("admission_count"),
+        F.max("last_day").alias("last_day"),
+    )
+
+
+def regional_rollup(
+    mart: DataFrame, locations: DataFrame, stations: DataFrame, granularity: str | None = None
+) -> DataFrame:
+    """The series per region and state, computed from the whole mart; ``maintained`` keeps it stored."""
+    return regional_series(regional_sums(mart, locations, stations, granularity)).drop("last_day")

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from climora.operators import changelog
+from climora.operators import changelog, maintained
 from climora.operators.changes import (
     changed_competences,
     fingerprints,
@@ -253,6 +253,13 @@ def refresh_mart(
     return sinks.write_mart(rows, path, [sinks.folder_name("mart_month", date(*m, 1)) for m in months], base)
 
 
+def maintain_rollups(spark: SparkSession, mart: str, output: str, locations: DataFrame, stations: DataFrame) -> list[str]:
+    """Bring the stored regional series up to date with the published mart; returns the month folders that were added up again."""
+    months = maintained.maintain_regional(spark, mart, output, locations, stations)
+    logger.info("added up %d months of the regional series", len(months))
+    return months
+
+
 def check_models(built: Models, output: str, run_date: date) -> DataFrame:
     """Run the declared checks and keep their results under ``output``."""
     results = run_checks(declared_checks(), built)

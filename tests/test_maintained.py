@@ -1,0 +1,124 @@
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from climora import schemas
+from climora.operators import maintained, rollups
+from climora.plans import jobs
+from climora.sources import sinks, snapshots, tables
+
+PLACES = "ibge_code string, state string"
+POSTS = "station_code string, state string"
+
+
+def rows(spark, seed, months=(1, 2, 3)):
+    rng = random.Random(seed)
+    days = [date(2024, 1, 1) + timedelta(days=n) for n in range(91)]
+    made = [
+        (d, rng.choice(["A", "B", None]), rng.choice(["1", "2", "3", None]), rng.choice([None, float(rng.randrange(30))]),
+         0.0, 1.0, 50.0, 0.0, rng.randrange(4), 1.0, 2.0)
+        for d in days for _ in range(2) if d.month in months
+    ] + [(None, "A", "1", 1.0, 0.0, 1.0, 50.0, 0.0, 2, 1.0, 2.0)]
+    return spark.createDataFrame(made, schemas.MART)
+
+
+def dims(spark, state="SP"):
+    places = spark.createDataFrame([("1", "PR"), ("2", state), ("9", "BA")], PLACES)
+    return places, spark.createDataFrame([("A", "GO"), ("B", None)], POSTS)
+
+
+def shown(frame):
+    return sorted((tuple(r) for r in frame.select("period", "region", "state", F.round("avg_temp", 9), "admission_count").collect()), key=str)
+
+
+def holds(spark, mart, output, places, stations):
+    for granularity in maintained.GRANULARITIES:
+        whole = rollups.regional_rollup(tables.read_mart(spark, mart), places, stations, granularity)
+        stored = maintained.read_regional(spark, output, granularity)
+        assert shown(stored) == shown(whole)
+        latest = {(r.period, r.state): r.last_day for r in stored.collect()}
+        assert all(day is None or period <= day for (period, _), day in latest.items() if period)
+
+
+def test_stored_series_equals_a_full_rollup_after_every_change(spark, tmp_path):
+    mart, output = str(tmp_path / "mart"), str(tmp_path / "series")
+    places, stations = dims(spark)
+
+    def run():
+        return jobs.maintain_rollups(spark, mart, output, places, stations)
+
+    assert run() == []  # no mart yet
+    sinks.write_mart(rows(spark, 1), mart)
+    assert len(run()) == 4  # three months, and rows without a day
+    holds(spark, mart, output, places, stations)
+    sinks.write_mart(rows(spark, 2, (2,)).where("date_day IS NOT NULL"), mart)
+    assert run() == ["mart_month=2024-02-01"]
+    holds(spark, mart, output, places, stations)
+    # Two changes at once: a month that goes, and one in which rows were withdrawn.
+    sinks.write_mart(rows(spark, 3, (3,)).where("day(date_day) < 20"), mart, emptied=["mart_month=2024-01-01"])
+    sinks.write_mart(rows(spark, 3, (3,)).where("day(date_day) < 9"), mart)
+    assert "mart_month=2024-01-01" in run()
+    holds(spark, mart, output, places, stations)
+    assert maintained.read_regional(spark, output, "monthly").agg(F.max("last_day")).first()[0] == date(2024, 3, 8)
+    assert run() == [] and snapshots.snapshot_numbers(spark, output) == [1, 2, 3]
+
+
+def test_only_changed_months_are_read(spark, tmp_path, monkeypatch):
+    mart, output = str(tmp_path / "mart"), str(tmp_path / "series")
+    places, stations = dims(spark)
+    sinks.write_mart(rows(spark, 1), mart)
+    jobs.maintain_rollups(spark, mart, output, places, stations)
+    sinks.write_mart(rows(spark, 5, (2,)).where("date_day IS NOT NULL"), mart)
+    read, seen = snapshots.read_snapshot, []
+    monkeypatch.setattr(snapshots, "read_snapshot", lambda s, p, schema, held, *a: seen.append(set(held.folders)) or read(s, p, schema, held, *a))
+    jobs.maintain_rollups(spark, mart, output, places, stations)
+    assert seen == [{"mart_month=2024-02-01"}]
+
+
+def test_a_place_that_moves_to_another_state(spark, tmp_path):
+    mart, output = str(tmp_path / "mart"), str(tmp_path / "series")
+    sinks.write_mart(rows(spark, 1), mart)
+    jobs.maintain_rollups(spark, mart, output, *dims(spark))
+    places, stations = dims(spark, "MG")
+    assert len(jobs.maintain_rollups(spark, mart, output, places, stations)) == 4
+    holds(spark, mart, output, places, stations)
+
+
+def test_an_expired_snapshot_of_the_mart_means_all_months(spark, tmp_path):
+    mart, output = str(tmp_path / "mart"), str(tmp_path / "series")
+    places, stations = dims(spark)
+    sinks.write_mart(rows(spark, 1), mart)
+    jobs.maintain_rollups(spark, mart, output, places, stations)
+    sinks.write_mart(rows(spark, 2, (2,)), mart, emptied=["mart_month=2024-01-01"])
+    sinks.write_mart(rows(spark, 4, (2,)), mart)
+    snapshots.expire(spark, mart, keep=1)
+    assert len(jobs.maintain_rollups(spark, mart, output, places, stations)) == 4
+    holds(spark, mart, output, places, stations)
+
+
+def test_a_run_that_is_overtaken_changes_nothing(spark, tmp_path, monkeypatch):
+    mart, output = str(tmp_path / "mart"), str(tmp_path / "series")
+    places, stations = dims(spark)
+    sinks.write_mart(rows(spark, 1), mart)
+    jobs.maintain_rollups(spark, mart, output, places, stations)
+    sinks.write_mart(rows(spark, 6, (2,)), mart)
+    made, once = snapshots.write_beside, []
+
+    def slow(*args):
+        written = made(*args)
+        if not once:
+            once.append(1)
+            jobs.maintain_rollups(spark, mart, output, places, stations)
+        return written
+
+    monkeypatch.setattr(snapshots, "write_beside", slow)
+    with pytest.raises(snapshots.ConcurrentChange):
+        jobs.maintain_rollups(spark, mart, output, places, stations)
+    holds(spark, mart, output, places, stations)
+
+
+def test_other_granularities_are_not_stored(spark, tmp_path):
+    with pytest.raises(ValueError):
+        maintained.read_regional(spark, str(tmp_path), "daily")
