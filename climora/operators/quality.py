@@ -18,16 +18,26 @@ from pyspark.sql import functions as F
 
 Models = Mapping[str, DataFrame]
 
+# Columns of grouped rows: rows of the model, rows of a parent, and which columns the group is of.
+_N, _PARENTS, _SET = "check_rows", "check_parents", "check_set"
+
 
 @dataclass(frozen=True)
 class Check:
-    """One declared check. ``rule`` is the violated-row predicate of a row-wise check."""
+    """One declared check.
+
+    ``rule`` is the violated-row predicate of a row-wise check. A check on groups names the columns it groups by (``keys``),
+    tells the groups that fail from their keys and size ``n`` (``bad``), and where its keys are looked up (``parent``).
+    """
 
     model: str
     column: str
     test: str
     rule: Column | None = None
     failing: Callable[[Models], DataFrame] | None = None
+    keys: tuple[str, ...] = ()
+    bad: Column | None = None
+    parent: tuple[str, str] | None = None
 
 
 def not_null(model: str, column: str) -> Check:
@@ -46,7 +56,8 @@ def accepted_values(model: str, column: str, values: tuple) -> Check:
             F.count(F.lit(1)).alias("n_records")
         )
 
-    return Check(model, column, "accepted_values", failing=failing)
+    bad = ~F.col(column).isin(*values) & (F.col(_N) > 0)
+    return Check(model, column, "accepted_values", failing=failing, keys=(column,), bad=bad)
 
 
 def unique(model: str, column: str) -> Check:
@@ -54,7 +65,7 @@ def unique(model: str, column: str) -> Check:
         known = models[model].filter(F.col(column).isNotNull())
         return known.groupBy(column).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
 
-    return Check(model, column, "unique", failing=failing)
+    return Check(model, column, "unique", failing=failing, keys=(column,), bad=F.col(column).isNotNull() & (F.col(_N) > 1))
 
 
 def unique_combination(model: str, *columns: str) -> Check:
@@ -66,7 +77,9 @@ def unique_combination(model: str, *columns: str) -> Check:
             .filter("n_records > 1")
         )
 
-    return Check(model, ",".join(columns), "unique_combination_of_columns", failing=failing)
+    return Check(
+        model, ",".join(columns), "unique_combination_of_columns", failing=failing, keys=columns, bad=F.col(_N) > 1
+    )
 
 
 def relationships(model: str, column: str, parent: str, parent_column: str) -> Check:
@@ -82,7 +95,8 @@ def relationships(model: str, column: str, parent: str, parent_column: str) -> C
         parents = models[parent].select(F.col(parent_column).alias("key")).distinct()
         return children.join(parents, "key", "left_anti")
 
-    return Check(model, column, "relationships", failing=failing)
+    bad = F.col(column).isNotNull() & (F.col(_PARENTS) == 0)
+    return Check(model, column, "relationships", failing=failing, keys=(column,), bad=bad, parent=(parent, parent_column))
 
 
 def failing_rows(check: Check, models: Models) -> DataFrame:
@@ -92,40 +106,68 @@ def failing_rows(check: Check, models: Models) -> DataFrame:
     return models[check.model].filter(check.rule)
 
 
-def _row_wise(model: str, checks: list[Check], models: Models) -> DataFrame:
-    """All row-wise checks of a model in a single pass over it."""
-    counts = models[model].agg(*[F.count_if(c.rule).alias(f"c{i}") for i, c in enumerate(checks)])
+def _results(frame: DataFrame, model: str, checks: list[Check], failures: list[Column]) -> DataFrame:
+    """One row per check from a frame of one row, ``frame.agg(failures)``."""
+    counts = frame.agg(*[f.cast("long").alias(f"f{i}") for i, f in enumerate(failures)])
     results = [
         F.struct(
             F.lit(model).alias("model"),
             F.lit(c.column).alias("column"),
             F.lit(c.test).alias("test"),
-            F.col(f"c{i}").alias("failures"),
+            F.col(f"f{i}").alias("failures"),
         )
         for i, c in enumerate(checks)
     ]
     return counts.select(F.inline(F.array(*results)))
 
 
-def _grouped(check: Check, models: Models) -> DataFrame:
-    per_row = check.test == "relationships"
-    amount = F.coalesce(F.sum("n_records"), F.lit(0)) if per_row else F.count(F.lit(1))
-    return check.failing(models).agg(amount.cast("long").alias("failures")).select(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column"),
-        F.lit(check.test).alias("test"),
-        "failures",
+def _grouped(model: str, checks: list[Check], models: Models) -> DataFrame:
+    """All checks of a model in one pass over it: one aggregation with a grouping set for each key that is checked.
+
+    Keys of parents come in as rows of their own, which count in ``check_parents`` only, so that a group without any
+    has no parent. Row-wise rules are counted in the set of no columns.
+    """
+    rows = models[model].withColumn(_N, F.lit(1))
+    own = F.col(_N) == 1
+    ruled = [c for c in checks if c.rule is not None]
+    sets = list(dict.fromkeys([c.keys for c in checks if c.rule is None] + [()] * bool(ruled)))
+    columns = list(dict.fromkeys(k for keys in sets for k in keys))
+    number = {keys: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys) for keys in sets}
+    for c in checks:
+        if c.parent is not None:
+            name, column = c.parent
+            kind = models[model].schema[c.column].dataType
+            rows = rows.unionByName(
+                models[name].select(F.col(column).cast(kind).alias(c.column), F.lit(0).alias(_N)), allowMissingColumns=True
+            )
+    groups = rows.groupingSets([[F.col(k) for k in keys] for keys in sets], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias(_SET), F.sum(_N).alias(_N), F.count_if(~own).alias(_PARENTS),
+        *[F.count_if(own & c.rule).alias(f"check_{i}") for i, c in enumerate(ruled)],
     )
+    failures, place = [], 0
+    for c in checks:
+        here = F.col(_SET) == number[c.keys]
+        if c.rule is not None:
+            failures.append(F.coalesce(F.max(F.when(here, F.col(f"check_{place}"))), F.lit(0)))
+            place += 1
+        elif c.parent is not None:
+            failures.append(F.coalesce(F.sum(F.when(here & c.bad, F.col(_N))), F.lit(0)))
+        else:
+            failures.append(F.count_if(here & c.bad))
+    return _results(groups, model, checks, failures)
 
 
 def run_checks(checks: list[Check], models: Models) -> DataFrame:
-    """One result row per check: ``model, column, test, failures, passed``."""
+    """One result row per check: ``model, column, test, failures, passed``. Each model is read once for all its checks."""
     by_model: dict[str, list[Check]] = {}
     for check in checks:
-        if check.rule is not None:
-            by_model.setdefault(check.model, []).append(check)
-    parts = [_row_wise(model, group, models) for model, group in by_model.items()]
-    parts += [_grouped(check, models) for check in checks if check.rule is None]
+        by_model.setdefault(check.model, []).append(check)
+    parts = [
+        _results(models[model], model, group, [F.count_if(c.rule) for c in group])
+        if all(c.rule is not None for c in group)
+        else _grouped(model, group, models)
+        for model, group in by_model.items()
+    ]
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
 
 

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from climora.operators import quality as q
 
@@ -69,3 +70,37 @@ def test_results_are_kept_per_day(spark, models, tmp_path):
         ("2024-01-01", "not_null", 2), ("2024-01-01", "unique", 1),
         ("2024-01-02", "not_null", 2), ("2024-01-02", "unique", 1),
     ]
+
+
+def test_all_checks_of_a_model_share_one_pass(spark, models):
+    checks = [
+        q.not_null("t", "k"), q.unique("t", "k"), q.unique("t", "v"), q.accepted_values("t", "v", (1, 2)), q.accepted_values("t", "w", (5,)),
+        q.relationships("t", "k", "p", "id"), q.relationships("t", "w", "t", "v"), q.expression("t", "w", "w >= 0"),
+        q.unique_combination("t", "v", "k"), q.unique_combination("t", "w", "k"),
+    ]
+    results = q.run_checks(checks, models)
+    got = {(r.column, r.test): r.failures for r in results.collect()}
+    one_by_one = {(c.column, c.test): q.run_checks([c], models).first().failures for c in checks}
+    by_rows = {(c.column, c.test): q.failing_rows(c, models) for c in checks}
+    assert got == one_by_one and len(got) == len(checks)
+    assert got == {
+        k: (f.agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0] if k[1] == "relationships" else f.count()) for k, f in by_rows.items()
+    }
+    plan = results._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 0 and plan.count("Expand") == 1
+
+
+def test_each_model_is_scanned_once(spark, models, tmp_path):
+    models["t"].write.parquet(str(tmp_path / "t"))
+    stored = {**models, "t": spark.read.parquet(str(tmp_path / "t"))}
+    checks = [q.not_null("t", "k"), q.unique("t", "k"), q.accepted_values("t", "v", (1, 2)), q.relationships("t", "k", "p", "id"), q.unique_combination("t", "v", "k")]
+    plan = q.run_checks(checks, stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_empty_models_pass(spark, models):
+    empty = {name: rows.limit(0) for name, rows in models.items()}
+    checks = [q.not_null("t", "k"), q.unique("t", "k"), q.accepted_values("t", "v", (1, 2)), q.relationships("t", "k", "p", "id"), q.unique_combination("t", "v", "k")]
+    assert [r.failures for r in q.run_checks(checks, empty).collect()] == [0] * 5
+    orphans = q.run_checks([q.relationships("t", "k", "p", "id")], {**models, "p": empty["p"]}).first()
+    assert orphans.failures == 4
