@@ -355,6 +355,38 @@ _VOLUME_SQL = """SELECT group_key, day, row_count, days_before, round(expected,
     WHERE days_before = 7 AND abs(row_count - expected) > 1.5 * spread"""
 
 
+WATCHED = (date(1992, 6, 1), date(1999, 1, 10))
+
+
+def feed_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipments by status as feeds: most of each Sunday is missing as a rule, and one of them stops."""
+    shipped = table(spark, sf, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
+    fed = shipped.filter("weekday(day) <> 6 OR l_linenumber = 1").filter("l_linestatus <> 'O' OR day < DATE '1998-11-01'")
+    found = monitoring.feed_anomalies(fed, "day", "l_linestatus", as_of=WATCHED[1], first=WATCHED[0], weeks=6, limit=2.0, silence=3)
+    return found.withColumns({c: F.round(c, 6) for c in ("expected", "spread")})
+
+
+_FEED_SQL = f"""SELECT group_key, day, row_count, round(expected, 6) AS expected, round(spread, 6) AS spread, silent_days, kind FROM (
+    SELECT *, CASE WHEN silent_days >= 3 THEN 'silent' WHEN row_count < expected - 2 * spread THEN 'low'
+        WHEN row_count > expected + 2 * spread THEN 'high' END AS kind
+    FROM (SELECT *, CASE WHEN expected IS NOT NULL THEN greatest(1.4826 * mad_before, sqrt(expected), 1.0) END AS spread
+    FROM (SELECT group_key, day, row_count, CAST(date_diff('day', max(CASE WHEN row_count > 0 THEN day END) OVER (
+            PARTITION BY group_key ORDER BY day), day) AS INTEGER) AS silent_days,
+        CASE WHEN count(*) OVER w = 6 THEN median(row_count) OVER w END AS expected,
+        CAST(mad(CAST(row_count AS DOUBLE)) OVER w AS DOUBLE) AS mad_before
+    FROM (SELECT k.group_key, k.day, coalesce(n.row_count, 0) AS row_count FROM (
+        SELECT l_linestatus AS group_key, CAST(unnest(generate_series(min(CAST(l_shipdate AS DATE)),
+            DATE '{WATCHED[1]}' - 1, INTERVAL 1 DAY)) AS DATE) AS day
+        FROM lineitem WHERE l_shipdate >= DATE '{WATCHED[0]}' AND (isodow(l_shipdate) <> 7 OR l_linenumber = 1)
+            AND (l_linestatus <> 'O' OR l_shipdate < DATE '1998-11-01') GROUP BY 1) k
+        LEFT JOIN (SELECT l_linestatus AS group_key, CAST(l_shipdate AS DATE) AS day, count(*) AS row_count
+            FROM lineitem WHERE (isodow(l_shipdate) <> 7 OR l_linenumber = 1) AND (l_linestatus <> 'O' OR l_shipdate < DATE '1998-11-01')
+            GROUP BY 1, 2) n
+        ON k.group_key = n.group_key AND k.day = n.day)
+    WINDOW w AS (PARTITION BY group_key, isodow(day) ORDER BY day ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING))))
+    WHERE kind IS NOT NULL"""
+
+
 def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     """Landed columns that differ from the expected schema, with the rows they concern."""
     landed = inputs.daily_climate(spark, sf).withColumn(
@@ -541,6 +573,7 @@ QUERIES = {
         sql(_DQ_STORED_SQL, "fct_respiratory_admissions", "dim_weather_station"),
     ),
     "volume_anomalies": (volume_anomalies, _VOLUME_SQL),
+    "feed_anomalies": (feed_anomalies, _FEED_SQL),
     "schema_drift": (schema_drift, sql(_SCHEMA_DRIFT_SQL, "daily_climate")),
     "freshness": (freshness, sql(_FRESHNESS_SQL, "stg_datasus__admissions")),
     "lagged_corr": (_rounded(lagged_corr, "correlation", 6), _nest(_LAGGED_SQL, MART)),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +50,67 @@ def volume_anomalies(
     )
 
 
+def _middle(values: Column) -> Column:
+    """Median of a sorted array; NULL for an empty one."""
+    n = F.size(values)
+    low, high = F.get(values, ((n - 1) / 2).cast("int")), F.get(values, (n / 2).cast("int"))
+    return (low + high) / 2
+
+
+def feed_anomalies(
+    rows: DataFrame,
+    day: str,
+    group: str,
+    as_of: date,
+    first: date,
+    weeks: int = 8,
+    limit: float = 4.0,
+    silence: int = 3,
+) -> DataFrame:
+    """Days of a feed that do not look like the same weekday of the weeks before, or that end a silence.
+
+    The calendar of a group runs from its first day, but not before ``first``, to the day before ``as_of``: a feed that has
+    stopped is seen as long as it is watched, and stray dates before ``first`` or from ``as_of`` on do not count. A day
+    is ``low`` or ``high`` when its count is further from the median of that weekday in the last ``weeks`` weeks than ``limit`` times their
+    spread, so neither weekly dips nor single bad days in the past raise an alarm. The spread is the median distance from
+    that median, scaled as for a normal distribution, but at least the square root of the median (what counts of
+    independent records vary by) and 1. It is ``silent`` when it is the ``silence``-th day without rows, or a later one, which does not fade
+    as the silence becomes usual.
+
+    Columns: group_key, day, row_count, expected, spread, silent_days, kind. Groups, NULL included, are watched apart.
+    """
+    counts = rows.groupBy(F.col(group).alias("group_key"), F.col(day).alias("day")).agg(
+        F.count(F.lit(1)).alias("row_count")
+    ).filter(F.col("day").between(first, as_of - timedelta(days=1)))
+    calendar = counts.groupBy("group_key").agg(F.min("day").alias("start")).select(
+        F.col("group_key").alias("key"), F.explode(F.sequence("start", F.lit(as_of - timedelta(days=1)))).alias("on")
+    )
+    same = F.col("key").eqNullSafe(F.col("group_key")) & (F.col("on") == F.col("day"))
+    filled = calendar.join(counts, same, "left").select(
+        F.col("key").alias("group_key"), F.col("on").alias("day"), F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count")
+    )
+    history = W.partitionBy("group_key", F.weekday("day")).orderBy("day").rowsBetween(-weeks, -1)
+    so_far = W.partitionBy("group_key").orderBy("day").rowsBetween(W.unboundedPreceding, 0)
+    seen = filled.withColumns({
+        "before": F.sort_array(F.collect_list("row_count").over(history)),  # as many as weeks
+        "heard": F.max(F.when(F.col("row_count") > 0, F.col("day"))).over(so_far),
+    })
+    expected = seen.withColumn("expected", F.when(F.size("before") == weeks, _middle(F.col("before"))))
+    away = F.sort_array(F.transform("before", lambda n: F.abs(n - F.col("expected"))))
+    judged = expected.withColumns({
+        "spread": F.greatest(1.4826 * _middle(away), F.sqrt("expected"), F.when(F.col("expected").isNotNull(), 1.0)),
+        "silent_days": F.datediff("day", "heard"),
+    })
+    kind = (
+        F.when(F.col("silent_days") >= silence, "silent")
+        .when(F.col("row_count") < F.col("expected") - limit * F.col("spread"), "low")
+        .when(F.col("row_count") > F.col("expected") + limit * F.col("spread"), "high")
+    )
+    return judged.select(
+        "group_key", "day", "row_count", "expected", "spread", "silent_days", kind.alias("kind")
+    ).filter("kind IS NOT NULL")
+
+
 def schema_drift(rows: DataFrame, expected: T.StructType) -> DataFrame:
     """Columns that are missing, unexpected, or of another type, beside the rows they concern."""
     have = {f.name: f.dataType.simpleString() for f in rows.schema}

@@ -7,11 +7,13 @@ from calendar import monthrange
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from climora.operators import changelog, maintained
+from climora.operators import changelog, maintained, monitoring
 from climora.operators.changes import (
     changed_competences,
     fingerprints,
@@ -260,6 +262,38 @@ def maintain_rollups(spark: SparkSession, mart: str, output: str, locations: Dat
     return months
 
 
+@dataclass(frozen=True)
+class Feed:
+    """A stored table that should get new rows all the time: its day, what its parts are told apart by, how old it may become."""
+
+    name: str
+    rows: DataFrame
+    day: str
+    group: str
+    limit_days: int
+
+
+def watch_feeds(feeds: list[Feed], output: str, as_of: date, first: date) -> DataFrame:
+    """Age of each feed and its odd days, kept per run date under ``output``; returns the rows of this run.
+
+    Columns: feed, group_key, day, kind (``stale``, or a kind of ``feed_anomalies``), row_count, expected.
+    """
+    parts = []
+    for feed in feeds:
+        days = monitoring.feed_anomalies(feed.rows, feed.day, feed.group, as_of, first)
+        parts.append(days.select(
+            F.lit(feed.name).alias("feed"), F.col("group_key").cast("string").alias("group_key"), "day", "kind", "row_count", "expected"
+        ))
+        age = monitoring.freshness(feed.rows, feed.day, as_of, feed.limit_days).where("is_stale")
+        parts.append(age.select(
+            F.lit(feed.name).alias("feed"), F.lit(None).cast("string").alias("group_key"), F.col("latest").alias("day"),
+            F.lit("stale").alias("kind"), F.lit(None).cast("long").alias("row_count"), F.lit(None).cast("double").alias("expected"),
+        ))
+    found = reduce(DataFrame.unionByName, parts).withColumn("run_date", F.lit(as_of))
+    snapshots.replace_folders(found, output, ("run_date",), emptied=[sinks.folder_name("run_date", as_of)])
+    return snapshots.read_published(found.sparkSession, output, found.schema).where(F.col("run_date") == as_of).drop("run_date")
+
+
 def check_models(built: Models, output: str, run_date: date) -> DataFrame:
     """Run the declared checks and keep their results under ``output``."""
     results = run_checks(declared_checks(), built)
