@@ -221,7 +221,7 @@ def daily_single_pass(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_DAILY_SQL = """SELECT station_code, date,
+DAILY_SQL = """SELECT station_code, date,
     arg_min(station_name, read_order) FILTER (WHERE station_name IS NOT NULL) AS station_name,
     arg_min(state, read_order) FILTER (WHERE state IS NOT NULL) AS state,
     arg_min(latitude, read_order) FILTER (WHERE latitude IS NOT NULL) AS latitude,
@@ -240,7 +240,7 @@ def _daily_columns(*columns: str):
 
 
 def _daily_columns_sql(*columns: str) -> str:
-    return sql(f"SELECT station_code, date, {', '.join(columns)} FROM ({_DAILY_SQL})", "readings")
+    return sql(f"SELECT station_code, date, {', '.join(columns)} FROM ({DAILY_SQL})", "readings")
 
 
 def date_range_inclusive(spark: SparkSession, sf: str) -> DataFrame:
@@ -376,7 +376,7 @@ def climate_sink_rerun(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _CLIMATE_SINK_SQL = f"""SELECT * REPLACE (CASE WHEN day(date) % 3 = 0 THEN avg_temp + 1
-    ELSE avg_temp END AS avg_temp) FROM ({_DAILY_SQL})"""
+    ELSE avg_temp END AS avg_temp) FROM ({DAILY_SQL})"""
 
 
 def climate_sink_by_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -575,8 +575,8 @@ QUERIES = {
     "tolerant_float": (tolerant_float, _TOLERANT_FLOAT_SQL),
     "compact_date_parse": (compact_date_parse, sql(_COMPACT_DATE_SQL, "raw_admissions")),
     "file_date_parse": (file_date_parse, _FILE_DATE_SQL),
-    "daily_station_metrics": (daily_station_metrics, sql(_DAILY_SQL, "readings")),
-    "daily_single_pass": (daily_single_pass, sql(_DAILY_SQL, "readings")),
+    "daily_station_metrics": (daily_station_metrics, sql(DAILY_SQL, "readings")),
+    "daily_single_pass": (daily_single_pass, sql(DAILY_SQL, "readings")),
     "daily_minmax_fallback": (
         _daily_columns("min_temp", "max_temp"),
         _daily_columns_sql("min_temp", "max_temp"),
@@ -600,7 +600,7 @@ QUERIES = {
     "trailing_window": (
         trailing_window,
         sql(
-            _DAILY_SQL.replace(
+            DAILY_SQL.replace(
                 "FROM readings",
                 f"FROM readings WHERE date BETWEEN DATE '{_WINDOW[0]}' AND DATE '{_WINDOW[1]}'",
             ),

@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climora.catalogue import inputs
-from climora.catalogue.ingestion import CODE_LIST
+from climora.catalogue.ingestion import CODE_LIST, DAILY_SQL
 from climora.catalogue.inputs import DIAGNOSIS, MUNICIPALITIES, sql
 from climora.catalogue.modelling import MART, RANGE, STATION_LATEST_SQL, all_models
-from climora.operators import changelog, maintained
+from climora.operators import changelog, changes, climate, maintained
 from climora.params import AdmissionsRun
 from climora.plans import jobs, marts
 from climora.schemas import ADMISSIONS
 from climora.session import shared_folder
-from climora.sources import sinks, snapshots, tables
+from climora.sources import layout, sinks, snapshots, tables
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -137,6 +137,26 @@ def admissions_replayed(spark: SparkSession, sf: str) -> DataFrame:
     return changelog.replayed(jobs.read_admission_changes(spark, log), jobs.ADMISSION_KEY, ADMISSIONS.names)
 
 
+# --- layouts -------------------------------------------------------------------------------------
+
+
+def climate_migrated(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily climate in day folders, moved to folders by state and month, corrected there, and packed into few files."""
+    source, target = _folder(spark, "climate-days"), _folder(spark, "climate-states")
+    # Four months of readings.
+    daily = climate.aggregate_daily(inputs.readings(spark, sf).withColumn("date", F.expr("date_add(date, cast(30 * (read_order % 4) AS int))")))
+    sinks.write_daily_climate(daily, source)
+    layout.migrate_climate(spark, source, target)
+    fixed = daily.filter("substring(station_code, -1) = '7'").withColumn("max_temp", F.col("max_temp") + 5)
+    changes.merge_daily_climate(spark, fixed, target)
+    layout.compact_climate(spark, target)
+    return tables.read_daily_climate(spark, target)
+
+
+_MIGRATED_SQL = f"""SELECT * REPLACE (CASE WHEN right(station_code, 1) = '7' THEN max_temp + 5 ELSE max_temp END AS max_temp)
+    FROM ({DAILY_SQL.replace("FROM readings", "FROM (SELECT * REPLACE (date + CAST(30 * (read_order % 4) AS INTEGER) AS date) FROM readings)")})"""
+
+
 # --- maintained rollups --------------------------------------------------------------------------
 
 _COOLER, _WITHDRAWN = (1994, 5), (1997, 1)
@@ -196,5 +216,6 @@ QUERIES = {
     "admissions_republished": (admissions_republished, sql(_STORED_AGAIN_SQL, "raw_admissions")),
     "admissions_change_log": (admissions_change_log, sql(_CHANGE_LOG_SQL, "raw_admissions")),
     "admissions_replayed": (admissions_replayed, sql(_STORED_AGAIN_SQL, "raw_admissions")),
+    "climate_migrated": (climate_migrated, sql(_MIGRATED_SQL, "readings")),
     "regional_rollup_maintained": (regional_rollup_maintained, sql(_MAINTAINED_SQL, MART, "dim_location", "fct_daily_climate")),
 }

@@ -72,16 +72,36 @@ def merge_daily_climate(
 
     The fresh rows are written aside once. Only the folders of their days are read, and only those
     rewritten that get a fresh row or, where the state of a station has changed, lose its old one;
-    other stations and days in them stay. A table that does not exist yet is created.
+    other stations and days in them stay. A table that does not exist yet is created. A published table (``layout.migrate_climate``)
+    keeps its own layout, and gets all of the merge in one snapshot.
     """
+    held = snapshots.snapshot(spark, path)
+    by = held.by if held else by
     rows = staged(with_folder_columns(fresh, by), "climate")
     first, last, count = rows.agg(F.min("date"), F.max("date"), F.count(F.lit(1))).first()
-    if count:
+    if count and held:
+        _publish_merged_climate(spark, rows, path, held, first, last)
+    elif count:
         _merge_staged_climate(spark, rows, path, by, first, last)
     discard(rows)
     return count
 
 
+def _publish_merged_climate(
+    spark: SparkSession, rows: DataFrame, path: str, held: snapshots.Snapshot, first: date, last: date
+) -> None:
+    by, key = held.by, ["station_code", "date"]
+    keys = rows.select(*key).distinct()
+    stored = with_folder_columns(read_daily_climate(spark, path, first, last), by)
+    # Folders between two dates: of the fresh rows, and of the old versions that they replace.
+    found = rows.select(*by).union(stored.join(keys, key, "left_semi").select(*by)).distinct().collect()
+    touched = {"/".join(folder_name(c, r[c]) for c in by) for r in found}
+    schema = T.StructType([*[f for f in rows.schema if f.name not in by], *[rows.schema[c] for c in by]])
+    old = snapshots.read_snapshot(spark, path, schema, snapshots.narrowed(held, touched))
+    merged = old.join(keys, key, "left_anti").select(*schema.names).unionByName(rows)
+    snapshots.replace_folders(merged, path, by, emptied=touched, base=held, label=held.label)
+
+
 def _merge_staged_climate(
     spark: SparkSession, rows: DataFrame, path: str, by: tuple[str, ...], first: date, last: date
 ) -> None:

@@ -45,9 +45,15 @@ def empty_folders(spark: SparkSession, schema: T.StructType, path: str, folders:
         nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
+# Characters that folder names hold as %XX.
+_ESCAPED = {*map(chr, range(1, 32)), *"\"#%'*/:=?\\\x7f{[]^"}
+
+
 def folder_name(column: str, value) -> str:
     """Name of the folder that holds ``value`` (text, numbers or dates) of a partition column."""
-    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+    if value is None or value == "":
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
 
 
 def with_folder_columns(daily: DataFrame, by: tuple[str, ...]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from climora import schemas
-from climora.sources.snapshots import folder_names, read_published
+from climora.sources.snapshots import folder_names, read_published, read_snapshot, snapshot
 
 
 def read_landed_admissions(
@@ -44,14 +44,16 @@ def read_daily_climate(
     end: date | None = None,
     by: tuple[str, ...] = ("date",),
 ) -> DataFrame:
-    """Daily climate rows of any folder layout; values held by folder names are typed by the schema.
+    """Daily climate rows of any folder layout, published or plain; values held by folder names are typed by the schema.
 
-    With a date range, only the folders of the layout ``by`` that can hold its days are read. The
+    With a date range, only the folders of the layout ``by`` (of a published table: its own) that can hold its days are read. The
     days themselves are then still to be filtered, as a month is read as a whole.
     """
+    held = snapshot(spark, root)
+    by = held.by if held else by
     months = [T.StructField(name, T.IntegerType()) for name in ("year", "month") if name in by]
     schema = T.StructType([*schemas.DAILY_CLIMATE, *months])
-    rows = spark.read.schema(schema).parquet(root)
+    rows = read_snapshot(spark, root, schema, held) if held else spark.read.schema(schema).parquet(root)
     if months:
         day, number = F.col("year") * 100 + F.col("month"), lambda d: d.year * 100 + d.month
     else:
