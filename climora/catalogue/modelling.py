@@ -12,7 +12,7 @@ from climora import schemas
 from climora.catalogue import inputs
 from climora.catalogue.inputs import DIAGNOSIS, MUNICIPALITIES, sql, table
 from climora.functions.geography import macro_region
-from climora.operators import lag, monitoring, quality, rollups
+from climora.operators import lag, monitoring, nearest, quality, rollups
 from climora.operators.admissions import clean_admissions
 from climora.plans import jobs, marts
 from climora.session import shared_folder
@@ -205,6 +205,28 @@ _REGIONAL_SQL = f"""SELECT CAST(date_trunc('month', date_day) AS DATE) AS period
     GROUP BY 1, 2, 3"""
 
 
+_LAT, _LON = "-33.75 + ({0} * 7919 % 39000) / 1000.0", "-73.99 + ({0} * 104729 % 39200) / 1000.0"
+
+
+def nearest_station(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest station (a supplier) of each place (a customer), all given coordinates within the country by their number."""
+    def located(name: str, key: str, code: str) -> DataFrame:
+        lat, lon = (f"cast({c.format(key)} AS double)" for c in (_LAT, _LON))
+        return table(spark, sf, name).selectExpr(f"cast({key} AS string) AS {code}", f"{lat} AS latitude", f"{lon} AS longitude")
+
+    found = nearest.nearest_stations(located("customer", "c_custkey", "ibge_code"), located("supplier", "s_suppkey", "station_code"))
+    return found.withColumn("distance_km", F.round("distance_km", 6))
+
+
+_HALF = "pow(sin(radians({0} - {1}) / 2), 2)"
+_NEAREST_SQL = f"""SELECT ibge_code, arg_min(station_code, (km, station_code)) AS station_code, min(km) AS distance_km FROM (
+    SELECT ibge_code, station_code, round(2 * {nearest.EARTH_KM} * asin(least(1.0, sqrt({_HALF.format("s.lat", "p.lat")}
+        + cos(radians(p.lat)) * cos(radians(s.lat)) * {_HALF.format("s.lon", "p.lon")}))), 6) AS km
+    FROM (SELECT CAST(c_custkey AS VARCHAR) AS ibge_code, {_LAT.format("c_custkey")} AS lat, {_LON.format("c_custkey")} AS lon FROM customer) p,
+        (SELECT CAST(s_suppkey AS VARCHAR) AS station_code, {_LAT.format("s_suppkey")} AS lat, {_LON.format("s_suppkey")} AS lon FROM supplier) s)
+    GROUP BY 1"""
+
+
 def last_updated(spark: SparkSession, sf: str) -> DataFrame:
     return rollups.last_updated(all_models(spark, sf)["mart_climate_health_correlation"])
 
@@ -496,6 +518,7 @@ QUERIES = {
         sql(_ROLLUP_STATION_DAY_SQL, "fct_daily_climate", "fct_respiratory_admissions"),
     ),
     "regional_rollup": (_rounded(regional_rollup), sql(_REGIONAL_SQL, MART, "dim_location")),
+    "nearest_station": (nearest_station, _NEAREST_SQL),
     "last_updated": (
         last_updated,
         sql(f"SELECT CAST(max(date_day) AS VARCHAR) AS last_updated FROM {MART}", MART),
