@@ -128,7 +128,31 @@ _DEFAULT_RUN_SQL = f"""SELECT admission_month, count(*) AS records, sum(value) A
     GROUP BY 1"""
 
 
+def admissions_run_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts that the job returns for the run over all months, and for one over a window of them in one state afterwards."""
+    landing, path = _folder(spark, "landing"), _folder(spark, "admissions-report")
+    sinks.land_admissions(inputs.raw_admissions(spark, sf), landing, order="source_row")
+    runs = {
+        "all": AdmissionsRun((1990, 1), (2001, 12), MUNICIPALITIES, DIAGNOSIS),
+        "window": AdmissionsRun((1995, 3), (1997, 2), MUNICIPALITIES, DIAGNOSIS, states=("PR",)),
+    }
+    reports = [(name, jobs.run_admissions(spark, landing, path, run)) for name, run in runs.items()]
+    rows = [(name, r.raw, r.municipality, r.diagnosis, r.kept) for name, r in reports]
+    return spark.createDataFrame(rows, "run string, raw long, municipality long, diagnosis long, kept long")
+
+
+def _report_sql(name: str, where: str) -> str:
+    return f"""SELECT '{name}' AS run, count(*) AS raw, count(*) FILTER (WHERE MUNIC_RES IN ({CODE_LIST})) AS municipality,
+    count(*) FILTER (WHERE MUNIC_RES IN ({CODE_LIST}) AND regexp_matches(DIAG_PRINC, '^J[0-9]{{2}}')) AS diagnosis,
+    count(DISTINCT coalesce(N_AIH, 'none')) FILTER (WHERE MUNIC_RES IN ({CODE_LIST}) AND regexp_matches(DIAG_PRINC, '^J[0-9]{{2}}')) AS kept
+    FROM raw_admissions WHERE {where}"""
+
+
+_RUN_REPORT_SQL = f"""{_report_sql("all", "true")} UNION ALL {_report_sql("window", "state = 'PR' AND competence BETWEEN '1995-03' AND '1997-02'")}"""
+
+
 QUERIES = {
+    "admissions_run_report": (admissions_run_report, sql(_RUN_REPORT_SQL, "raw_admissions")),
     "archive_years": (archive_years, _ARCHIVE_YEARS_SQL),
     "seed_locations": (seed_locations, sql(_SEEDS_SQL, "municipalities", "municipality_station_mapping")),
     "default_admissions_run": (default_admissions_run, sql(_DEFAULT_RUN_SQL, "raw_admissions")),

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from climora.operators import key_index
-from climora.operators.admissions import clean_admissions
+from climora.operators.admissions import clean_admissions, is_in_municipalities, matches_diagnosis
 from climora.schemas import VERSION, VERSIONED_ADMISSIONS
-from climora.session import discard, staged
+from climora.session import discard, observed, staged
 from climora.sources import snapshots
 from climora.sources.sinks import (
     CLIMATE_BY_DATE,
@@ -138,6 +139,30 @@ def from_folders(pairs: Iterable[tuple[str, str]]) -> Column:
     return F.coalesce(reduce(Column.__or__, hits, F.lit(False)), F.lit(False))
 
 
+@dataclass(frozen=True)
+class AdmissionCounts:
+    """Records of one run: read, of the municipalities, of these with the diagnosis, last versions kept, and in the months written.
+
+    Should an executor be lost during the run, records that were read again count again.
+    """
+
+    raw: int
+    municipality: int
+    diagnosis: int
+    kept: int
+    written: int
+
+
+def admission_counts(codes: tuple[str, ...] | list[str] | DataFrame, pattern: str) -> list[Column]:
+    """Aggregates over raw records; a table of municipalities is not looked up for them, and counts as all."""
+    in_scope = F.lit(True) if isinstance(codes, DataFrame) else is_in_municipalities(codes)
+    return [
+        F.count(F.lit(1)).alias("raw"),
+        F.count_if(in_scope).alias("municipality"),
+        F.count_if(in_scope & matches_diagnosis(pattern)).alias("diagnosis"),
+    ]
+
+
 def _month_folders(months: Iterable[date | None]) -> set[str]:
     return {folder_name("admission_month", m) for m in months}
 
@@ -230,17 +255,25 @@ def merge_folders(
     codes: tuple[str, ...] | list[str] | DataFrame,
     pattern: str,
     label: str | None = None,
-) -> int:
+) -> AdmissionCounts:
     """Bring the stored admissions up to date with landed folders that are new, changed or gone.
 
     ``records`` is the whole landing. The result is that of cleaning it from scratch, but only the
     folders of ``pairs`` are read, unless a stored record came from one of them and is not found
     there any more, or in an older one only: such numbers are looked up in all folders.
+
+    The counts come from the pass that reads the folders. That pass has to see every record then, so the diagnosis is not
+    left to the Parquet reader.
     """
     pairs = list(pairs)
     base = snapshots.snapshot(spark, path)
     changed = from_folders(pairs)
-    fresh = staged(clean_admissions(records.filter(changed), codes, pattern, *VERSION), "admissions-changed")
+    counts = admission_counts(codes, pattern)
+    read, cleaned = Observation("read"), Observation("cleaned")
+    seen = records.filter(changed).observe(read, *counts)
+    fresh = staged(
+        clean_admissions(seen, codes, pattern, *VERSION).observe(cleaned, F.count(F.lit(1)).alias("kept")), "admissions-changed"
+    )
     updates, doubtful = fresh, None
     if base is not None:
         as_new = F.col("s.aih_number").eqNullSafe(F.col("k.aih_number")) & (
@@ -260,4 +293,4 @@ def merge_folders(
     for rows in (fresh, doubtful):
         if rows is not None:
             discard(rows)
-    return count
+    return AdmissionCounts(**observed(read, "raw", "municipality", "diagnosis"), **observed(cleaned, "kept"), written=count)

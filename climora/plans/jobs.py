@@ -10,11 +10,12 @@ from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from climora.operators import changelog, maintained, monitoring
 from climora.operators.changes import (
+    AdmissionCounts,
     changed_competences,
     fingerprints,
     merge_daily_climate,
@@ -31,7 +32,7 @@ from climora.params import (
 )
 from climora.plans import marts, staging
 from climora.schemas import VERSIONED_ADMISSIONS
-from climora.session import discard, staged
+from climora.session import discard, observed, staged
 from climora.sources import sinks, snapshots, tables
 from climora.sources.archive_members import scan_archive_members
 from climora.sources.archives import hourly_records
@@ -41,22 +42,30 @@ logger = logging.getLogger(__name__)
 ADMISSION_KEY = ("aih_number",)
 
 
-def ingest_climate(
+@dataclass(frozen=True)
+class ClimateReport:
+    """What a weather run did: hourly records read, records without a date that were left out, station-days merged."""
+
+    readings: int = 0
+    undated: int = 0
+    station_days: int = 0
+
+
+def run_climate(
     spark: SparkSession,
     archives: str,
     output: str,
     run: ClimateRun,
     scan: Callable[..., DataFrame] = scan_archive_members,
     by: tuple[str, ...] = sinks.CLIMATE_BY_DATE,
-) -> int:
-    """Yearly archives to stored daily climate; returns the number of station-days of the run.
+) -> ClimateReport:
+    """Yearly archives to stored daily climate.
 
     The run is merged on (station, date): other stations, and days outside the run, stay as they are
-    in every layout.
+    in every layout. Counts come from the pass that reads the archives.
 
     ``scan`` may also be ``scan_station_files``, for a landing that is unpacked, or ``scan_archives``, for a store that
-    Arrow does not open. Archives that were
-    not landed mean no new data: the stored days stay as they are.
+    Arrow does not open. Archives that were not landed mean no new data: the stored days stay as they are.
     """
     try:
         members = scan(spark, archives, run.start, run.end, run.stations)
@@ -64,15 +73,31 @@ def ingest_climate(
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         logger.warning("no archives under %s; stored days are left as they are", archives)
-        return 0
-    readings = normalize_readings(hourly_records(members, run.start, run.end))
-    written = merge_daily_climate(spark, aggregate_daily(readings), output, by)
-    logger.info("merged %d station-days for %s to %s", written, run.start, run.end)
-    return written
+        return ClimateReport()
+    dropped, kept = Observation("dropped"), Observation("kept")
+    readings = normalize_readings(hourly_records(members, run.start, run.end), dropped)
+    counted = readings.observe(kept, F.count(F.lit(1)).alias("readings"))
+    written = merge_daily_climate(spark, aggregate_daily(counted), output, by)
+    undated = observed(dropped, "no_date")["no_date"]
+    report = ClimateReport(observed(kept, "readings")["readings"] + undated, undated, written)
+    logger.info("%s for %s to %s", report, run.start, run.end)
+    return report
 
 
-def ingest_admissions(spark: SparkSession, landing: str, output: str, run: AdmissionsRun) -> int:
-    """Landed records to stored clean admissions; returns the number of records in the months written.
+def ingest_climate(
+    spark: SparkSession,
+    archives: str,
+    output: str,
+    run: ClimateRun,
+    scan: Callable[..., DataFrame] = scan_archive_members,
+    by: tuple[str, ...] = sinks.CLIMATE_BY_DATE,
+) -> int:
+    """``run_climate``; returns the number of station-days of the run."""
+    return run_climate(spark, archives, output, run, scan, by).station_days
+
+
+def run_admissions(spark: SparkSession, landing: str, output: str, run: AdmissionsRun) -> AdmissionCounts:
+    """Landed records to stored clean admissions; returns the counts of the run's stages, from the pass that reads them.
 
     The run is merged by record number: what earlier runs stored in the months that it touches stays, and runs can come
     in any order, as the stored table keeps from which competence and state a record came. A competence that was
@@ -81,12 +106,17 @@ def ingest_admissions(spark: SparkSession, landing: str, output: str, run: Admis
     """
     landed = tables.folders_below(spark, landing, "state", "competence")
     pairs = [(s, c) for s, c in landed if c in run.competences and (run.states is None or s in run.states)]
-    written = 0
+    report = AdmissionCounts(0, 0, 0, 0, 0)
     if pairs:
         records = tables.read_landed_admissions(spark, landing)
-        written = merge_folders(spark, records, pairs, output, run.municipalities, run.diagnosis_pattern, f"{run.first} to {run.last}")
-    logger.info("wrote %d admissions of %s to %s", written, run.first, run.last)
-    return written
+        report = merge_folders(spark, records, pairs, output, run.municipalities, run.diagnosis_pattern, f"{run.first} to {run.last}")
+    logger.info("%s for %s to %s", report, run.first, run.last)
+    return report
+
+
+def ingest_admissions(spark: SparkSession, landing: str, output: str, run: AdmissionsRun) -> int:
+    """``run_admissions``; returns the number of records in the months written."""
+    return run_admissions(spark, landing, output, run).written
 
 
 def log_admissions(spark: SparkSession, stored: str, log: str) -> int:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Calendar days are UTC days throughout; ANSI makes strict casts raise.
 SETTINGS = {
@@ -45,6 +46,15 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def observed(counts: Observation, *names: str) -> dict[str, int]:
+    """Counts of an observation after its query; 0 for each of ``names`` where Spark left out the part of the plan, as no row came to it."""
+    try:
+        found = counts.get
+    except Py4JJavaError:
+        found = {}
+    return {name: found.get(name) or 0 for name in names}
+
+
 def staged(rows: DataFrame, label: str) -> DataFrame:
     """``rows`` written once in the shared folder and read back, for work that needs them several times."""
     path = f"{shared_folder(rows.sparkSession)}/staged-{label}-{uuid.uuid4().hex}"

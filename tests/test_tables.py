@@ -322,3 +322,23 @@ def test_all_jobs_end_to_end(spark, tmp_path):
     assert [tuple(r) for r in top] == [(date(2024, 1, 5), 2, 11.6), (date(2024, 2, 20), 1, None)]
     assert spark.table("dim_location").first().region == "Sul"
     assert spark.table("dim_date").agg(F.max("date_day")).first()[0] == date(2025, 5, 31)
+
+
+def test_runs_report_their_stages(spark, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    land(spark, landing, "2024-01", ("1", "20240105", "J189"), ("2", "20240106", "J189"), ("1", "20240107", "J449"), ("3", "20240107", "I219"))
+    full = [("9", "999999", "20240105", "J189", "1", "1")]
+    spark.createDataFrame(full, "N_AIH string, MUNIC_RES string, DT_INTER string, DIAG_PRINC string, VAL_TOT string, DIAS_PERM string").write.mode(
+        "append"
+    ).parquet(f"{landing}/state=PR/competence=2024-01")
+    run = AdmissionsRun((2024, 1), (2024, 1))
+    for _ in range(2):
+        assert jobs.run_admissions(spark, landing, out, run) == changes.AdmissionCounts(5, 4, 3, 2, 2)
+    nothing = jobs.run_admissions(spark, landing, out, AdmissionsRun((2030, 1), (2030, 1)))
+    assert nothing == changes.AdmissionCounts(0, 0, 0, 0, 0)
+    text = station_file([("2019/09/01", *ROW), ("2019/09/01", *ROW), ("2019/09/02", *ROW), ("bad", *ROW)])
+    (tmp_path / "zips").mkdir()
+    (tmp_path / "zips" / "2019.zip").write_bytes(pack_archive([(member(), text)]))
+    span = ClimateRun(date(2019, 9, 1), date(2019, 9, 2), ("Z042",))
+    assert jobs.run_climate(spark, str(tmp_path / "zips"), str(tmp_path / "climate"), span) == jobs.ClimateReport(3, 0, 2)
+    assert jobs.run_climate(spark, str(tmp_path / "none"), str(tmp_path / "climate"), span) == jobs.ClimateReport()
