@@ -172,17 +172,15 @@ def folders_to_open(
 ) -> snapshots.Snapshot:
     """The part of a snapshot of stored admissions that can hold one of the numbers, or a record of a withdrawn folder.
 
-    Only the indexes beside the table are read for that.
+    Only the index beside the table is read for that.
     """
-    def side(name: str, schema: str) -> DataFrame:
-        return snapshots.read_snapshot(spark, path, T.StructType.fromDDL(schema), held, name)
-
-    if "zones" not in held.sides:
-        raise ValueError(f"{path} was published without the indexes of admissions")
-    months = key_index.months_of_keys(keys, side("zones", key_index.ZONES), side("filters", key_index.FILTERS))
+    if "index" not in held.sides:
+        raise ValueError(f"{path} was published without the index of admissions")
+    index = snapshots.read_side(spark, path, T.StructType.fromDDL(key_index.INDEX), held, "index")
+    months = key_index.months_of_keys(keys, index)
     pairs = list(withdrawn)
     if pairs:
-        months += key_index.months_of_origins(pairs, side("origins", key_index.ORIGINS))
+        months += key_index.months_of_origins(pairs, index)
     return snapshots.narrowed(held, _month_folders(months))
 
 

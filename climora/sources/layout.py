@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +30,6 @@ def pack_files(sizes: Mapping[str, int], target: int) -> dict[str, int]:
     return bins
 
 
-def folder_values(folder: str) -> list[str | None]:
-    """Values that a folder name ``a=1/b=2`` stands for, as text."""
-    cells = [part.split("=", 1)[1] for part in folder.split("/")] if folder else []
-    return [None if c == "__HIVE_DEFAULT_PARTITION__" else unquote(c) for c in cells]
-
-
 def compact(
     spark: SparkSession,
     path: str,
@@ -59,7 +52,7 @@ def compact(
         bins = pack_files(sizes, target_bytes)
         count = max(bins.values(), default=-1) + 1
         if count < len(bins):
-            plan += [(*folder_values(folder), name, tasks + spot) for name, spot in bins.items()]
+            plan += [(*snapshots.folder_values(folder), name, tasks + spot) for name, spot in bins.items()]
             folders.append(folder)
             tasks, less = tasks + count, less + len(bins) - count
     if not folders:

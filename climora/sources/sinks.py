@@ -74,7 +74,7 @@ def with_admission_month(admissions: DataFrame) -> DataFrame:
 
 
 # What is kept beside each month of admissions, so that a merge opens only months that can matter.
-ADMISSION_SIDES = {"zones": key_index.zones, "filters": key_index.filters, "origins": key_index.origins}
+ADMISSION_SIDES = {"index": key_index.index}
 
 
 def write_admissions(

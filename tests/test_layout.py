@@ -157,4 +157,4 @@ def test_folder_names_are_those_of_spark(spark, tmp_path):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     frame.write.partitionBy("v").parquet(str(tmp_path / "t"))
     assert {p.name for p in (tmp_path / "t").iterdir() if p.is_dir()} == {sinks.folder_name("v", v) for v in values}
-    assert {layout.folder_values(sinks.folder_name("v", v))[0] for v in values} == {v or None for v in values}
+    assert {snapshots.folder_values(sinks.folder_name("v", v))[0] for v in values} == {v or None for v in values}
