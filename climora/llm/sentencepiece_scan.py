@@ -19,10 +19,10 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import groupby, islice
+from operator import itemgetter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -34,6 +34,8 @@ from climora.llm.storage import small_batches, stored
 
 CHUNK = 16_384
 GROUP = 64
+# Blocks of the scan that one task combines.
+CHUNKS_PER_TASK = 1024
 _NEVER = -(2**62)
 _NO_MERGE = -(2**31)
 _REMEMBERED = 100_000
@@ -445,41 +447,67 @@ def _array(blob) -> np.ndarray:
     return np.frombuffer(blob, np.int64)
 
 
-def _scanned(blocks: DataFrame, whole, start: bytes, follow, backward: bool) -> DataFrame:
-    """The state of each chunk (column state) by a scan over two levels.
+def _rows(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(n).to_pylist() for n in names))
 
-    ``blocks`` has digest, c and block (bytes). ``whole(list of blocks)`` combines neighbours to one block; ``start`` is
-    the state before all, and ``follow(state, block)`` that after a block. Groups hold ``GROUP`` chunks, so each task of a level sees a bounded
-    stretch: a text has fewer than 2^31 characters, hence no more than 2^31 / (GROUP * chunk) groups.
-    """
-    grouped = blocks.withColumn("g", F.expr(f"c div {GROUP}").cast("int"))
 
-    def ordered(pdf: pd.DataFrame, by: str) -> pd.DataFrame:
-        return pdf.sort_values(by, ascending=not backward)
+def _rowwise(make, inputs: tuple[str, ...], schema: pa.Schema):
+    """A function for ``mapInArrow``: ``make`` turns the rows of a partition, in order, into rows of ``schema``."""
 
-    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = ordered(pdf, "c")
-        return pd.DataFrame({"digest": [pdf.digest.iloc[0]], "g": [pdf.g.iloc[0]], "block": [whole(list(rows.block))]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = iter(make(_rows(batches, inputs)))
+        while some := list(islice(made, 512)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
 
-    def walk(rows: pd.DataFrame, state: bytes) -> list[bytes]:
-        out = []
-        for block in rows.block:
-            out.append(state)
-            state = follow(state, block)
-        return out
+    return run
 
-    def over_groups(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = ordered(pdf, "g")
-        return pd.DataFrame({"digest": rows.digest, "g": rows.g, "state": walk(rows, start)})
 
-    def over_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = ordered(pdf, "c")
-        return pd.DataFrame({"digest": rows.digest, "c": rows.c, "state": walk(rows, rows.state.iloc[0])})
+def _scanned(blocks: DataFrame, whole, start: bytes, follow, backward: bool) -> DataFrame:
+    """The state of each chunk (column state) by a scan over two levels.
+
+    ``blocks`` has digest, c and block (bytes). ``whole(list of blocks)`` combines neighbours to one block; ``start`` is
+    the state before all, and ``follow(state, block)`` that after a block. Groups hold ``GROUP`` chunks, of which a task holds one at a
+    time: a text has fewer than 2^31 characters, hence no more than 2^31 / (GROUP * chunk) groups. Each level is dealt to
+    tasks by the number of its blocks, whatever their bytes.
+    """
+    tasks = -(-blocks.count() // CHUNKS_PER_TASK) or 1
+    way = F.desc if backward else F.asc
+    grouped = blocks.withColumn("g", F.expr(f"c div {GROUP}").cast("int"))
 
-    groups = grouped.groupBy("digest", "g").applyInPandas(combine, "digest string, g int, block binary")
-    entering = groups.groupBy("digest").applyInPandas(over_groups, "digest string, g int, state binary")
-    return grouped.join(entering, ["digest", "g"]).groupBy("digest", "g").applyInPandas(
-        over_chunks, "digest string, c int, state binary"
+    def combine(rows: Iterable[tuple]) -> Iterator[tuple]:
+        for (digest, g), run in groupby(rows, key=itemgetter(0, 1)):
+            yield digest, g, whole([r[2] for r in run])
+
+    def over_groups(rows: Iterable[tuple]) -> Iterator[tuple]:
+        for digest, run in groupby(rows, key=itemgetter(0)):
+            state = start
+            for _, g, block in run:
+                yield digest, g, state
+                state = follow(state, block)
+
+    def over_chunks(rows: Iterable[tuple]) -> Iterator[tuple]:
+        for (digest, _), run in groupby(rows, key=itemgetter(0, 1)):
+            state = None
+            for _, _, c, block, entry in run:
+                state = entry if state is None else state
+                yield digest, c, state
+                state = follow(state, block)
+
+    def dealt(frame: DataFrame, many: int, keys: tuple[str, ...], last: str) -> DataFrame:
+        return frame.repartition(many, *keys).sortWithinPartitions(*keys, way(last))
+
+    text, number, data = (lambda n: (n, pa.string())), (lambda n: (n, pa.int32())), (lambda n: (n, pa.binary()))
+    groups = dealt(grouped, tasks, ("digest", "g"), "c").mapInArrow(
+        _rowwise(combine, ("digest", "g", "block"), pa.schema([text("digest"), number("g"), data("block")])), "digest string, g int, block binary"
+    )
+    entering = dealt(groups, -(-tasks // GROUP), ("digest",), "g").mapInArrow(
+        _rowwise(over_groups, ("digest", "g", "block"), pa.schema([text("digest"), number("g"), data("state")])), "digest string, g int, state binary"
+    )
+    joined = dealt(grouped.join(entering, ["digest", "g"]), tasks, ("digest", "g"), "c")
+    return joined.mapInArrow(
+        _rowwise(over_chunks, ("digest", "g", "c", "block", "state"), pa.schema([text("digest"), number("c"), data("state")])),
+        "digest string, c int, state binary",
     )
 
 
