@@ -49,11 +49,9 @@ def op3_embedding_dedup(spark, sf_dir):
 
 
 def op4_url_filter(spark, sf_dir):
-    """Rule and verdict of every page; outcomes are pages marked by their own text."""
+    """Rule and verdict of every page; outcomes are pages marked by their own text or by their host's name."""
     pages = _table(spark, sf_dir, "pages")
-    host, _ = url_filter.host_and_path("url")
-    outcomes = pages.select(host.alias("host"), url_filter.marked_as_bad("html").alias("bad"))
-    return url_filter.judge_urls(pages, outcomes)
+    return url_filter.judge_urls(pages, url_filter.outcomes_of_pages(pages))
 
 
 def op5_simhash_dedup(spark, sf_dir):

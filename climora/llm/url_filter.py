@@ -18,6 +18,8 @@ from climora.llm.storage import stored
 # Rules as (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 LIMIT = 0.25
+# Words of hosts whose pages are labelled as bad.
+BAD_WORDS = ("ads", "bets", "casino", "pills")
 Z = 1.645
 _STRENGTH = (1.0, 1e6)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -136,8 +138,25 @@ def marked_as_bad(text_col: str, marks: int = 10):
     return F.regexp_count(text_col, F.lit(r"(###|\*\*\*|\$\$\$|%%%|&&&)")) >= marks
 
 
+def _named_as_bad() -> str:
+    """Pattern of hosts one of whose words is in ``BAD_WORDS``."""
+    return f"(^|[.-])({'|'.join(BAD_WORDS)})([.-]|$)"
+
+
+def outcomes_of_pages(pages: DataFrame, url_col: str = "url", text_col: str = "html") -> DataFrame:
+    """Columns host and bad, a row per page: marked by its text, or by a word in its host's name; null for pages without text."""
+    host, _ = host_and_path(url_col)
+    return pages.select(host.alias("host"), F.col(text_col).alias("_climora_text")).select(
+        "host", (marked_as_bad("_climora_text") | F.when(F.col("_climora_text").isNotNull(), F.col("host").rlike(_named_as_bad()))).alias("bad")
+    )
+
+
+def _domain(host: str) -> str:
+    return f"array_to_string(list_slice(string_split({host}, '.'), -2, -1), '.')"
+
+
 def judge_sql(rules: Sequence[tuple[str, str, str]] = RULES, limit: float = LIMIT, z: float = Z, marks: int = 10) -> str:
-    """DuckDB SQL for ``judge_urls`` over the table ``pages``, labelled by ``marked_as_bad``."""
+    """DuckDB SQL for ``judge_urls`` over the table ``pages``, labelled by ``outcomes_of_pages``."""
     best = sorted(rules, key=lambda r: (len(r[1] + r[2]), r), reverse=True)
     fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in best]
     rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, best))
@@ -156,14 +175,22 @@ def judge_sql(rules: Sequence[tuple[str, str, str]] = RULES, limit: float = LIMI
     WITH cut AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
     parsed AS (SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
                       regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
-    hosts AS (SELECT host AS unit, array_to_string(list_slice(string_split(host, '.'), -2, NULL), '.') AS parent, count(*) AS n,
-                     sum(CASE WHEN len(regexp_extract_all(html, '(###|\\*\\*\\*|\\$\\$\\$|%%%|&&&)')) >= {marks} THEN 1 ELSE 0 END) AS k
+    hosts AS (SELECT host AS unit, {_domain('host')} AS parent, count(*) AS n,
+                     sum(CASE WHEN len(regexp_extract_all(html, '(###|\\*\\*\\*|\\$\\$\\$|%%%|&&&)')) >= {marks}
+                                    OR regexp_matches(host, '{_named_as_bad()}') THEN 1 ELSE 0 END) AS k
               FROM parsed WHERE html IS NOT NULL GROUP BY host),
     domains AS (SELECT parent AS unit, list_last(string_split(parent, '.')) AS parent, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY hosts.parent),
     suffixes AS (SELECT parent AS unit, '' AS parent, sum(n) AS n, sum(k) AS k FROM domains GROUP BY domains.parent),
     everything AS (SELECT '' AS unit, sum(k) / sum(n) AS mean FROM suffixes),
     {level("l1", "suffixes", "everything")}, {level("l2", "domains", "l1")}, {level("l3", "hosts", "l2")},
-    blocked AS (SELECT unit FROM l3 WHERE mean - {z!r}::DOUBLE * sqrt(mean * (1 - mean) / (n + strength + 1)) > {limit!r}::DOUBLE)
+    widths AS (SELECT (SELECT any_value(strength) FROM l3) AS s1, (SELECT any_value(strength) FROM l2) AS s2,
+                      (SELECT any_value(strength) FROM l1) AS s3, (SELECT mean FROM everything) AS m0),
+    found AS (SELECT h.host AS unit, coalesce(l3.n, 0) AS n, coalesce(l3.mean, l2.mean, l1.mean, m0) AS mean,
+                     CASE WHEN coalesce(l3.mean, l2.mean) IS NOT NULL THEN s1 WHEN l1.mean IS NOT NULL THEN least(s1, s2)
+                          ELSE least(s1, s2, s3) END AS strength
+              FROM (SELECT DISTINCT host, {_domain('host')} AS domain, list_last(string_split(host, '.')) AS suffix FROM parsed) h
+              LEFT JOIN l3 ON l3.unit = h.host LEFT JOIN l2 ON l2.unit = h.domain LEFT JOIN l1 ON l1.unit = h.suffix, widths),
+    blocked AS (SELECT unit FROM found WHERE mean - {z!r}::DOUBLE * sqrt(mean * (1 - mean) / (n + strength + 1)) > {limit!r}::DOUBLE)
     SELECT page_id, host, path, CASE {rule} END AS rule,
            coalesce(CASE {verdict} END, CASE WHEN b.unit IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
     FROM parsed LEFT JOIN blocked b ON host = b.unit

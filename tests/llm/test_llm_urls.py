@@ -1,5 +1,6 @@
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +77,30 @@ def test_hosts_without_labels_are_judged_by_the_level_above(spark):
     want = {"new.bad.com": "block", "null.bad.com": "block", "new.good.com": "allow", "h1.bad.com": "block", "new.other.biz": "block", "new.other.org": "allow"}
     pages = spark.createDataFrame([(h, f"http://{h}/") for h in want], "page_id string, url string")
     assert {r.page_id: r.verdict for r in U.judge_urls(pages, outcomes, rules=()).collect()} == want
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_reputation_blocks_some_hosts_and_spares_others(spark, sf):
+    rows = QUERIES["op4_url_filter"][0](spark, f"/root/testdata/{sf}").where("rule IS NULL").select("host", "verdict").distinct().collect()
+    blocked, spared = ({r.host for r in rows if r.verdict == v} for v in ("block", "allow"))
+    assert blocked and all(re.search("casino|bets|pills|ads", h) for h in blocked)
+    assert len(spared) > 2 * len(blocked) and not blocked & spared
+
+
+def test_query_equals_its_sql_on_planted_hosts(spark, tmp_path):
+    noisy = "word### " * 12
+    rows = [(f"http://h{k % 7}.bad.org/{k}", noisy if k % 5 else "x") for k in range(200)]
+    rows += [(f"http://h{k % 9}.good.org/{k}", noisy if k % 40 == 0 else "x") for k in range(200)]
+    rows += [(f"http://w{k}.casino-{k % 3}.biz/", "x") for k in range(40)] + [(f"http://one{k}.fine{k}.info/", "x") for k in range(40)]
+    # Hosts whose pages have no text: known by their domain, their suffix, or by nothing.
+    rows += [("http://new.bad.org/", None), ("http://new.good.org/", None), ("http://new.other.biz/", None), ("http://new.other.info/", None), ("http://no.label.xyz/", None), ("", None), (None, "x")]
+    path = str(tmp_path / "pages.parquet")
+    spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string").coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{path}/*.parquet'")
+    pages = spark.read.parquet(path)
+    frame = U.judge_urls(pages, U.outcomes_of_pages(pages))
+    found, off = difference(frame, con, U.judge_sql())
+    assert found == len(rows) and not off
+    verdicts = {r.host: r.verdict for r in frame.collect()}
+    assert verdicts["new.bad.org"] == verdicts["h1.bad.org"] == "block" and verdicts["new.good.org"] == verdicts["h1.good.org"] == "allow"
