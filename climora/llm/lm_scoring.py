@@ -49,7 +49,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """How often each bucket is in all documents; each task sends one row per bucket it has met."""
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.make_valid_utf8(text_col).alias("text")).mapInArrow(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(BUCKETS, np.int64)
     for row in rows.collect():  # BUCKETS rows at most
         out[row.bucket] = row.n
@@ -164,7 +164,7 @@ def fit_network(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", tex
     """Weights trained on each of ``slices`` slices, or the first ``rounds``; a weight is averaged over tasks by the words they have seen."""
     of, _ = classes(counts)
     flat = start_weights(counts, of)
-    rows = docs.select(F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int").alias("slice"), F.col(text_col).alias("text"))
+    rows = docs.select(F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int").alias("slice"), F.make_valid_utf8(text_col).alias("text"))
     rows = stored(rows.mapInArrow(_classed(of), "slice int, held binary"), "lm-classes", "slice")  # a byte per word
     for turn in range(slices if rounds is None else rounds):
         part = rows.where(F.col("slice") == turn).select("held")
@@ -205,13 +205,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: ``id_col``, n_words, log_likelihood (sum over words) and mean_log_likelihood (null without words).
 
     Null and empty texts have no words and a sum of 0. Repeated rows give repeated results; an empty table gives none; other columns are not read.
+    Bytes that are no UTF-8 read as the replacement character.
     """
     small_batches(docs.sparkSession)
     counts = bucket_counts(docs, text_col)
     of, within = classes(counts)
     flat = fit_network(docs, counts, id_col, text_col, slices, rounds)
     id_kind = dict(docs.dtypes)[id_col]
-    scored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    scored = docs.select(F.col(id_col).alias("id"), F.make_valid_utf8(text_col).alias("text")).mapInArrow(
         _scored(flat, of, within), f"id {id_kind}, n_words long, log_likelihood double"
     )
     return scored.select(

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from climora.llm.storage import small_batches, stored
+from climora.llm.storage import parts_for, small_batches, stored
 
 CHUNK = 16_384
 GROUP = 64
@@ -471,7 +471,7 @@ def _scanned(blocks: DataFrame, whole, start: bytes, follow, backward: bool) ->
     time: a text has fewer than 2^31 characters, hence no more than 2^31 / (GROUP * chunk) groups. Each level is dealt to
     tasks by the number of its blocks, whatever their bytes.
     """
-    tasks = -(-blocks.count() // CHUNKS_PER_TASK) or 1
+    tasks = parts_for(blocks.count(), CHUNKS_PER_TASK)
     way = F.desc if backward else F.asc
     grouped = blocks.withColumn("g", F.expr(f"c div {GROUP}").cast("int"))
 
@@ -501,7 +501,7 @@ def _scanned(blocks: DataFrame, whole, start: bytes, follow, backward: bool) ->
     groups = dealt(grouped, tasks, ("digest", "g"), "c").mapInArrow(
         _rowwise(combine, ("digest", "g", "block"), pa.schema([text("digest"), number("g"), data("block")])), "digest string, g int, block binary"
     )
-    entering = dealt(groups, -(-tasks // GROUP), ("digest",), "g").mapInArrow(
+    entering = dealt(groups, parts_for(tasks, GROUP), ("digest",), "g").mapInArrow(
         _rowwise(over_groups, ("digest", "g", "block"), pa.schema([text("digest"), number("g"), data("state")])), "digest string, g int, state binary"
     )
     joined = dealt(grouped.join(entering, ["digest", "g"]), tasks, ("digest", "g"), "c")
@@ -611,7 +611,7 @@ def _giant_ids(giants: DataFrame, model_file: str, chunk: int) -> DataFrame:
 def encode(docs: DataFrame, model_file: str, text_col: str = "text", out_col: str = "ids", chunk: int = CHUNK) -> DataFrame:
     """``docs`` with the piece ids of ``text_col`` as ``out_col`` (array of int).
 
-    Null and empty texts give an empty array. ``out_col`` replaces a column of that name. Texts of
+    Null and empty texts give an empty array; bytes that are no UTF-8 are encoded as the replacement character. ``out_col`` replaces a column of that name. Texts of
     ``chunk`` characters and more go through the parallel scan, equal ones once; all others are
     encoded in the task that reads them. Both give the same ids. Repeated rows stay as they are.
     """
@@ -621,16 +621,17 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out_col: st
         return _lists(pieces(model_file), map(normalised, texts.to_pylist()))
 
     small_batches(docs.sparkSession)
-    size = F.coalesce(F.char_length(text_col), F.lit(0))
-    digest = F.sha2(F.col(text_col).cast("binary"), 256)
+    text = F.make_valid_utf8(text_col)
+    size = F.coalesce(F.char_length(text), F.lit(0))
+    digest = F.sha2(text.cast("binary"), 256)
     giants = docs.where(size >= chunk)
-    distinct = giants.select(digest.alias("digest"), F.col(text_col).alias("text")).dropDuplicates(["digest"])
+    distinct = giants.select(digest.alias("digest"), text.alias("text")).dropDuplicates(["digest"])
     found = stored(_giant_ids(distinct, model_file, chunk), "pieces-ids").select(
         F.col("digest").alias("_climora_digest"), F.col("ids").alias("_climora_ids")
     )
     kept = [c for c in docs.columns if c != out_col]
     joined = giants.withColumn("_climora_key", digest).join(found, F.col("_climora_key") == F.col("_climora_digest"))
-    return docs.where(size < chunk).withColumn("_climora_ids", small(F.col(text_col))).select(
+    return docs.where(size < chunk).withColumn("_climora_ids", small(text)).select(
         *[F.col(f"`{c}`") for c in kept], F.col("_climora_ids").alias(out_col)
     ).unionByName(joined.select(*[F.col(f"`{c}`") for c in kept], F.col("_climora_ids").alias(out_col)))
 

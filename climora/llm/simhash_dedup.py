@@ -26,7 +26,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
 from climora.llm.components import components
-from climora.llm.storage import small_batches, stored
+from climora.llm.storage import parts_for, small_batches, stored
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -40,6 +40,10 @@ _PARTS = ((0, 7), (7, 7), (14, 8))
 _GENERATOR = 0b110001110101
 
 
+# Fingerprints that one task turns into keys.
+PRINTS_PER_TASK = 16_384
+
+
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     """Unsigned fingerprint of one text; no words give zero."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -66,7 +70,7 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprint_column(text: str, words: int = SHINGLE_WORDS):
-    """The fingerprint as a signed long column."""
+    """The fingerprint as a signed long column; bytes that are no UTF-8 read as the replacement character."""
 
     @pandas_udf(LongType())
     def of(texts):
@@ -75,7 +79,7 @@ def fingerprint_column(text: str, words: int = SHINGLE_WORDS):
         values = np.fromiter((fingerprint(t, words) for t in texts), np.uint64, len(texts))
         return pd.Series(values.view(np.int64))
 
-    return of(F.col(text))
+    return of(F.make_valid_utf8(text))
 
 
 def _syndromes(values: np.ndarray) -> np.ndarray:
@@ -160,7 +164,9 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"keys are complete up to {MAX_BITS} bits")
-    keyed = prints.where("rep IS NOT NULL").mapInArrow(_keyed, "key long, print long, rep long")
+    known_prints = prints.where("rep IS NOT NULL")
+    dealt = known_prints.repartition(parts_for(known_prints.count(), PRINTS_PER_TASK))  # each becomes some eighty rows
+    keyed = dealt.mapInArrow(_keyed, "key long, print long, rep long")
     ends = keyed.groupBy("key").agg(
         F.min(F.struct("rep", "print")).alias("low"), F.max(F.struct("rep", "print")).alias("high"),
         F.count("*").alias("members"),

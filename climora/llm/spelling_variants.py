@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climora.llm.checksum_sql import crc32_sql
-from climora.llm.storage import dropped, small_batches, stored
+from climora.llm.storage import dropped, parts_for, small_batches, stored
 
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _LETTERS = [*map(chr, range(ord("a"), ord("z") + 1)), *map(chr, range(0xC0, 0x100))]
@@ -33,6 +33,8 @@ _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 SYMBOLS = 12
 # Words that share a reduced word before they count as crowded.
 CROWDED = 64
+# Reduced words that one task makes the neighbours of.
+WORDS_PER_TASK = 16_384
 # Runs and distinct words that a task counts before it hands them on; neighbours made at once.
 _RUNS = 200_000
 _HELD = 200_000
@@ -180,7 +182,7 @@ def near_pairs(words: DataFrame, symbols: int = SYMBOLS, crowded: int = CROWDED)
     apart = F.levenshtein("word", "other_word", 1) == 1
     members = numbered.join(calm.select("key"), "key", "left_semi")
     met = (
-        _near_numbers(calm, symbols, False, "key")
+        _near_numbers(calm.repartition(parts_for(calm.count(), WORDS_PER_TASK)), symbols, False, "key")  # some sixty rows each
         .join(members.select(F.col("key").alias("other"), F.col("word").alias("other_word"), F.col("n").alias("other_n")), "other")
     )
     found = (
@@ -189,6 +191,7 @@ def near_pairs(words: DataFrame, symbols: int = SYMBOLS, crowded: int = CROWDED)
         .where(apart).select("word", "n", F.col("other_word").alias("other"), "other_n")
     )
     dense = numbered.join(classes.where(F.col("size") > crowded).select("key"), "key", "left_semi").select("word", "n")
+    dense = dense.repartition(parts_for(dense.count(), WORDS_PER_TASK // 32))
     exact = _with_numbers(words.select("word", "n"), None).select(F.col("key").alias("other"), F.col("word").alias("other_word"), F.col("n").alias("other_n"))
     close = _near_numbers(dense, None, True, "word").join(exact, "other").where(apart).select("word", "other_word", "other_n").join(dense, "word")
     # Both members of a pair may be crowded and find each other: the two directions then meet below.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from climora.session import shared_folder
 
@@ -33,6 +34,20 @@ def dropped(frame: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def one_text_per_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Columns _climora_id, text and _climora_hash of labelled samples: group by id and take the text of the smallest hash.
+
+    A sample that is bounded by its ids is then bounded by its rows, however often an id is repeated.
+    """
+    text = F.make_valid_utf8(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("_climora_id"), text.alias("text"), F.xxhash64(text).alias("_climora_hash"))
+
+
+def parts_for(rows: int, per_task: int) -> int:
+    """How many tasks so many rows are dealt to: what a row gives rise to may be far larger than the row."""
+    return max(1, -(-rows // per_task))
+
+
 def small_batches(spark) -> None:
     """Bound what a Python worker is given at once, by rows and bytes, as documents can be long.
 

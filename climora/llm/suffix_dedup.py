@@ -31,6 +31,8 @@ LEAD = 40
 #: Rows that a bucket holds on average, and rows of the sample that splitters are taken from.
 BUCKET_ROWS = 400_000
 SAMPLE_ROWS = 50_000
+# Texts that splitters are drawn from at least.
+SAMPLED_TEXTS = 200
 _PIECE = 1 << 16
 _HELD = 1 << 20  # strings that a task deals out at once
 _FACTOR = 0x9E3779B97F4A7C15
@@ -139,8 +141,8 @@ def single_strings(data: np.ndarray, packed: np.ndarray, length: int = LENGTH):
     return [np.concatenate(x) for x in zip(*out)]
 
 
-def _joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+def _joined(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    parts = [t or b"" for t in texts]
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
     return np.frombuffer(b"".join(parts), np.uint8), np.concatenate(([0], ends[:-1])).astype(np.int64), ends
 
@@ -168,7 +170,7 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[np
     held, size = [], 0
     for part in _slices(batches):
         for id_, text, packed in zip(*(part.column(c).to_pylist() for c in ("id", "text", "packed"))):
-            data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+            data = np.frombuffer(text or b"", np.uint8)
             here = np.unique(np.array(packed, np.int64))
             here = here[(here >> 14) + (here >> 7 & 127) + length <= len(data)]
             if len(here):
@@ -292,13 +294,14 @@ def _judged(length: int):
     return judge
 
 
-def _sorted_out(source: Callable, make: Callable, rows: float, length: int, label: str, spark) -> DataFrame:
-    """The judged records of ``source``, stored; ``rows`` is about how many records there are.
+def _sorted_out(source: Callable, make: Callable, rows: float, texts: int, length: int, label: str, spark) -> DataFrame:
+    """The judged records of ``source``, stored; ``rows`` is about how many records there are, ``texts`` how many texts.
 
-    ``source`` gives the rows (id, text and so on) whose id meets a condition in SQL.
+    ``source`` gives the rows (id, text and so on) whose id meets a condition in SQL. Splitters are drawn from the records of some
+    texts, ``SAMPLED_TEXTS`` at least: of all texts, where there are few and long ones.
     """
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(rows / BUCKET_ROWS) + 1)
-    part = max(1, int(rows / 8 / SAMPLE_ROWS))  # eight times the sample before it is cut by hash
+    part = max(1, min(int(rows / 8 / SAMPLE_ROWS), texts // SAMPLED_TEXTS))  # eight times the sample before it is cut by hash
 
     def all_records(batches):
         for made in make(batches, length):
@@ -342,19 +345,21 @@ def _across(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
 def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """Columns id and ranges (starts packed with the count of further starts) of strings that occur earlier.
 
-    ``texts`` has id (long, not null) and text.
+    ``texts`` has id (long, not null) and text (binary).
     """
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total, many = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     spark = texts.sparkSession
-    records = _sorted_out(texts.where, _records, 2 * total / (length - LEAD + 2), length, "suffix-records", spark)
+    records = _sorted_out(texts.where, _records, 2 * total / (length - LEAD + 2), many, length, "suffix-records", spark)
     whole, again = _across(records)
     doubtful = stored(again.groupBy("id").agg(F.collect_list("packed").alias("packed")), "suffix-doubtful")
-    strings = doubtful.agg(F.sum(F.expr("aggregate(packed, 0L, (n, p) -> n + (shiftright(p, 7) & 127) + 1)"))).first()[0] or 0
+    strings, open_ = doubtful.agg(
+        F.coalesce(F.sum(F.expr("aggregate(packed, 0L, (n, p) -> n + (shiftright(p, 7) & 127) + 1)")), F.lit(0)), F.count("*")
+    ).first()
 
     def open_texts(condition: str) -> DataFrame:
         return texts.where(condition).join(doubtful.where(condition), "id")
 
-    single, _ = _across(_sorted_out(open_texts, _strings, strings, length, "suffix-strings", spark))
+    single, _ = _across(_sorted_out(open_texts, _strings, strings, open_, length, "suffix-strings", spark))
     return whole.unionByName(single).groupBy("id").agg(F.collect_list("packed").alias("ranges"))
 
 
@@ -363,7 +368,7 @@ def _kept(length: int):
         for part in _slices(batches):
             out = []
             for text, ranges in zip(part.column("_climora_text").to_pylist(), part.column("_climora_ranges").to_pylist()):
-                data = (text or "").encode("utf-8", "surrogatepass")
+                data = text or b""
                 if not ranges:
                     out.append((len(data), 0, 0, data))
                     continue
@@ -395,15 +400,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     smaller id, or earlier in the same. Strings are judged on the input. Null and empty texts, and
     those shorter than ``length``, keep all. A null id stands before all others. Rows that repeat an
     id and text do not remove each other and give equal results; an id has to mean one text, and rows
-    that share an id but not a text share the places that are removed. An empty table gives no rows.
+    that share an id but not a text share the places that are removed. Bytes that are no UTF-8 count as they are. An
+    empty table gives no rows.
     """
     if not LEAD <= length <= LEAD + 100:
         raise ValueError("the length has to be 40 to 140 bytes")
     small_batches(docs.sparkSession)
     id_ = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
-    ranges = repeated_ranges(docs.select(id_.alias("id"), F.col(text_col).alias("text")), length)
+    data = F.col(text_col).cast("binary")
+    ranges = repeated_ranges(docs.select(id_.alias("id"), data.alias("text")), length)
     carried = [F.col(id_col)] + [F.col(c) for c in carry]
-    rows = docs.select(*carried, F.col(text_col).alias("_climora_text"), id_.alias("_climora_id"))
+    rows = docs.select(*carried, data.alias("_climora_text"), id_.alias("_climora_id"))
     joined = rows.join(
         ranges.select(F.col("id").alias("_climora_id"), F.col("ranges").alias("_climora_ranges")), "_climora_id", "left"
     )

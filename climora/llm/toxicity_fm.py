@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
-from climora.llm.storage import small_batches, stored
+from climora.llm.storage import one_text_per_id, small_batches, stored
 
 BUCKETS = 1 << 20
 #: Bound on the labelled rows that the machine is fitted on, as the fit runs on the driver.
@@ -104,7 +104,7 @@ def fit_toxicity(
 ) -> Machine:
     """A machine fitted on the labelled documents, ``max_rows`` of them at most, chosen by a hash of the id.
 
-    Ids with several labels count as 1 if any is; labels that are null, or without a document, are left
+    Ids with several labels count as 1 if any is, of several texts of an id that with the smallest hash counts; labels that are null, or without a document, are left
     out. Without labelled rows the machine scores one half. At most ``features`` buckets, those of the
     largest chi-square that three documents hold, enter the machine.
     """
@@ -117,8 +117,9 @@ def fit_toxicity(
     )
     chosen = F.broadcast(stored(sample, "toxicity-sample"))  # max_rows pairs of numbers at most
     terms = stored(
-        docs.select(F.col(id_col).cast("long").alias("_climora_id"), F.col(text_col).alias("text"))
-        .join(chosen, "_climora_id").select(F.col("_climora_label").alias("label"), _terms("text").alias("terms")),
+        one_text_per_id(docs, id_col, text_col).join(chosen, "_climora_id")
+        .groupBy("_climora_id", "_climora_label").agg(F.min_by("text", "_climora_hash").alias("text"))
+        .select(F.col("_climora_label").alias("label"), _terms("text").alias("terms")),
         "toxicity-terms",
     )
     totals = terms.agg(F.count("*"), F.sum("label")).first()
@@ -149,7 +150,7 @@ def fit_toxicity(
 
 
 def score_column(text_col: str, machine: Machine):
-    """The score of a text column, 0 to 1; null and empty texts have that of no terms."""
+    """The score of a text column, 0 to 1; null and empty texts have that of no terms, and bytes that are no UTF-8 read as the replacement character."""
 
     @pandas_udf(DoubleType())
     def score(texts):
@@ -157,7 +158,7 @@ def score_column(text_col: str, machine: Machine):
 
         return pd.Series([machine.score(t) for t in texts], dtype=float)
 
-    return score(F.col(text_col))
+    return score(F.make_valid_utf8(text_col))
 
 
 def held_out(id_col: str):

@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from climora.llm.storage import new_folder, small_batches, stored
+from climora.llm.storage import new_folder, parts_for, small_batches, stored
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Bytes of records after which a new package begins, and records that are read with one range.
 PACKAGE_BYTES = 32 << 20
+# Bytes of packages that one task reads records from.
+BYTES_PER_TASK = 16 << 20
 RANGE_RECORDS = 128
 # Fixed values of the ZIP format: signatures, and the value that refers to the ZIP64 field.
 _END, _END64, _LOCATOR64, _CENTRAL, _LOCAL = 0x06054B50, 0x06064B50, 0x07064B50, 0x02014B50, 0x04034B50
@@ -183,7 +185,7 @@ def _packages(folder: str, package_bytes: int):
                 first = response == id_
                 coded = base64.b32encode(bytes.fromhex(digest)).decode()
                 raw = record_bytes(
-                    "response" if first else "revisit", _id(id_), uri or "", coded, length, (payload or "").encode() if first else None,
+                    "response" if first else "revisit", _id(id_), uri or "", coded, length, payload or b"" if first else None,
                     None if first else _id(response),
                 )
                 data = gzip.compress(raw, 4, mtime=0)
@@ -205,16 +207,17 @@ def write_packages(
     """Writes a record per row below ``folder``; gives the stored list of packages (path, size, records).
 
     Of rows whose payloads are equal and have ``least_bytes`` at least, that with the largest id becomes a response and the others
-    revisit it; rows that repeat that id are responses too. A null payload is empty; a null id is smaller than any other and
+    revisit it; rows that repeat that id are responses too. A null payload is empty, bytes that are no UTF-8 stay as they are (in urls they are replaced); a null id is smaller than any other and
     null urls are empty. An empty table writes nothing.
     """
     small_batches(pages.sparkSession)
-    payload = F.coalesce(F.col(payload_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("uri"), F.col(payload_col).alias("payload")).withColumns(
-        {"digest": F.sha1(payload.cast("binary")), "length": F.octet_length(payload).cast("long")}
+    payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
+    uri = F.make_valid_utf8(url_col).alias("uri")
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), uri, F.col(payload_col).cast("binary").alias("payload")).withColumns(
+        {"digest": F.sha1(payload), "length": F.octet_length(payload).cast("long")}
     ) if payload_col == "payload" else pages.select(
-        F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("uri"), F.col(payload_col).alias("payload"),
-        F.sha1(payload.cast("binary")).alias("digest"), F.octet_length(payload).cast("long").alias("length"),
+        F.col(id_col).cast("long").alias("id"), uri, F.col(payload_col).cast("binary").alias("payload"),
+        F.sha1(payload).alias("digest"), F.octet_length(payload).cast("long").alias("length"),
     )
     keys = stored(rows.select("id", "digest", "length"), "warc-digests")
     first = stored(keys.where(F.col("length") >= least_bytes).groupBy("digest").agg(F.max("id").alias("response")), "warc-responses")
@@ -284,7 +287,11 @@ def read_packages(packages: DataFrame) -> DataFrame:
     """
     spread = packages.select("path").repartition("path")
     ranges = spread.mapInArrow(_ranges, "path string, at array<long>, length array<long>")
-    return ranges.repartition(F.col("path"), F.col("at")[0]).mapInArrow(
+    place = (F.col("path"), F.col("at")[0])
+    # The ranges are tiny, what they stand for is not: tasks by the bytes of the packages, where these are known.
+    size = packages.agg(F.sum("size")).first()[0] if "size" in packages.columns else None
+    dealt = ranges.repartition(*place) if size is None else ranges.repartition(parts_for(size, BYTES_PER_TASK), *place)
+    return dealt.mapInArrow(
         _read,
         "path string, place long, kind string, record_id string, uri string, digest string, length long, refers_to string, payload binary",
     )
