@@ -45,13 +45,18 @@ def test_equals_brute_force(spark, monkeypatch, seed, block):
     assert found == brute(rows)
 
 
-def test_recall_is_whole_on_given_vectors(spark):
-    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+def test_recall_is_whole_on_given_vectors_and_their_neighbours(spark):
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").toPandas()
+    x = np.array(given.embedding.tolist(), np.float32)
+    rng = np.random.default_rng(8)
+    near = x[::5] + rng.normal(size=x[::5].shape) * np.linalg.norm(x[::5], axis=1, keepdims=True) * rng.uniform(0.2, 0.7, (len(x[::5]), 1)) / np.sqrt(x.shape[1])
+    x = np.concatenate((x, near.astype(np.float32)))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
     found = E.embedding_groups(table).toPandas().sort_values("vec_id")
-    x = np.array(table.orderBy("vec_id").toPandas().embedding.tolist(), float)
+    x = x.astype(float)
     x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
     links = np.concatenate([(x[a : a + 1000] @ x.T >= 0.9).sum(axis=1) - 1 for a in range(0, len(x), 1000)])
-    assert (links == found.n_links.to_numpy()).all() and links.sum() > 0
+    assert (links == found.n_links.to_numpy()).all() and 100 < links.sum() < 2 * len(near)
 
 
 def test_cases(spark):
