@@ -211,7 +211,28 @@ def _regional_sql(unit: str, granularity: str) -> str:
 _MAINTAINED_SQL = f"{_regional_sql('week', 'weekly')} UNION ALL {_regional_sql('month', 'monthly')}"
 
 
+def mart_by_state(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart in folders by state and month, of which a span was refreshed; two states are read."""
+    path = _folder(spark, "mart-states")
+    built = all_models(spark, sf)
+    places = jobs.state_places(built)
+    sinks.publish_model(built[MART], path, MART, *places)
+    warmer = built["fct_daily_climate"].withColumn("avg_temp", F.col("avg_temp") + 1)
+    first, last = ((d.year, d.month) for d in RANGE)
+    jobs.refresh_mart(built["fct_respiratory_admissions"], warmer, built["municipality_station_mapping"], path, first, last, places)
+    return tables.read_mart(spark, path, states=("PR", "XX"))
+
+
+_MART_BY_STATE_SQL = f"""SELECT m.* REPLACE (
+        CASE WHEN date_day BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' THEN avg_temp + 1 ELSE avg_temp END AS avg_temp),
+        CAST(date_trunc('month', date_day) AS DATE) AS mart_month
+    FROM {MART} m LEFT JOIN dim_location l ON m.fk_municipality = l.ibge_code
+        LEFT JOIN ({STATION_LATEST_SQL}) s ON m.station_code = s.station_code
+    WHERE coalesce(l.state, s.state) IN ('PR', 'XX')"""
+
+
 QUERIES = {
+    "mart_by_state": (mart_by_state, sql(_MART_BY_STATE_SQL, MART, "dim_location")),
     "mart_snapshot": (mart_snapshot, sql(_MART_SNAPSHOT_SQL, MART)),
     "admissions_republished": (admissions_republished, sql(_STORED_AGAIN_SQL, "raw_admissions")),
     "admissions_change_log": (admissions_change_log, sql(_CHANGE_LOG_SQL, "raw_admissions")),

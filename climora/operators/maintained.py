@@ -21,7 +21,6 @@ from climora.sources import snapshots
 
 GRANULARITIES = ("weekly", "monthly")
 MONTH = "mart_month"
-_STORED_MART = T.StructType([*MART, T.StructField(MONTH, T.DateType())])
 PARTS = T.StructType(
     [
         T.StructField("granularity", T.StringType()),
@@ -68,10 +67,13 @@ def maintain_regional(
     known = done.get("mart") in snapshots.snapshot_numbers(spark, mart) and done.get("places") == places
     before = snapshots.snapshot(spark, mart, done["mart"]).folders if known else {}
     stale = (set(held.folders) if held else set()) if not known else set()
-    differ = {f for f in {*before, *current.folders} if before.get(f) != current.folders.get(f)} | stale
+    # The last part of a folder of the mart is its month, whether or not it lies in one of a state.
+    differ = {f.rsplit("/", 1)[-1] for f in {*before, *current.folders} if before.get(f) != current.folders.get(f)} | stale
     if not differ:
         return []
-    rows = snapshots.read_snapshot(spark, mart, _STORED_MART, snapshots.narrowed(current, differ))
+    changed = snapshots.narrowed(current, [f for f in current.folders if f.rsplit("/", 1)[-1] in differ])
+    by_state = [T.StructField("state", T.StringType())] if "state" in current.by else []
+    rows = snapshots.read_snapshot(spark, mart, T.StructType([*MART, *by_state, T.StructField(MONTH, T.DateType())]), changed).drop("state")
     parts = monthly_parts(rows, locations, stations)
     written = snapshots.write_beside(parts, output, (MONTH,))
     gone = differ - set(written.folders)

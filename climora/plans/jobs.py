@@ -243,11 +243,11 @@ STORED = (
 )
 
 
-def build_models(spark: SparkSession, sources: Sources, output: str, as_of: date) -> Models:
+def build_models(spark: SparkSession, sources: Sources, output: str, as_of: date, by_state: bool = False) -> Models:
     """Build all models, publish the marts under ``output``, and every one as a view.
 
     The stored marts come facts first, so the mart reads the stored facts and computes none twice. Facts and mart are
-    stored by month, as ``refresh_mart`` wants them. Each is a published table: readers see the old model until the new one is
+    stored by month, as ``refresh_mart`` wants them, or by state and month (``by_state``). Each is a published table: readers see the old model until the new one is
     complete, and the models returned stay those of this build.
     """
     built = Models(
@@ -257,12 +257,18 @@ def build_models(spark: SparkSession, sources: Sources, output: str, as_of: date
         tables.read_station_mapping(spark, sources.station_mapping),
         marts.dim_date(spark, as_of),
     )
+    places = state_places(built) if by_state else (None, None)
     for name in STORED:
-        built.replace(name, sinks.publish_model(built[name], f"{output}/{name}", name))
+        built.replace(name, sinks.publish_model(built[name], f"{output}/{name}", name, *places))
     sinks.publish_views(built)
     return built
 
 
+def state_places(built: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Municipalities and stations with their states, one row each, as the layout by state wants them."""
+    return built["dim_location"], marts.latest_station_attributes(built["stg_inmet__daily_climate"])
+
+
 def refresh_mart(
     admissions_fact: DataFrame,
     climate_fact: DataFrame,
@@ -270,19 +276,27 @@ def refresh_mart(
     path: str,
     first: tuple[int, int],
     last: tuple[int, int],
+    places: tuple[DataFrame, DataFrame] | None = None,
 ) -> int:
     """Rebuild the months ``first`` to ``last`` of a published mart (``build_models``, ``write_mart``), leaving the others.
 
     Both facts are cut to those months before they are aggregated and joined. A month that has no
     rows any more is emptied. Readers see all months as before, or all as rebuilt; when another refresh has published
-    one of these months meanwhile, nothing is changed and ``ConcurrentChange`` is raised.
+    one of these months meanwhile, nothing is changed and ``ConcurrentChange`` is raised. A mart stored by state needs
+    ``places`` (``state_places``).
     """
     months = month_range(first, last)
     start = date(*months[0], 1)
     end = date(*months[-1], monthrange(*months[-1])[1])
     base = snapshots.snapshot(climate_fact.sparkSession, path)
     rows = marts.correlation_mart(admissions_fact, climate_fact, mapping, start, end)
-    return sinks.write_mart(rows, path, [sinks.folder_name("mart_month", date(*m, 1)) for m in months], base)
+    if base is not None and "state" in base.by:
+        if places is None:
+            raise ValueError("the mart is stored by state: places are needed to tell the state of its rows")
+        rows = sinks.with_state(rows, "mart_climate_health_correlation", *places)
+    spanned = {sinks.folder_name("mart_month", date(*m, 1)) for m in months}
+    emptied = {f for f in (base.folders if base else ()) if f.rsplit("/", 1)[-1] in spanned}
+    return sinks.write_mart(rows, path, emptied, base)
 
 
 def maintain_rollups(spark: SparkSession, mart: str, output: str, locations: DataFrame, stations: DataFrame) -> list[str]:

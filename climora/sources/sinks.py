@@ -94,9 +94,25 @@ def with_mart_month(mart: DataFrame) -> DataFrame:
     return mart.withColumn("mart_month", month_start(F.col("date_day")))
 
 
+def with_state(rows: DataFrame, name: str, locations: DataFrame, stations: DataFrame) -> DataFrame:
+    """Adds the state that a row of a fact or the mart belongs to: its municipality's, else its station's; NULL if neither is known.
+
+    ``locations`` holds ibge_code and state, ``stations`` station_code and state, both one row per place.
+    """
+    municipality, station = MODEL_PLACES[name]
+    state, joined = [], rows
+    for column, places, code in ((municipality, locations, "ibge_code"), (station, stations, "station_code")):
+        if column is not None:
+            known = places.select(F.col(code).alias(f"{code}_of"), F.col("state").alias(f"{code}_state"))
+            joined = joined.join(known, F.col(column) == F.col(f"{code}_of"), "left").drop(f"{code}_of")
+            state.append(f"{code}_state")
+    return joined.withColumn("state", F.coalesce(*state)).drop(*state)
+
+
 def write_mart(mart: DataFrame, path: str, emptied: Iterable[str] = (), base: snapshots.Snapshot | None = None) -> int:
-    """Publish the mart by month of its day; replaces the months it holds."""
-    return snapshots.replace_folders(with_mart_month(mart), path, ("mart_month",), emptied, base=base)
+    """Publish the mart by month of its day, or by state and month if it carries a state; replaces the folders it holds."""
+    by = ("state", "mart_month") if "state" in mart.columns else ("mart_month",)
+    return snapshots.replace_folders(with_mart_month(mart), path, by, emptied, base=base)
 
 
 def land_admissions(records: DataFrame, path: str, order: str) -> None:
@@ -130,11 +146,24 @@ MODEL_DAYS = {
 }
 
 
-def publish_model(rows: DataFrame, path: str, name: str) -> DataFrame:
-    """Publish a whole model, and give its rows as published."""
+# Columns of these models that name a municipality and a station.
+MODEL_PLACES = {
+    "fct_respiratory_admissions": ("fk_municipality", None),
+    "fct_daily_climate": (None, "fk_station"),
+    "mart_climate_health_correlation": ("fk_municipality", "station_code"),
+}
+
+
+def publish_model(
+    rows: DataFrame, path: str, name: str, locations: DataFrame | None = None, stations: DataFrame | None = None
+) -> DataFrame:
+    """Publish a whole model, and give its rows as published. With places, facts and mart lie in folders by state and month."""
     folder, day = MODEL_DAYS.get(name, (None, None))
     by = (folder,) if folder else ()
     dealt = rows.withColumn(folder, month_start(F.col(day))) if folder else rows
+    if folder and locations is not None:
+        dealt, by = with_state(dealt, name, locations, stations), ("state", folder)
+        dealt = dealt.select(*rows.columns, *by)
     held = snapshots.replace_table(dealt, path, by)
     return snapshots.read_snapshot(rows.sparkSession, path, dealt.schema, held).select(*rows.columns)
 

@@ -70,9 +70,23 @@ def read_admissions(spark: SparkSession, root: str, number: int | None = None) -
     return read_published(spark, root, schemas.ADMISSIONS, number)
 
 
-def read_mart(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
-    """The mart as published by month; ``mart_month`` stays, as filters on it skip folders."""
-    return read_published(spark, root, T.StructType([*schemas.MART, T.StructField("mart_month", T.DateType())]), number)
+def read_mart(
+    spark: SparkSession, root: str, number: int | None = None, states: Iterable[str] | None = None
+) -> DataFrame:
+    """The mart as published by month, or by state and month; ``mart_month`` stays, as filters on it skip folders.
+
+    ``states`` needs a mart by state, of which only their folders are read.
+    """
+    schema = T.StructType([*schemas.MART, T.StructField("mart_month", T.DateType())])
+    held = snapshot(spark, root, number)
+    if held is None or "state" not in held.by:
+        if states is not None:
+            raise ValueError(f"{root} is not stored by state")
+        return read_published(spark, root, schema, number)
+    rows = read_snapshot(spark, root, T.StructType([*schemas.MART, T.StructField("state", T.StringType()), schema["mart_month"]]), held)
+    if states is not None:
+        rows = rows.filter(F.col("state").isin(*states))
+    return rows.select(*schema.names)
 
 
 def folders_below(spark: SparkSession, root: str, *columns: str) -> list[tuple[str, ...]]:

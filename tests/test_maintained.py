@@ -72,7 +72,7 @@ def test_only_changed_months_are_read(spark, tmp_path, monkeypatch):
     jobs.maintain_rollups(spark, mart, output, places, stations)
     sinks.write_mart(rows(spark, 5, (2,)).where("date_day IS NOT NULL"), mart)
     read, seen = snapshots.read_snapshot, []
-    monkeypatch.setattr(snapshots, "read_snapshot", lambda s, p, schema, held, *a: seen.append(set(held.folders)) or read(s, p, schema, held, *a))
+    monkeypatch.setattr(snapshots, "read_snapshot", lambda s, p, schema, held: seen.append(set(held.folders)) or read(s, p, schema, held))
     jobs.maintain_rollups(spark, mart, output, places, stations)
     assert seen == [{"mart_month=2024-02-01"}]
 
@@ -122,3 +122,32 @@ def test_a_run_that_is_overtaken_changes_nothing(spark, tmp_path, monkeypatch):
 def test_other_granularities_are_not_stored(spark, tmp_path):
     with pytest.raises(ValueError):
         maintained.read_regional(spark, str(tmp_path), "daily")
+
+
+def test_a_mart_by_state(spark, tmp_path):
+    mart, output, plain = (str(tmp_path / n) for n in ("mart", "series", "plain"))
+    places, stations = dims(spark)
+    whole = rows(spark, 1)
+    name = "mart_climate_health_correlation"
+    sinks.publish_model(whole, mart, name, places, stations)
+    sinks.write_mart(whole, plain)
+    assert all(f.startswith("state=") and "/mart_month=" in f for f in snapshots.snapshot(spark, mart).folders)
+    assert len(jobs.maintain_rollups(spark, mart, output, places, stations)) == 4
+    holds(spark, mart, output, places, stations)
+    fresh = sinks.with_state(rows(spark, 2, (2,)).where("date_day IS NOT NULL"), name, places, stations)
+    gone = [f for f in snapshots.snapshot(spark, mart).folders if f.endswith("mart_month=2024-02-01")]
+    sinks.write_mart(fresh.where("state = 'PR'"), mart, emptied=gone, base=snapshots.snapshot(spark, mart))
+    assert jobs.maintain_rollups(spark, mart, output, places, stations) == ["mart_month=2024-02-01"]
+    holds(spark, mart, output, places, stations)
+    some = tables.read_mart(spark, mart, states=("PR", "GO"))
+    assert some.columns == tables.read_mart(spark, plain).columns
+    assert "PartitionFilters: [state" in some._jdf.queryExecution().executedPlan().toString()
+    assert {r.fk_municipality for r in some.collect()} <= {"1", "3", None}
+    with pytest.raises(ValueError, match="by state"):
+        tables.read_mart(spark, plain, states=("PR",))
+    with pytest.raises(ValueError, match="places"):
+        jobs.refresh_mart(
+            spark.createDataFrame([], "aih_number string, fk_date date, fk_municipality string, admission_count int, total_aih_value double, length_of_stay int"),
+            spark.createDataFrame([], "fk_date date, fk_station string, avg_temp double, min_temp double, max_temp double, avg_relative_humidity double, total_precipitation double"),
+            spark.createDataFrame([], schemas.STATION_MAPPING), mart, (2024, 2), (2024, 2),
+        )
