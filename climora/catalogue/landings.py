@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from climora.catalogue import inputs
 from climora.catalogue.ingestion import CODE_LIST, station_head
 from climora.catalogue.inputs import DIAGNOSIS, MUNICIPALITIES, sql, table
+from climora.operators import monitoring
 from climora.params import AdmissionsRun, ClimateRun
 from climora.plans import jobs
+from climora.schemas import RAW_ADMISSIONS
 from climora.session import shared_folder
 from climora.sources import sinks, tables
 from climora.sources.archive_members import open_store
@@ -151,7 +153,32 @@ def _report_sql(name: str, where: str) -> str:
 _RUN_REPORT_SQL = f"""{_report_sql("all", "true")} UNION ALL {_report_sql("window", "state = 'PR' AND competence BETWEEN '1995-03' AND '1997-02'")}"""
 
 
+# What a source might change from one month to the next.
+_DOUBLE, _WITHOUT = "1995-07", "1996-05"
+
+
+def landing_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """A landing of which two competences have files of another make, as their footers tell."""
+    landing = _folder(spark, "landing-drift")
+    records = inputs.raw_admissions(spark, sf)
+    sinks.land_admissions(records, landing, order="source_row")
+    plain = records.select(*RAW_ADMISSIONS.names)
+    for rows, competence in (
+        (plain.withColumn("VAL_TOT", F.expr("try_cast(VAL_TOT AS double)")), _DOUBLE),
+        (plain.drop("DIAS_PERM").withColumn("SEXO", F.lit("1")), _WITHOUT),
+    ):
+        again = rows.filter(F.col("competence") == competence)
+        again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("state", "competence").parquet(landing)
+    return monitoring.file_drift(spark, landing, RAW_ADMISSIONS, ("state", "competence"))
+
+
+_DRIFT_SQL = f"""SELECT v."column", v.expected_type, v.actual_type, count(DISTINCT r.state) AS folders FROM (VALUES
+    ('VAL_TOT', 'string', 'double', '{_DOUBLE}'), ('DIAS_PERM', 'string', NULL, '{_WITHOUT}'), ('SEXO', NULL, 'string', '{_WITHOUT}')
+    ) AS v("column", expected_type, actual_type, competence) JOIN raw_admissions r ON r.competence = v.competence GROUP BY ALL"""
+
+
 QUERIES = {
+    "landing_drift": (landing_drift, sql(_DRIFT_SQL, "raw_admissions")),
     "admissions_run_report": (admissions_run_report, sql(_RUN_REPORT_SQL, "raw_admissions")),
     "archive_years": (archive_years, _ARCHIVE_YEARS_SQL),
     "seed_locations": (seed_locations, sql(_SEEDS_SQL, "municipalities", "municipality_station_mapping")),

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from climora.sources.archive_members import open_store
+
 
 def volume_anomalies(
     rows: DataFrame,
@@ -135,3 +140,46 @@ def freshness(rows: DataFrame, day: str, as_of: date, limit_days: int) -> DataFr
         age.alias("age_days"),
         F.coalesce(age > limit_days, F.lit(True)).alias("is_stale"),
     )
+
+
+# Types of Parquet columns, as Arrow names them, by Spark's names.
+_TYPES = {
+    "string": "string", "large_string": "string", "double": "double", "float": "float", "int32": "int", "int64": "bigint",
+    "int16": "smallint", "int8": "tinyint", "bool": "boolean", "date32[day]": "date", "binary": "binary",
+}
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns of each file, from its footer."""
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            store, inside = open_store(path)
+            with store.open_input_file(inside) as file:
+                found = pq.read_schema(file)
+            rows = [(path, f.name, _TYPES.get(str(f.type), str(f.type))) for f in found]
+            yield pa.RecordBatch.from_pydict({n: [r[i] for r in rows] for i, n in enumerate(("path", "column", "actual_type"))}, _FOOTER)
+
+
+_FOOTER = pa.schema([("path", pa.string()), ("column", pa.string()), ("actual_type", pa.string())])
+
+
+def file_drift(spark: SparkSession, root: str, expected: T.StructType, folders: tuple[str, ...] = ()) -> DataFrame:
+    """Columns of stored Parquet files that are missing, unexpected, or of another type: column, expected_type, actual_type, folders.
+
+    Reading a table with a stated schema hides these: a missing column is NULL, an unexpected one is not read. Every file's
+    footer is read, by tasks, and nothing else of it; ``folders`` counts the folders whose files differ in that way. Columns that
+    ``root`` holds as folders are named, as files do not have them. Files are opened by Arrow's file systems.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root).select("path")
+    found = files.mapInArrow(_footers, "path string, column string, actual_type string")
+    want = {f.name: f.dataType.simpleString() for f in expected if f.name not in folders}
+    known = spark.createDataFrame(sorted(want.items()), "column string, expected_type string")
+    per_file = found.withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
+    odd = per_file.join(known, "column", "left").where(~F.col("expected_type").eqNullSafe(F.col("actual_type")))
+    names = per_file.groupBy("path", "folder").agg(F.collect_set("column").alias("have"))
+    wanted = F.array(*[F.struct(F.lit(n).alias("column"), F.lit(t).alias("expected_type")) for n, t in sorted(want.items())])
+    missing = names.select("folder", "have", F.inline(wanted)).where(~F.array_contains("have", F.col("column")))
+    both = odd.select("column", "expected_type", "actual_type", "folder").unionByName(
+        missing.select("column", "expected_type", F.lit(None).cast("string").alias("actual_type"), "folder")
+    )
+    return both.groupBy("column", "expected_type", "actual_type").agg(F.countDistinct("folder").alias("folders"))

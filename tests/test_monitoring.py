@@ -3,6 +3,7 @@ import statistics
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import types as T
 
 from climora.operators import monitoring
 from climora.plans import jobs
@@ -94,3 +95,17 @@ def test_job_keeps_what_it_sees_per_day(spark, tmp_path):
     assert {r.kind for r in later.collect()} <= {"low"}
     again = jobs.watch_feeds([jobs.Feed("new", steady, "day", "g", 5)], path, AS_OF, FIRST)
     assert again.count() == 0  # the second run of a day replaces the first
+
+
+def test_drift_is_read_from_every_file(spark, tmp_path):
+    expected = T.StructType([T.StructField(n, T.StringType()) for n in ("a", "b", "part")])
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("1", "2", "x"), ("1", "2", "y")], expected).write.partitionBy("part").parquet(path)
+    assert monitoring.file_drift(spark, path, expected, ("part",)).count() == 0
+    # One file of a folder among others of the right make.
+    spark.createDataFrame([(1, "x")], "a int, part string").write.mode("append").partitionBy("part").parquet(path)
+    spark.createDataFrame([("1", 2.0, True, "z")], "a string, b double, c boolean, part string").write.mode("append").partitionBy("part").parquet(path)
+    found = {(r.column, r.expected_type, r.actual_type): r.folders for r in monitoring.file_drift(spark, path, expected, ("part",)).collect()}
+    assert found == {
+        ("a", "string", "int"): 1, ("b", "string", None): 1, ("b", "string", "double"): 1, ("c", None, "boolean"): 1,
+    }
