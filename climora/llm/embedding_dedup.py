@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from climora.llm.components import components
 from climora.llm.storage import small_batches, stored
 
-#: Bounds of the sample that the centres are fitted on, of the number of centres, and of a block's rows.
+#: Bounds of the sample that the centres are fitted on, of the number of centres, and of a block's rows and bytes (in doubles).
 SAMPLE_ROWS = 20_000
 MOST_CELLS = 4096
 BLOCK_ROWS = (256, 16_384)
+BLOCK_BYTES = 64 << 20
 _ROWS = 1024  # of a product at a time
 _SLACK = 1e-9
 
@@ -105,6 +106,12 @@ def _visits(centres: dict[int, tuple[int, np.ndarray]], threshold: float, neares
     return visit
 
 
+def _block_rows(n: int, longest: int) -> int:
+    """Rows of a block when ``n`` vectors of up to ``longest`` components are compared; long vectors make for short blocks."""
+    rows = max(BLOCK_ROWS[0], min(BLOCK_ROWS[1], int(10 * math.sqrt(n))))
+    return max(1, min(rows, BLOCK_BYTES // (8 * longest)))
+
+
 def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Component numbers of the rows and columns of a table of links."""
     rows, cols = np.arange(linked.shape[0]), np.arange(linked.shape[1]) + linked.shape[0]
@@ -171,7 +178,7 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if not lengths:
         return each.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     n = sum(lengths.values())
-    block = max(BLOCK_ROWS[0], min(BLOCK_ROWS[1], int(10 * math.sqrt(n))))
+    block = _block_rows(n, max(lengths))
     cells = min(MOST_CELLS, -(-n // block))
     centres, n_cells = {}, 0  # by length: the number of its first cell, and its centres
     for length, many in lengths.items():

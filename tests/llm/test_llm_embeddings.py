@@ -96,3 +96,12 @@ def test_every_length_is_compared_with_its_own(spark, monkeypatch, block):
     found = sorted(tuple(r) for r in E.embedding_groups(frame).select("vec_id", "n_links", "component_id", "kept").collect())
     assert found == brute(rows)
     assert sum(r[1] for r in found if 1000 <= r[0] < 2000) > 0 and (2001, 1, 2000, False) in found
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    assert E._block_rows(10**9, 64) == 16_384 and E._block_rows(10**9, 4096) == 2048 and E._block_rows(100, 64) == 256
+    assert E._block_rows(10**9, 10**8) == 1
+    monkeypatch.setattr(E, "BLOCK_BYTES", 8 * 8 * 5)
+    rows = vectors(2)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(tuple(r) for r in E.embedding_groups(frame).select("vec_id", "n_links", "component_id", "kept").collect()) == brute(rows)
