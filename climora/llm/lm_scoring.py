@@ -38,24 +38,49 @@ def words_of(text: str | None) -> np.ndarray:
     return np.fromiter((crc(w) & BUCKETS - 1 for w in words), np.int64, len(words))
 
 
+def _numbers(held: bytes) -> np.ndarray:
+    """Buckets of a text as they are stored: two bytes per word."""
+    return np.frombuffer(held, "<u2").astype(np.int64)
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        held = [words_of(t).astype("<u2").tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("slice"), pa.array(held, pa.binary())], ["id", "slice", "held"])
+
+
+def bucketed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slices: int = SLICES) -> DataFrame:
+    """The buckets of all documents (id, slice, held), stored: texts are taken apart once, for counting, training and scoring."""
+    plain = docs.select(
+        F.col(id_col).alias("id"), F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int").alias("slice"), F.make_valid_utf8(text_col).alias("text")
+    )
+    kind = plain.schema["id"].dataType.simpleString()
+    return stored(plain.mapInArrow(_held, f"id {kind}, slice int, held binary"), "lm-buckets", "slice")
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            np.add.at(total, words_of(text), 1)
+        for held in batch.column("held").to_pylist():
+            np.add.at(total, _numbers(held), 1)
     met = np.nonzero(total)[0]
     yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], ["bucket", "n"])
 
 
-def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """How often each bucket is in all documents; each task sends one row per bucket it has met."""
-    rows = docs.select(F.make_valid_utf8(text_col).alias("text")).mapInArrow(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+def _sums(rows: DataFrame) -> np.ndarray:
+    sums = rows.select("held").mapInArrow(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(BUCKETS, np.int64)
-    for row in rows.collect():  # BUCKETS rows at most
+    for row in sums.collect():  # BUCKETS rows at most
         out[row.bucket] = row.n
     return out
 
 
+def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """How often each bucket is in all documents; each task sends one row per bucket it has met."""
+    plain = docs.select(F.lit(0).alias("id"), F.lit(0).alias("slice"), F.make_valid_utf8(text_col).alias("text"))
+    return _sums(plain.mapInArrow(_held, "id int, slice int, held binary"))
+
+
 def classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The class of each bucket, and the log-probability of the bucket within it (one added to each count)."""
     order = np.lexsort((np.arange(len(counts)), -counts))
@@ -132,22 +157,13 @@ def train(flat: np.ndarray, target: np.ndarray, around: np.ndarray, rate: float,
             w -= rate * g / (np.sqrt(s) + 1e-6)
 
 
-def _classed(of: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [of[words_of(t)].astype(np.uint8).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(held, pa.binary())], ["slice", "held"])
-
-    return run
-
-
-def _trained(flat: np.ndarray, rate: float):
+def _trained(flat: np.ndarray, of: np.ndarray, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, squares, seen = flat.copy(), np.full(len(flat), 1e-4, np.float32), 0
         for batch in batches:
             held = batch.column("held").to_pylist()
             for at in range(0, len(held), 64):
-                target, around = _windows([np.frombuffer(h, np.uint8).astype(np.int64) for h in held[at : at + 64]])
+                target, around = _windows([of[_numbers(h)] for h in held[at : at + 64]])
                 order = np.random.default_rng(seen).permutation(len(target))
                 train(own, target[order], around[order], rate, squares)
                 seen += len(target)
@@ -162,30 +178,34 @@ def _trained(flat: np.ndarray, rate: float):
 
 def fit_network(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", text_col: str = "text", slices: int = SLICES, rounds: int | None = None) -> np.ndarray:
     """Weights trained on each of ``slices`` slices, or the first ``rounds``; a weight is averaged over tasks by the words they have seen."""
+    rows = bucketed(docs, id_col, text_col, slices)
+    flat = _fitted(rows, counts, slices, rounds)
+    dropped(rows)
+    return flat
+
+
+def _fitted(rows: DataFrame, counts: np.ndarray, slices: int, rounds: int | None) -> np.ndarray:
     of, _ = classes(counts)
     flat = start_weights(counts, of)
-    rows = docs.select(F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int").alias("slice"), F.make_valid_utf8(text_col).alias("text"))
-    rows = stored(rows.mapInArrow(_classed(of), "slice int, held binary"), "lm-classes", "slice")  # a byte per word
     for turn in range(slices if rounds is None else rounds):
         part = rows.where(F.col("slice") == turn).select("held")
-        sums = part.mapInArrow(_trained(flat, 0.1 / (1 + turn)), "k int, sum double, n double").groupBy("k").agg(
+        sums = part.mapInArrow(_trained(flat, of, 0.1 / (1 + turn)), "k int, sum double, n double").groupBy("k").agg(
             (F.sum("sum") / F.sum("n")).alias("mean")
         )
         new = sums.collect()  # as many rows as the network has weights, none without words
         if new:
             flat = flat.copy()
             flat[[r.k for r in new]] = np.array([r.mean for r in new], np.float32)
-    dropped(rows)
     return flat
 
 
 def _scored(flat: np.ndarray, of: np.ndarray, within: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            held = batch.column("held").to_pylist()
             sizes, sums = [], []
-            for at in range(0, len(texts), 64):
-                words = [words_of(t) for t in texts[at : at + 64]]
+            for at in range(0, len(held), 64):
+                words = [_numbers(h) for h in held[at : at + 64]]
                 target, around = _windows([of[w] for w in words])
                 per_word = log_probabilities(flat, target, around) + within[np.concatenate(words)] if len(target) else np.zeros(0)
                 lengths = np.array([len(w) for w in words])
@@ -208,13 +228,12 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Bytes that are no UTF-8 read as the replacement character.
     """
     small_batches(docs.sparkSession)
-    counts = bucket_counts(docs, text_col)
+    rows = bucketed(docs, id_col, text_col, slices)
+    counts = _sums(rows)
     of, within = classes(counts)
-    flat = fit_network(docs, counts, id_col, text_col, slices, rounds)
-    id_kind = dict(docs.dtypes)[id_col]
-    scored = docs.select(F.col(id_col).alias("id"), F.make_valid_utf8(text_col).alias("text")).mapInArrow(
-        _scored(flat, of, within), f"id {id_kind}, n_words long, log_likelihood double"
-    )
+    flat = _fitted(rows, counts, slices, rounds)
+    id_kind = rows.schema["id"].dataType.simpleString()
+    scored = rows.select("id", "held").mapInArrow(_scored(flat, of, within), f"id {id_kind}, n_words long, log_likelihood double")
     return scored.select(
         F.col("id").alias(id_col), "n_words", "log_likelihood",
         F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("mean_log_likelihood"),

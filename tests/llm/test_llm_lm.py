@@ -29,7 +29,7 @@ def test_scores_equal_a_walk_over_the_words(spark):
     of, within = L.classes(counts)
     flat = L.fit_network(docs, counts, slices=2, rounds=2)
     text = {r.doc_id: r.text for r in docs.collect()}
-    rows = docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(L._scored(flat, of, within), "id long, n_words long, log_likelihood double").collect()
+    rows = L.bucketed(docs).select("id", "held").mapInArrow(L._scored(flat, of, within), "id long, n_words long, log_likelihood double").collect()
     assert len(rows) == docs.count()
     for r in rows:
         if len(text[r.id] or "") < 9000:
