@@ -26,7 +26,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
 from climora.llm.components import components
-from climora.llm.storage import parts_for, small_batches, stored
+from climora.llm.storage import parts_for, small_batches, stored, tidied
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -166,7 +166,7 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         raise ValueError(f"keys are complete up to {MAX_BITS} bits")
     known_prints = prints.where("rep IS NOT NULL")
     dealt = known_prints.repartition(parts_for(known_prints.count(), PRINTS_PER_TASK))  # each becomes some eighty rows
-    keyed = dealt.mapInArrow(_keyed, "key long, print long, rep long")
+    keyed = dealt.mapInArrow(tidied(_keyed), "key long, print long, rep long")
     ends = keyed.groupBy("key").agg(
         F.min(F.struct("rep", "print")).alias("low"), F.max(F.struct("rep", "print")).alias("high"),
         F.count("*").alias("members"),

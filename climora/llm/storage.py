@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,19 @@ def parts_for(rows: int, per_task: int) -> int:
     return max(1, -(-rows // per_task))
 
 
+def tidied(work):
+    """``work`` for ``mapInArrow``; afterwards the worker, which stays for later tasks, gives back the memory it has freed."""
+
+    def run(batches):
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def small_batches(spark) -> None:
     """Bound what a Python worker is given at once, by rows and bytes, as documents can be long.
 

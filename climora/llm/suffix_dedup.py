@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from climora.llm.storage import small_batches, stored
+from climora.llm.storage import small_batches, stored, tidied
 
 LENGTH = 100
 LEAD = 40
@@ -311,13 +311,13 @@ def _sorted_out(source: Callable, make: Callable, rows: float, texts: int, lengt
             )
 
     sample = (
-        source(f"pmod(xxhash64(id), {part}) = 0").mapInArrow(all_records, _RECORD)
+        source(f"pmod(xxhash64(id), {part}) = 0").mapInArrow(tidied(all_records), _RECORD)
         .orderBy(F.xxhash64("id", "packed")).limit(SAMPLE_ROWS).collect()
     )
     splitters = _splitters([tuple(r) for r in sample], buckets)
-    dealt = source("true").mapInArrow(_dealt(make, splitters, length), "bucket int, block binary")
+    dealt = source("true").mapInArrow(tidied(_dealt(make, splitters, length)), "bucket int, block binary")
     return stored(
-        dealt.repartitionById(buckets, F.col("bucket")).mapInArrow(_judged(length), _JUDGED), label
+        dealt.repartitionById(buckets, F.col("bucket")).mapInArrow(tidied(_judged(length)), _JUDGED), label
     )
 
 
@@ -416,7 +416,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     fields = [f for f in rows.schema.fields if not f.name.startswith("_climora_")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return joined.mapInArrow(_kept(length), f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(tidied(_kept(length)), f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def readable(kept_col: str):
