@@ -3,6 +3,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from climora.llm import quality_forest as Q
 from climora.llm.queries import op8_quality_forest
 from llm_cases import documents, empty, sentence, texts
@@ -104,3 +106,55 @@ def test_without_labels_or_rows(spark):
 def test_very_long_text_counts_once_per_window():
     text = sentence(random.Random(5), 40) + " "
     assert Q.counts(text * 50)[4] == 2000
+
+
+def test_every_labelled_row_counts(spark):
+    """The bad rows come last in the order of hashes by which 20,000 labelled rows were chosen before."""
+    order = [r.id for r in spark.range(20_300).orderBy(F.xxhash64("id")).collect()]
+    bad = set(order[-300:])
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(("##", "$%&", "||", "*")) for _ in range(30)) if i in bad else sentence(rng, 14)) for i in order]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i not in bad)) for i in order], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in Q.judge_quality(docs, labels).collect() if not r.base_failed}
+    assert bad & set(kept) and not any(kept[i] for i in bad & set(kept))
+    assert np.mean([k for i, k in kept.items() if i not in bad]) >= 0.995
+
+
+def _known(spark, good):
+    rows = [(i * 7 - 2**62, ok, 12 + i, *range(9)) for i, ok in enumerate(good)]
+    counted = ", ".join(f"{c} long" for c in Q.COUNTS)
+    return spark.createDataFrame(rows, f"id long, good boolean, {counted}").withColumn("place", F.xxhash64("id")).repartition(5)
+
+
+def test_trees_draw_from_all_rows(spark):
+    good = [i % 4 > 0 for i in range(2000)]
+    known = _known(spark, good)
+    hashes = {r.n_words - 12: r.place for r in known.collect()}
+    sent, takes = Q.drawn(known, 40, 16)
+    got = {}
+    for r in sent.collect():
+        got.setdefault(r.tree, []).append((r.place, r.n_words - 12))
+    assert takes == 16 and set(got) == set(range(40))
+    places = np.array([hashes[i] for i in range(2000)], np.int64).view(np.uint64)
+    fine = [i for i in range(2000) if good[i]]
+    for tree, rows in got.items():
+        order = np.array(fine)[np.argsort(Q.place_of(places[fine], np.array([tree])))]
+        first = [i for _, i in sorted(rows)[:takes]]
+        some = [i for i in first if good[i]]
+        assert some == order[: len(some)].tolist() and len(first) == takes
+    bad = sum(not good[i] for rows in got.values() for _, i in sorted(rows)[:takes])
+    assert 0 < bad < 0.06 * 40 * takes
+    assert len({i for rows in got.values() for _, i in sorted(rows)[:takes]}) > 400
+    sent, takes = Q.drawn(_known(spark, [False] * 9), 3, 16)
+    assert takes == 9 and sent.count() == 27
+
+
+@pytest.mark.parametrize("rows, levels, most_lost", [(3000, 7, 0.05), (3000, 10**6, 0.005), (3000, 900, 0.3), (5, 3, 0.0)])
+def test_threshold_equals_that_of_arrays(spark, rows, levels, most_lost):
+    rng = np.random.default_rng(rows + levels)
+    good = rng.random(rows) < 0.7
+    scores = np.round((rng.random(rows) + 0.4 * ~good) / 2 * levels) / levels
+    frame = spark.createDataFrame([(float(s), bool(g)) for s, g in zip(scores, good)], "anomaly double, good boolean").repartition(3)
+    assert Q.threshold(frame, most_lost) == Q.calibrated(scores, good, most_lost)
+    assert Q.threshold(frame.where("good"), most_lost) == 2.0
