@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from climora.llm.storage import parts_for, small_batches, stored
+from climora.llm.storage import parts_for, small_batches, stored, tidied
 
 CHUNK = 16_384
 GROUP = 64
@@ -565,12 +565,12 @@ def _giant_ids(giants: DataFrame, model_file: str, chunk: int) -> DataFrame:
     """Columns digest and ids for distinct texts (digest, text)."""
     key = [("digest", pa.string()), ("c", pa.int32())]
     chunks = stored(
-        giants.mapInArrow(_chunked(chunk, model_file), "digest string, c int, context string, body string, ahead string"), "pieces-chunks"
+        giants.mapInArrow(tidied(_chunked(chunk, model_file)), "digest string, c int, context string, body string, ahead string"), "pieces-chunks"
     )
     texts = ("context", "body", "ahead")
     matrices = stored(
         chunks.repartition("digest", "c").mapInArrow(
-            _per_chunk(lambda *t: _packed(transfer(pieces(model_file), *t)), [*key, ("block", pa.binary())], texts),
+            tidied(_per_chunk(lambda *t: _packed(transfer(pieces(model_file), *t)), [*key, ("block", pa.binary())], texts)),
             "digest string, c int, block binary",
         ),
         "pieces-matrices",
@@ -602,7 +602,7 @@ def _giant_ids(giants: DataFrame, model_file: str, chunk: int) -> DataFrame:
             ids = _lists(pieces(model_file), texts_)
             yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("c"), ids], ["digest", "c", "ids"])
 
-    traced = chunks.join(ends, ["digest", "c"]).mapInArrow(trace, "digest string, c int, ids array<int>")
+    traced = chunks.join(ends, ["digest", "c"]).mapInArrow(tidied(trace), "digest string, c int, ids array<int>")
     return traced.groupBy("digest").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("c", "ids"))), lambda x: x["ids"])).alias("ids")
     )
@@ -617,8 +617,10 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", out_col: st
     """
 
     @arrow_udf(_INTS)
-    def small(texts: pa.Array) -> pa.Array:
-        return _lists(pieces(model_file), map(normalised, texts.to_pylist()))
+    @tidied
+    def small(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield _lists(pieces(model_file), map(normalised, texts.to_pylist()))
 
     small_batches(docs.sparkSession)
     text = F.make_valid_utf8(text_col)

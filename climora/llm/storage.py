@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,8 +52,9 @@ def parts_for(rows: int, per_task: int) -> int:
 
 
 def tidied(work):
-    """``work`` for ``mapInArrow``; afterwards the worker, which stays for later tasks, gives back the memory it has freed."""
+    """``work`` for ``mapInArrow`` or as an iterator UDF; afterwards the worker, which stays for later tasks, gives back the memory it has freed."""
 
+    @wraps(work)
     def run(batches):
         yield from work(batches)
         pa.default_memory_pool().release_unused()

@@ -363,14 +363,20 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.unionByName(single).groupBy("id").agg(F.collect_list("packed").alias("ranges"))
 
 
-def _kept(length: int):
+def _readable(data: bytes) -> str:
+    return data.decode("utf-8", "ignore")
+
+
+def _kept(length: int, as_text: bool):
+    given = _readable if as_text else bytes
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
             out = []
             for text, ranges in zip(part.column("_climora_text").to_pylist(), part.column("_climora_ranges").to_pylist()):
                 data = text or b""
                 if not ranges:
-                    out.append((len(data), 0, 0, data))
+                    out.append((len(data), 0, 0, given(data)))
                     continue
                 packed = np.array(ranges, np.int64)
                 low = packed >> 14
@@ -381,9 +387,9 @@ def _kept(length: int):
                 np.add.at(depth, high[fits], -1)
                 gone = np.cumsum(depth[:-1]) > 0
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
-                out.append((len(data), int(gone.sum()), spans, np.frombuffer(data, np.uint8)[~gone].tobytes()))
+                out.append((len(data), int(gone.sum()), spans, given(np.frombuffer(data, np.uint8)[~gone].tobytes())))
             columns = zip(*out) if out else ([], [], [], [])
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string() if as_text else pa.binary())
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(
                 [c for n, c in zip(part.schema.names, part.columns) if not n.startswith("_climora_")] + arrays,
@@ -393,9 +399,14 @@ def _kept(length: int):
     return cut
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, carry: tuple[str, ...] = (), as_text: bool = False,
+) -> DataFrame:
     """``id_col``, the columns of ``carry``, n_bytes, n_removed, n_spans and kept (binary) of each document.
 
+    With ``as_text`` kept is a string, as ``readable`` makes it, from the same Python worker: a worker more for each core would stay for
+    the jobs that follow.
+
     Removes every byte in a string of ``length`` bytes that also starts earlier: in a document of
     smaller id, or earlier in the same. Strings are judged on the input. Null and empty texts, and
     those shorter than ``length``, keep all. A null id stands before all others. Rows that repeat an
@@ -416,7 +427,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     fields = [f for f in rows.schema.fields if not f.name.startswith("_climora_")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return joined.mapInArrow(tidied(_kept(length)), f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary")
+    kind = "string" if as_text else "binary"
+    return joined.mapInArrow(tidied(_kept(length, as_text)), f"{schema}, n_bytes long, n_removed long, n_spans long, kept {kind}")
 
 
 def readable(kept_col: str):
@@ -426,6 +438,6 @@ def readable(kept_col: str):
     def text(values):
         import pandas as pd
 
-        return pd.Series([None if v is None else bytes(v).decode("utf-8", "ignore") for v in values], dtype=object)
+        return pd.Series([None if v is None else _readable(bytes(v)) for v in values], dtype=object)
 
     return text(F.col(kept_col))

@@ -34,11 +34,11 @@ def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     row = F.struct(*[F.col(f"`{c}`") for c in others], F.col("text").isNull().alias("_climora_null"))
-    left = suffix_dedup.remove_repeats(docs.select("doc_id", "text", row.alias("_row")), length=100, carry=("_row",))
-    text = F.when(F.col("_row._climora_null"), F.lit(None)).otherwise(suffix_dedup.readable("kept"))
+    left = suffix_dedup.remove_repeats(docs.select("doc_id", "text", row.alias("_row")), length=100, carry=("_row",), as_text=True)
+    text = F.when(F.col("_row._climora_null"), F.lit(None)).otherwise(F.col("kept"))
     size = F.when(F.col("n_removed") == 0, F.col("_row.n_chars")).otherwise(F.char_length(text).cast("long")) if "n_chars" in others else None
     columns = {"doc_id": F.col("doc_id"), "text": text, "n_chars": size}
-    return left.where("n_removed = 0 OR octet_length(kept) > 0").select(
+    return left.where("n_removed = 0 OR n_removed < n_bytes").select(
         *[columns.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns]
     )
 

@@ -70,3 +70,18 @@ def test_near_copies_share_a_print_within_four_bits(spark, tables):
     apart = np.bitwise_count(prints[:, None] ^ prints[None, :])
     np.fill_diagonal(apart, 64)
     assert apart.min() > 4
+
+
+def test_stages_ask_for_one_python_worker_per_task(spark, tables):
+    """Where two steps in Python follow each other in a stage, each core has two workers from then on."""
+    plan = corpus_pipeline.cut_repeats(spark, documents(spark), tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+
+
+def test_characters_cut_in_two_are_left_out(spark, tables):
+    same = "ab" * 60
+    rows = [(1, "ü" + same, "s"), (2, "ý" + same, "s"), (3, "x" + same + "字", "s"), (4, same, "s"), (5, None, "s"), (6, "", "s")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = brute([(i, t) for i, t, _ in rows], 100)
+    want = [(i, None if t is None else left[i][3].decode("utf-8", "ignore")) for i, t, _ in rows if left[i][1] == 0 or left[i][3]]
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.cut_repeats(spark, frame, tables).collect()) == want
