@@ -8,15 +8,23 @@ from pyspark.sql import functions as F
 from climora.llm.storage import dropped, stored
 
 
-def _linked_to_smallest(pairs: DataFrame, keep: str) -> DataFrame:
-    """Every neighbour that passes ``keep`` is linked to the smallest node its ``node`` sees.
+def _smallest(pairs: DataFrame) -> DataFrame:
+    """The smallest node each ``node`` sees, and whether its neighbours are all larger or it has a single one (settled), written."""
+    low = F.min("other")
+    return stored(
+        pairs.groupBy("node").agg(
+            F.least("node", low).alias("low"), ((low > F.col("node")) | (low == F.max("other"))).alias("settled")
+        ),
+        "smallest",
+    )
+
+
+def _linked_to_smallest(pairs: DataFrame, smallest: DataFrame, keep: str) -> DataFrame:
+    """Every neighbour that passes ``keep`` is linked to the smallest node its ``node`` sees; ``smallest`` is removed.
 
-    The minima are written first: the join then shuffles both sides itself, and Spark can split a
+    The minima are written before: the join then shuffles both sides itself, and Spark can split a
     node that holds most of the pairs.
     """
-    smallest = stored(
-        pairs.groupBy("node").agg(F.least("node", F.min("other")).alias("low")), "smallest"
-    )
     linked = (
         pairs.where(keep)
         .join(smallest, "node")
@@ -37,7 +45,8 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
 
     ``links`` holds undirected links between integer ids, in any direction, repeated or not. Links of
     a node to itself and links with a null end are left out. No links give no rows. A path of n nodes
-    takes O(log n) rounds; each round is two aggregations and two joins over the links that are left.
+    takes O(log n) rounds; each round is two aggregations and two joins over the links that are left. The
+    minima of a round tell first whether all components are stars already, so no round is made only to see that nothing changes.
     """
     links = links.select(F.col(left).alias("node"), F.col(right).alias("other"))
     table = stored(
@@ -46,15 +55,15 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
         .distinct(),
         "links",
     )
-    seen = None
     while True:
-        now = table.agg(F.count("*"), F.expr("bit_xor(xxhash64(node, other))")).first()
-        if now == seen or now[0] == 0:
-            break
-        seen = now
         both = table.unionByName(table.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        large = _linked_to_smallest(both, "other > node")
-        small = _linked_to_smallest(large, "true")
+        smallest = _smallest(both)
+        # then each node is the centre of larger ones, or has only its centre
+        if smallest.agg(F.bool_and("settled")).first()[0] is not False:
+            dropped(smallest)
+            break
+        large = _linked_to_smallest(both, smallest, "other > node")
+        small = _linked_to_smallest(large, _smallest(large), "true")
         dropped(large)
         dropped(table)
         table = small

@@ -159,8 +159,8 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     ``prints`` holds distinct fingerprints (print, signed long) with the smallest id that has each
     (rep). Members of a key are first compared with the key's two outermost members. Keys whose
     members are by then in one component are done; in the others, members outside the key's largest
-    component are compared with all members of other components. Every pair that shares a key is
-    so either compared or already joined, and no group is spelled out as pairs.
+    component are compared with all members of other components, and what they find joins whole
+    components. Every pair that shares a key is so either compared or already joined, and no group is spelled out as pairs.
     """
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"keys are complete up to {MAX_BITS} bits")
@@ -178,11 +178,8 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     def near(a: str, b: str):
         return F.expr(f"bit_count({a} ^ {b}) <= {max_bits}")
 
-    first = stored(
-        shared.where(near("print", "low.print")).select("rep", F.col("low.rep").alias("other"))
-        .unionByName(shared.where(near("print", "high.print")).select("rep", F.col("high.rep").alias("other")))
-        .where("rep <> other").distinct(),
-        "simhash-links",
+    first = shared.where(near("print", "low.print")).select("rep", F.col("low.rep").alias("other")).unionByName(
+        shared.where(near("print", "high.print")).select("rep", F.col("high.rep").alias("other"))
     )
     known = stored(components(first, "rep", "other"), "simhash-known")
     # a key whose members all link to its smallest is done
@@ -202,11 +199,13 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     others = labelled.join(largest, "key").where("label <> main")
     left = others.select("key", F.col("print").alias("a"), F.col("rep").alias("rep_a"), F.col("label").alias("label_a"))
     second = (
-        left.join(labelled, "key").where(F.col("label_a") != F.col("label")).where(near("a", "print"))
-        .select(F.col("rep_a").alias("rep"), F.col("rep").alias("other"))
+        left.join(labelled, "key").where(F.col("label_a") != F.col("label")).where(near("a", "print")).select("label_a", "label")
     )
-    links = known.where("node <> component").select(F.col("node").alias("rep"), F.col("component").alias("other"))
-    return components(links.unionByName(second), "rep", "other")
+    # only components are joined from here on: what lies within them is known
+    merged = stored(components(second, "label_a", "label"), "simhash-merged").select(F.col("node").alias("label"), F.col("component").alias("whole"))
+    moved = known.join(merged, F.col("component") == F.col("label"), "left").select("node", F.coalesce("whole", "component").alias("component"))
+    single = merged.join(known, F.col("label") == F.col("node"), "left_anti")
+    return moved.unionByName(single.select(F.col("label").alias("node"), F.col("whole").alias("component")))
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int) -> DataFrame:

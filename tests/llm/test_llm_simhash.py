@@ -5,8 +5,10 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from climora.llm import components as C
 from climora.llm import simhash_dedup as S
 from climora.llm.components import components
+from climora.llm.storage import stored
 from llm_cases import documents, empty
 
 
@@ -131,3 +133,34 @@ def test_components_of_paths_hubs_and_loops(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert found == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200}
+
+
+def test_components_make_no_round_that_changes_nothing(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(C, "stored", lambda frame, label, *by: written.append(label) or stored(frame, label, *by))
+
+    def found(links):
+        written.clear()
+        return {r.node: r.component for r in C.components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+
+    assert found([(1, 5), (6, 1), (1, 7), (2, 3)]) == {1: 1, 5: 1, 6: 1, 7: 1, 2: 2, 3: 2}
+    assert "star" not in written  # they are stars already
+    assert found([(1, 2), (3, 2), (9, 8)]) == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8}
+    assert written.count("star") == 2  # one round
+    assert found([]) == {}
+
+
+def test_the_second_comparison_joins_components_only(spark, monkeypatch):
+    given = []
+
+    def counted(links, left, right):
+        given.append(links.distinct().count())
+        return C.components(links, left, right)
+
+    monkeypatch.setattr(S, "components", counted)
+    centre = random.Random(3).getrandbits(62)
+    prints = [centre, *(centre ^ 1 << b for b in range(12)), centre ^ 0x3FF << 40]
+    frame = spark.createDataFrame([(p, i) for i, p in enumerate(prints)], "print long, rep long")
+    found = {r.node: r.component for r in S.link_components(frame).collect()}
+    assert found == {i: 0 for i in range(13)}
+    assert given[0] >= 12 and given[1] == 0  # all are near the smallest: nothing is left to join
