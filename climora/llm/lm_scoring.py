@@ -27,15 +27,15 @@ HIDDEN = 32
 AROUND = (-2, -1, 1, 2)
 #: Of so many slices of the documents, by a hash of the id, each round trains on one; there are as many rounds as slices.
 SLICES = 16
-_BLOCK = 8192
+# Words scored at once: what is worked out for them stays in a core's own cache.
+_BLOCK = 512
 _PAD = CLASSES
 
 
 def words_of(text: str | None) -> np.ndarray:
     """Buckets of the lower-cased words of a text."""
-    crc = zlib.crc32
     words = (text or "").lower().encode("utf-8", "surrogatepass").split()
-    return np.fromiter((crc(w) & BUCKETS - 1 for w in words), np.int64, len(words))
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) & BUCKETS - 1
 
 
 def _numbers(held: bytes) -> np.ndarray:
@@ -61,8 +61,7 @@ def bucketed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sl
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for held in batch.column("held").to_pylist():
-            np.add.at(total, _numbers(held), 1)
+        total += np.bincount(_numbers(b"".join(batch.column("held").to_pylist())), minlength=BUCKETS)
     met = np.nonzero(total)[0]
     yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], ["bucket", "n"])
 
@@ -117,41 +116,54 @@ def _windows(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hidden(weights: list[np.ndarray], around: np.ndarray) -> np.ndarray:
-    total = weights[1] + weights[0][0][around[:, 0]]
+    total = weights[0][0].take(around[:, 0], axis=0)
+    total += weights[1]
     for k in range(1, len(AROUND)):
-        total += weights[0][k][around[:, k]]
-    return np.tanh(total)
+        total += weights[0][k].take(around[:, k], axis=0)
+    return np.tanh(total, out=total)
+
+
+def _logits(weights: list[np.ndarray], hidden: np.ndarray) -> np.ndarray:
+    """Logits of all classes, each row less its largest."""
+    logits = hidden @ weights[2]
+    logits += weights[3]
+    half = logits
+    while half.shape[1] > 8:  # the larger of both halves, for many rows at once
+        half = np.maximum(half[:, : half.shape[1] // 2], half[:, half.shape[1] // 2 :])
+    logits -= half.max(axis=1, keepdims=True)
+    return logits
 
 
 def log_probabilities(flat: np.ndarray, target: np.ndarray, around: np.ndarray) -> np.ndarray:
     """Log-probability of each target class."""
-    weights, out = unpacked(flat), np.empty(len(target))
+    weights, out, rows = unpacked(flat), np.empty(len(target)), np.arange(_BLOCK)
     for at in range(0, len(target), _BLOCK):
         part = slice(at, at + _BLOCK)
-        logits = _hidden(weights, around[part]) @ weights[2] + weights[3]
-        logits -= logits.max(axis=1, keepdims=True)
-        picked = logits[np.arange(len(logits)), target[part]]
-        out[part] = picked - np.log(np.exp(logits).sum(axis=1))
+        logits = _logits(weights, _hidden(weights, around[part]))
+        picked = logits[rows[: len(logits)], target[part]]
+        out[part] = picked - np.log(np.exp(logits, out=logits).sum(axis=1))
     return out
 
 
 def train(flat: np.ndarray, target: np.ndarray, around: np.ndarray, rate: float, squares: np.ndarray, batch: int = 512) -> None:
     """One pass of gradient steps over the rows, scaled by the running squares; changes ``flat``."""
     weights, steps = unpacked(flat), unpacked(squares)
+    rows, shift = np.arange(batch), np.arange(len(AROUND)) * (CLASSES + 1)
+    held = np.zeros((len(AROUND) * (CLASSES + 1), batch), np.float32)  # which class is where around each word; emptied again after each step
     for at in range(0, len(target), batch):
         y, x = target[at : at + batch], around[at : at + batch]
+        own = rows[: len(y)]
         hidden = _hidden(weights, x)
-        logits = hidden @ weights[2] + weights[3]
-        logits -= logits.max(axis=1, keepdims=True)
-        off = np.exp(logits)
+        off = _logits(weights, hidden)
+        np.exp(off, out=off)
         off /= off.sum(axis=1, keepdims=True)
-        off[np.arange(len(y)), y] -= 1
+        off[own, y] -= 1
         off /= len(y)
         inner = (off @ weights[2].T) * (1 - hidden**2)
-        held = np.zeros((len(AROUND), len(y), CLASSES + 1), np.float32)
-        for k in range(len(AROUND)):
-            held[k, np.arange(len(y)), x[:, k]] = 1
-        table = held.transpose(0, 2, 1) @ inner
+        met = (x + shift, own[:, None])
+        held[met] = 1
+        table = (held[:, : len(y)] @ inner).reshape(weights[0].shape)
+        held[met] = 0
         for w, s, g in zip(weights, steps, (table, inner.sum(axis=0), hidden.T @ off, off.sum(axis=0))):
             s += g * g
             w -= rate * g / (np.sqrt(s) + 1e-6)

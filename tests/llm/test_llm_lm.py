@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -103,3 +105,50 @@ def test_each_slice_trains_the_network(spark):
         counts = L.bucket_counts(docs)
         start = L.start_weights(counts, L.classes(counts)[0])
         assert not np.array_equal(L.fit_network(docs, counts), start)
+
+
+def plain_step(flat, target, around, rate, squares):
+    weights, steps = L.unpacked(flat), L.unpacked(squares)
+    hidden = np.tanh(weights[1] + sum(weights[0][k][around[:, k]] for k in range(4)))
+    off = np.exp(hidden @ weights[2] + weights[3])
+    off /= off.sum(axis=1, keepdims=True)
+    off[np.arange(len(target)), target] -= 1
+    off /= len(target)
+    inner, table = (off @ weights[2].T) * (1 - hidden**2), np.zeros_like(weights[0])
+    for k in range(4):
+        np.add.at(table[k], around[:, k], inner)
+    for w, s, g in zip(weights, steps, (table, inner.sum(axis=0), hidden.T @ off, off.sum(axis=0))):
+        s += g * g
+        w -= rate * g / (np.sqrt(s) + 1e-6)
+
+
+def some_words(n):
+    rng = np.random.default_rng(n)
+    counts = rng.integers(0, 50, L.BUCKETS)
+    flat = L.start_weights(counts, L.classes(counts)[0])
+    return flat, rng.integers(0, L.CLASSES, n), rng.integers(0, L.CLASSES + 1, (n, len(L.AROUND)))
+
+
+def test_training_makes_its_table_once_and_equals_the_plain_steps(monkeypatch):
+    flat, target, around = some_words(300)
+    own, squares, want, want_squares = flat.copy(), np.full(len(flat), 1e-4, np.float32), flat.copy(), np.full(len(flat), 1e-4, np.float32)
+    for at in range(0, 300, 128):  # the last one is shorter
+        plain_step(want, target[at : at + 128], around[at : at + 128], 0.1, want_squares)
+    made, zeros = [], np.zeros
+    monkeypatch.setattr(np, "zeros", lambda *a, **b: made.append(a) or zeros(*a, **b))
+    L.train(own, target, around, 0.1, squares, batch=128)
+    assert len(made) == 1  # not one a step
+    assert np.allclose(own, want, atol=1e-4) and np.allclose(squares, want_squares, rtol=1e-3, atol=1e-6)
+
+
+def test_scoring_keeps_what_it_works_on_small():
+    flat, target, around = some_words(20_000)
+    tracemalloc.start()
+    got = L.log_probabilities(flat, target, around)
+    most = tracemalloc.get_traced_memory()[1] - got.nbytes
+    tracemalloc.stop()
+    assert most < 2 << 20
+    weights = L.unpacked(flat)
+    hidden = np.tanh(weights[1] + sum(weights[0][k][around[:, k]] for k in range(4)))
+    logits = hidden @ weights[2] + weights[3]
+    assert np.allclose(got, logits[np.arange(len(target)), target] - np.log(np.exp(logits).sum(axis=1)), atol=1e-4)
